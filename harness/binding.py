@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from faultweave.config import BASELINE_ROOT, FAULT_ROOT
 from faultweave.functions import names
-from faultweave.operators import cleaning, spans
+from faultweave.operators import cleaning, selftime, spans
 from faultweave.sources import labels, workspace
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -171,16 +171,10 @@ def spans_clean(spark: SparkSession, sf: str, keep_roots: bool = False) -> DataF
     return one if keep_roots else one.filter(F.col("parent_span_id").isNotNull())
 
 
-def telemetry(spark: SparkSession, sf: str, resources: bool = True) -> DataFrame:
-    """Unified telemetry. Queries that use no cpu or memory skip the resource join."""
-    one = spans_clean(spark, sf)
-    if resources:
-        usage = metrics(spark, sf).withColumn("ts", F.timestamp_seconds("epoch_sec"))
-        return spans.engineer_features(spans.join_resources(one, usage))
-    missing = F.lit(None).cast("double")
-    return spans.engineer_features(
-        one.withColumns({"cpu_usage_mcores": missing, "memory_usage_mb": missing})
-    )
+def telemetry(spark: SparkSession, sf: str) -> DataFrame:
+    """Unified telemetry, straight from lineitem and events."""
+    usage = metrics(spark, sf).withColumn("ts", F.timestamp_seconds("epoch_sec"))
+    return spans.engineer_features(spans.join_resources(spans_clean(spark, sf), usage))
 
 
 def fault_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,6 +279,19 @@ def _once(spark: SparkSession, sf: str, what: str, write) -> str:
     return _written[key]
 
 
+def telemetry_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Unified telemetry as a table: deduplicated and joined once, scanned by every analysis."""
+    path = _once(spark, sf, "telemetry", lambda at: telemetry(spark, sf).write.parquet(at))
+    return spark.read.parquet(path)
+
+
+def ceilings_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The learned ceilings as a table, a row per endpoint."""
+    learned = selftime.latency_ceiling(selftime.add_self_time(traces(spark, sf)))
+    path = _once(spark, sf, "ceilings", lambda at: learned.write.parquet(at))
+    return spark.read.parquet(path)
+
+
 def capture_files(spark: SparkSession, sf: str) -> str:
     """Trace and metric CSV files and fault lists, in the layout captures come in."""
 

@@ -241,6 +241,17 @@ VIEWS: dict[str, str] = {
           cpu_usage_mcores, memory_usage_mb, network_rx_bytes, network_tx_bytes,
           CAST(NULL AS BIGINT) AS disk_io_read_bytes, CAST(NULL AS BIGINT) AS disk_io_write_bytes
         FROM metrics""",
+    # nothing canonical is invalid except spans without a parent
+    "can_service_valid": "SELECT * FROM can_service WHERE parent_span_id <> ''",
+    "norm_service": first_copy(
+        "can_service_valid", "span_id",
+        "trace_id, service_name, parent_span_id, namespace, pod_id",
+    ),
+    "norm_response": first_copy("can_response", "span_id", "response_time_ms"),
+    "norm_request": first_copy(
+        "can_request", "span_id", "start_time, end_time, duration_ms, endpoint"
+    ),
+    "norm_status": first_copy("can_status", "span_id", "status_code, error_message, is_error"),
     # ---- call graph
     "edges": """
         SELECT p.service_name AS caller_service, c.service_name AS callee_service,

@@ -82,25 +82,21 @@ def check_of(entry: Entry) -> str:
 # ---- shorthands ------------------------------------------------------------
 
 
-def lean(s: SparkSession, sf: str) -> DataFrame:
-    return b.telemetry(s, sf, resources=False)
-
-
 def pairs(s: SparkSession, sf: str) -> DataFrame:
-    return callgraph.service_dependency_graph(lean(s, sf))
+    return callgraph.service_dependency_graph(b.telemetry_table(s, sf))
 
 
 def chains(s: SparkSession, sf: str) -> DataFrame:
-    return callgraph.propagation_chains(lean(s, sf), DEFAULTS.chain_window_sec)
+    return callgraph.propagation_chains(b.telemetry_table(s, sf), DEFAULTS.chain_window_sec)
 
 
 def corr(s: SparkSession, sf: str) -> DataFrame:
     # The supplied data correlates weakly: the usual 0.3 would leave nothing.
-    return callgraph.error_correlation(lean(s, sf), min_correlation=0.0)
+    return callgraph.error_correlation(b.telemetry_table(s, sf), min_correlation=0.0)
 
 
 def series(s: SparkSession, sf: str) -> DataFrame:
-    return anomalies.error_rate_timeseries(b.telemetry(s, sf), DEFAULTS.bucket_minutes)
+    return anomalies.error_rate_timeseries(b.telemetry_table(s, sf), DEFAULTS.bucket_minutes)
 
 
 def scored(s: SparkSession, sf: str) -> DataFrame:
@@ -120,9 +116,8 @@ def timed(s: SparkSession, sf: str) -> DataFrame:
 
 
 def judged(s: SparkSession, sf: str) -> DataFrame:
-    rows = timed(s, sf)
-    ceilings = workspace.materialise(selftime.latency_ceiling(rows), "ceilings")
-    return selftime.flag_degraded(selftime.join_latency_ceiling(rows, ceilings))
+    known = selftime.join_latency_ceiling(timed(s, sf), b.ceilings_table(s, sf))
+    return selftime.flag_degraded(known)
 
 
 def cleaned(s: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -132,7 +127,7 @@ def cleaned(s: SparkSession, sf: str) -> dict[str, DataFrame]:
 def report(name: str, truth: bool = False) -> Query:
     def run(s: SparkSession, sf: str) -> DataFrame:
         labelled = b.ground_truth(s, sf) if truth else None
-        return reports.run_reports(s, lean(s, sf), labelled)[name]
+        return reports.run_reports(s, b.telemetry_table(s, sf), labelled)[name]
 
     return run
 
@@ -211,20 +206,17 @@ RANKED_PAIRS = "SELECT * FROM pairs ORDER BY propagation_score DESC, caller_serv
 def _csv_schema(s: SparkSession, sf: str) -> DataFrame:
     path = workspace.new_path(s, "canonical")
     canonical_files.write_canonical(b.canonical_raw(s, sf), path)
-    back = canonical_files.read_canonical(s, path)
-    return spans.join_spans(
-        {k: v.filter(F.col("span_id").isNotNull()).distinct() if "span_id" in v.columns else v
-         for k, v in back.items()}
-    )
+    return spans.join_spans(cleaning.clean_all(canonical_files.read_canonical(s, path)))
 
 
+JOINED = (
+    f"{SERVICE} d:response_time_ms d:processing_time_ms start_time end_time d:duration_ms "
+    "http_method endpoint i:status_code error_message i:is_error"
+)
+# An empty field reads back as NULL.
 add(
-    "src_csv_schema", "span_id trace_id service_name d:response_time_ms start_time i:status_code",
-    _csv_schema,
-    """SELECT * FROM (SELECT DISTINCT * FROM raw_service WHERE span_id IS NOT NULL)
-       JOIN (SELECT DISTINCT * FROM raw_response) USING (span_id)
-       JOIN (SELECT DISTINCT * FROM raw_request) USING (span_id)
-       JOIN (SELECT DISTINCT * FROM raw_status) USING (span_id)""",
+    "src_csv_schema", JOINED, _csv_schema,
+    "SELECT * REPLACE (nullif(error_message, '') AS error_message) FROM joined_spans",
 )
 add("src_traces", TRACE, lambda s, sf: raw.read_traces(s, captures(s, sf)), "SELECT * FROM traces")
 add(
@@ -247,7 +239,7 @@ add(
 
 
 def _parquet(s: SparkSession, sf: str) -> DataFrame:
-    path = canonical_files.write_parquet(lean(s, sf), workspace.new_path(s, "telemetry"))
+    path = canonical_files.write_parquet(b.telemetry_table(s, sf), workspace.new_path(s, "telemetry"))
     return canonical_files.read_parquet(s, path)
 
 
@@ -351,7 +343,7 @@ add("sink_table", PAIRS, _sink_table, "SELECT * FROM pairs")
 def _sink_sample(s: SparkSession, sf: str) -> DataFrame:
     at = store(s)
     at.write(
-        lean(s, sf), "processed_telemetry",
+        b.telemetry_table(s, sf), "processed_telemetry",
         sample_key="span_id", sample_mod=DEFAULTS.sample_mod,
     )
     return at.read("processed_telemetry")
@@ -405,7 +397,7 @@ add(
 
 def _inventory(s: SparkSession, sf: str) -> DataFrame:
     at = store(s)
-    at.write(lean(s, sf), "processed_telemetry")
+    at.write(b.telemetry_table(s, sf), "processed_telemetry")
     at.write(pairs(s, sf), "cross_service_pairs")
     return tables.table_inventory(
         at, ["processed_telemetry", "cross_service_pairs", "anomaly_scores", "bad name"]
@@ -484,18 +476,18 @@ add(
 add("self_time", "span_id d:duration_ms d:self_time_ms", timed, "SELECT * FROM timed")
 
 for _name, _column, _source, _view in (
-    ("feat_is_failure", "i:is_failure", lean, "spans"),
-    ("feat_latency_spike", "i:is_latency_spike", lean, "telemetry"),
-    ("feat_latency_bucket", "latency_bucket", lean, "telemetry"),
-    ("feat_error_category", "error_category", lean, "telemetry"),
-    ("feat_hour_of_day", "i:hour_of_day", lean, "telemetry"),
+    ("feat_is_failure", "i:is_failure", b.telemetry, "spans"),
+    ("feat_latency_spike", "i:is_latency_spike", b.telemetry, "telemetry"),
+    ("feat_latency_bucket", "latency_bucket", b.telemetry, "telemetry"),
+    ("feat_error_category", "error_category", b.telemetry, "telemetry"),
+    ("feat_hour_of_day", "i:hour_of_day", b.telemetry, "telemetry"),
     ("feat_cpu_memory_ratio", "d:cpu_memory_ratio", b.telemetry, "telemetry"),
 ):
     add(f"{_name}", f"span_id {_column}", _source, f"SELECT * FROM {_view}")
 
 add(
     "service_filter", "service_name i:requests",
-    lambda s, sf: marts.service_filter(lean(s, sf), ("svc-1", "svc-4", "elsewhere"))
+    lambda s, sf: marts.service_filter(b.telemetry_table(s, sf), ("svc-1", "svc-4", "elsewhere"))
     .groupBy("service_name").agg(F.count("*").alias("requests")),
     """SELECT service_name, count(*) AS requests FROM spans
        WHERE service_name IN ('svc-1', 'svc-4', 'elsewhere') GROUP BY ALL""",
@@ -550,7 +542,7 @@ add(
 # ---- joins -----------------------------------------------------------------
 
 add(
-    "join_spans", f"{SERVICE} d:response_time_ms start_time i:status_code",
+    "join_spans", JOINED,
     lambda s, sf: spans.join_spans(cleaned(s, sf)), "SELECT * FROM joined_spans",
 )
 add(
@@ -561,11 +553,11 @@ add(
     "call_edges",
     "caller_service callee_service i:caller_failure i:callee_failure t:caller_start "
     "t:callee_start d:callee_latency",
-    lambda s, sf: callgraph.call_edges(lean(s, sf)), "SELECT * FROM edges",
+    lambda s, sf: callgraph.call_edges(b.telemetry_table(s, sf)), "SELECT * FROM edges",
 )
 add(
     "paired_series", "t:minute_ts service_a service_b d:error_rate_a d:error_rate_b",
-    lambda s, sf: callgraph.paired_series(callgraph.service_minute_error_rate(lean(s, sf))),
+    lambda s, sf: callgraph.paired_series(callgraph.service_minute_error_rate(b.telemetry_table(s, sf))),
     "SELECT * FROM paired",
 )
 add(
@@ -589,10 +581,7 @@ add(
 )
 add(
     "join_latency_ceiling", "span_id endpoint d:self_time_ms d:baseline_p99_ms i:baseline_samples",
-    lambda s, sf: selftime.join_latency_ceiling(
-        timed(s, sf),
-        workspace.materialise(selftime.latency_ceiling(timed(s, sf)), "ceilings"),
-    ),
+    lambda s, sf: selftime.join_latency_ceiling(timed(s, sf), b.ceilings_table(s, sf)),
     "SELECT * FROM judged",
 )
 add(
@@ -614,7 +603,7 @@ EVALUATED = f"""
     GROUP BY ALL"""
 add("join_fault_window", EVALUATION, report("ground_truth_evaluation", True), EVALUATED)
 add(
-    "join_bench", "i:row_count", lambda s, sf: workload.bench_join(lean(s, sf)),
+    "join_bench", "i:row_count", lambda s, sf: workload.bench_join(b.telemetry_table(s, sf)),
     f"""SELECT count(*) AS row_count FROM spans f JOIN (
           SELECT trace_id, service_name FROM spans WHERE {HASHED} % 100 = 0) t
         ON f.trace_id = t.trace_id AND f.service_name <> t.service_name""",
@@ -632,7 +621,7 @@ add(
 add("service_dependency_graph", PAIRS, pairs, "SELECT * FROM pairs")
 add(
     "service_minute_error_rate", "service_name t:minute_ts d:error_rate",
-    lambda s, sf: callgraph.service_minute_error_rate(lean(s, sf)), "SELECT * FROM minute_rate",
+    lambda s, sf: callgraph.service_minute_error_rate(b.telemetry_table(s, sf)), "SELECT * FROM minute_rate",
 )
 add("error_correlation", CORR, corr, "SELECT * FROM correlations")
 add("error_rate_timeseries", SERIES, series, "SELECT * FROM series")
@@ -742,7 +731,7 @@ add(
 )
 add(
     "bench_groupby", "service_name i:total i:errors d:avg_latency d:std_latency",
-    lambda s, sf: workload.bench_groupby(lean(s, sf)),
+    lambda s, sf: workload.bench_groupby(b.telemetry_table(s, sf)),
     """SELECT service_name, count(*) AS total, sum(is_failure) AS errors,
          avg(response_time_ms) AS avg_latency, stddev_samp(response_time_ms) AS std_latency
        FROM spans GROUP BY ALL""",
@@ -790,7 +779,7 @@ add(
 )
 add(
     "bench_window", "i:row_count",
-    lambda s, sf: workload.bench_window(lean(s, sf), "start_time_ts"),
+    lambda s, sf: workload.bench_window(b.telemetry_table(s, sf), "start_time_ts"),
     """SELECT count(*) AS row_count FROM (SELECT lead(service_name) OVER (
          PARTITION BY trace_id ORDER BY start_time_ts, span_id) AS following FROM spans)
        WHERE following IS NOT NULL""",
@@ -801,7 +790,7 @@ add(
 )
 add(
     "tumbling_window", "span_id t:time_bucket",
-    lambda s, sf: anomalies.tumbling_window(lean(s, sf), DEFAULTS.bucket_minutes),
+    lambda s, sf: anomalies.tumbling_window(b.telemetry_table(s, sf), DEFAULTS.bucket_minutes),
     "SELECT span_id, time_bucket(INTERVAL 15 MINUTE, start_time_ts) AS time_bucket FROM spans",
 )
 add("topk_pairs", PAIRS, lambda s, sf: callgraph.top_pairs(pairs(s, sf)), f"{RANKED_PAIRS} LIMIT 10")
@@ -818,7 +807,7 @@ BANDS = "SELECT latency_bucket, count(*) AS requests FROM telemetry GROUP BY ALL
 add(
     "order_latency_bands", "latency_bucket i:requests i:position",
     lambda s, sf: marts.order_latency_bands(
-        marts.mart_latency_distribution(lean(s, sf))
+        marts.mart_latency_distribution(b.telemetry_table(s, sf))
     ).withColumn("position", features.band_rank(F.col("latency_bucket"))),
     f"""SELECT *, CASE latency_bucket WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3
           ELSE 4 END AS position FROM ({BANDS})""",
@@ -898,7 +887,7 @@ def _counted(found: dict[str, DataFrame]) -> DataFrame:
 
 def _all_reports(s: SparkSession, sf: str) -> DataFrame:
     """Row count per report."""
-    reports.register_views(lean(s, sf), b.ground_truth(s, sf))
+    reports.register_views(b.telemetry_table(s, sf), b.ground_truth(s, sf))
     return _counted(reports.run_queries(s, reports.load_queries(), True))
 
 
@@ -914,7 +903,7 @@ add("run_queries", "report i:row_count", _all_reports, _REPORT_ROWS)
 
 
 def _register_views(s: SparkSession, sf: str) -> DataFrame:
-    reports.register_views(lean(s, sf), b.ground_truth(s, sf))
+    reports.register_views(b.telemetry_table(s, sf), b.ground_truth(s, sf))
     return s.sql(
         """SELECT (SELECT count(*) FROM telemetry) AS spans,
                   (SELECT count(*) FROM ground_truth) AS injections"""
@@ -929,7 +918,7 @@ add(
 
 def _catalog(s: SparkSession, sf: str) -> DataFrame:
     """Rows of each shipped statement, without labels: the evaluation is skipped."""
-    reports.register_views(lean(s, sf))
+    reports.register_views(b.telemetry_table(s, sf))
     return _counted(reports.run_queries(s, reports.load_queries(), False))
 
 
@@ -941,13 +930,13 @@ add(
 # ---- marts -----------------------------------------------------------------
 
 add(
-    "mart_service_names", "service_name", lambda s, sf: marts.mart_service_names(lean(s, sf)),
+    "mart_service_names", "service_name", lambda s, sf: marts.mart_service_names(b.telemetry_table(s, sf)),
     "SELECT DISTINCT service_name FROM spans",
 )
 add(
     "mart_telemetry_summary",
     "i:total_records i:failures d:avg_latency i:services i:traces d:error_rate",
-    lambda s, sf: marts.mart_telemetry_summary(lean(s, sf)),
+    lambda s, sf: marts.mart_telemetry_summary(b.telemetry_table(s, sf)),
     """SELECT count(*) AS total_records, sum(is_failure) AS failures,
          avg(response_time_ms) AS avg_latency, count(DISTINCT service_name) AS services,
          count(DISTINCT trace_id) AS traces,
@@ -955,7 +944,7 @@ add(
 )
 add(
     "mart_hourly", "i:hour_of_day i:requests i:failures i:successes d:error_rate_pct",
-    lambda s, sf: marts.mart_hourly(lean(s, sf)),
+    lambda s, sf: marts.mart_hourly(b.telemetry_table(s, sf)),
     """SELECT hour_of_day, count(*) AS requests, sum(is_failure) AS failures,
          count(*) - sum(is_failure) AS successes,
          100.0::DOUBLE * sum(is_failure) / count(*) AS error_rate_pct
@@ -966,21 +955,21 @@ HEALTH = (
     "d:error_rate_pct"
 )
 add(
-    "mart_service_health", HEALTH, lambda s, sf: marts.mart_service_health(b.telemetry(s, sf)),
+    "mart_service_health", HEALTH, lambda s, sf: marts.mart_service_health(b.telemetry_table(s, sf)),
     "SELECT * REPLACE (round(error_rate_pct, 2) AS error_rate_pct) FROM health",
 )
 add(
     "mart_top_failing_services", "service_name i:failures",
-    lambda s, sf: marts.top_failing_services(marts.mart_service_health(lean(s, sf))),
+    lambda s, sf: marts.top_failing_services(marts.mart_service_health(b.telemetry_table(s, sf))),
     "SELECT * FROM health ORDER BY failures DESC, service_name LIMIT 12",
 )
 add(
     "mart_latency_distribution", "latency_bucket i:requests",
-    lambda s, sf: marts.mart_latency_distribution(lean(s, sf)), BANDS,
+    lambda s, sf: marts.mart_latency_distribution(b.telemetry_table(s, sf)), BANDS,
 )
 add(
     "mart_error_categories", "error_category i:requests",
-    lambda s, sf: marts.mart_error_categories(lean(s, sf)),
+    lambda s, sf: marts.mart_error_categories(b.telemetry_table(s, sf)),
     "SELECT error_category, count(*) AS requests FROM telemetry GROUP BY ALL",
 )
 add(
@@ -1137,7 +1126,7 @@ add(
 )
 add(
     "mart_worst_service", "service_name i:requests d:error_rate_pct status",
-    lambda s, sf: marts.mart_worst_service(marts.mart_service_health(lean(s, sf))),
+    lambda s, sf: marts.mart_worst_service(marts.mart_service_health(b.telemetry_table(s, sf))),
     f"""SELECT *, {STATUS_OF} AS status FROM health ORDER BY error_rate_pct DESC, service_name
         LIMIT 1""",
 )
@@ -1165,7 +1154,7 @@ add(
 add(
     "mart_exec_summary",
     "i:records i:anomalies i:propagation_pairs i:sizes_tested d:error_rate_pct d:anomaly_rate_pct",
-    lambda s, sf: marts.mart_exec_summary(lean(s, sf), scored(s, sf), pairs(s, sf), runs(s, sf)),
+    lambda s, sf: marts.mart_exec_summary(b.telemetry_table(s, sf), scored(s, sf), pairs(s, sf), runs(s, sf)),
     """SELECT (SELECT count(*) FROM spans) AS records,
          (SELECT sum(is_anomaly_overall) FROM scored) AS anomalies,
          (SELECT count(*) FROM pairs WHERE propagation_score > 0) AS propagation_pairs,
@@ -1208,11 +1197,11 @@ add(
     "label i:input_rows i:data_size i:repetition d:groupby_agg_sec d:window_fn_sec d:join_sec "
     "d:shuffle_sec d:total_sec",
     lambda s, sf: scalability.bench_run(
-        workspace.materialise(lean(s, sf), "bench"), "telemetry", "start_time_ts"
+        b.telemetry_table(s, sf), "telemetry", "start_time_ts"
     ),
 )
 add(
-    "bench_shuffle", "i:row_count", lambda s, sf: workload.bench_shuffle(lean(s, sf), 16),
+    "bench_shuffle", "i:row_count", lambda s, sf: workload.bench_shuffle(b.telemetry_table(s, sf), 16),
     "SELECT count(*) AS row_count FROM spans",
 )
 
@@ -1236,15 +1225,10 @@ def _normalised(s: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 add(
-    "normalise", "span_id service_name namespace d:response_time_ms start_time i:status_code "
-    "error_message",
-    lambda s, sf: spans.join_spans(
-        {k: v.distinct() for k, v in _normalised(s, sf).items()}
-    ),
-    """SELECT * FROM (SELECT DISTINCT * FROM can_service)
-       JOIN (SELECT DISTINCT * FROM can_response) USING (span_id)
-       JOIN (SELECT DISTINCT * FROM can_request) USING (span_id)
-       JOIN (SELECT DISTINCT * FROM can_status) USING (span_id)""",
+    "normalise", JOINED,
+    lambda s, sf: spans.join_spans(cleaning.clean_all(_normalised(s, sf))),
+    """SELECT * FROM norm_service JOIN norm_response USING (span_id)
+       JOIN norm_request USING (span_id) JOIN norm_status USING (span_id)""",
 )
 add(
     "preprocess", UNIFIED, lambda s, sf: preprocess.preprocess(b.canonical_raw(s, sf)),
@@ -1256,7 +1240,7 @@ def _cross_service(s: SparkSession, sf: str) -> DataFrame:
     from faultweave.plans.cross_service import run_cross_service
 
     return run_cross_service(
-        workspace.materialise(lean(s, sf), "telemetry"), store(s),
+        b.telemetry_table(s, sf), store(s),
         workspace.new_path(s, "chains"), Settings(min_correlation=0.0),
     )
 
@@ -1271,7 +1255,7 @@ add(
 def _failure_detection(s: SparkSession, sf: str) -> DataFrame:
     from faultweave.plans.failure_detection import run_failure_detection
 
-    return run_failure_detection(b.telemetry(s, sf), store(s), workspace.new_path(s, "anomalies"))
+    return run_failure_detection(b.telemetry_table(s, sf), store(s), workspace.new_path(s, "anomalies"))
 
 
 add("failure_detection", "section item d:value", _failure_detection, ENTRIES["rq2_summary"].check)
@@ -1280,7 +1264,7 @@ add("failure_detection", "section item d:value", _failure_detection, ENTRIES["rq
 def _sql_reports(s: SparkSession, sf: str) -> DataFrame:
     at = store(s)
     at.write(b.ground_truth(s, sf), "fault_injections")
-    counts = reports.run_sql_reports(s, workspace.materialise(lean(s, sf), "telemetry"), at)
+    counts = reports.run_sql_reports(s, b.telemetry_table(s, sf), at)
     return tables.table_inventory(at, list(counts)).withColumnRenamed("table_name", "report")
 
 
