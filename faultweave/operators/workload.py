@@ -84,35 +84,28 @@ def with_next(
 ) -> DataFrame:
     """Adds next_<value>: `value` of the following row of its group, by (`time`, `tie`).
 
-    The same as ``lead`` over the group, in two steps so that a group with very many
-    rows is not sorted in one task: the lead within a time slice of the group, and,
-    for the last row of a slice, the first row of the group's next slice.
+    The same as ``lead`` over the group, but a group with very many rows is not
+    sorted in one task: it is cut into time slices, and each slice is handed a copy
+    of the first row of the group's next slice. The copies come from an aggregate
+    that leaves one row per slice.
     """
-    sliced = df.withColumn("_slice", F.floor(F.unix_timestamp(time) / slice_sec))
-    inside = Window.partitionBy(group, "_slice").orderBy(time, tie)
-    led = sliced.withColumn("_inside", F.lead(F.struct(value)).over(inside))
+    sliced = df.withColumns(
+        {"_slice": F.floor(F.unix_timestamp(time) / slice_sec), "_copy": F.lit(False)}
+    )
+    by_slice = Window.partitionBy(group).orderBy("_slice")
     heads = (
         sliced.groupBy(group, "_slice")
         .agg(F.min(F.struct(time, tie, value)).alias("_head"))
-        .withColumn(
-            "_after", F.lead("_head").over(Window.partitionBy(group).orderBy("_slice"))
-        )
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_slice").alias("_of_slice"),
-            F.struct(F.col("_after")[value].alias(value)).alias("_beyond"),
-            F.col("_after").isNotNull().alias("_continues"),
-        )
-    )
-    joined = led.join(
-        heads, F.col(group).eqNullSafe(F.col("_group")) & F.col("_slice").eqNullSafe(F.col("_of_slice")),
-        "left",
-    )
-    following = F.when(F.col("_inside").isNotNull(), F.col("_inside")).when(
-        F.col("_continues"), F.col("_beyond")
+        .withColumn("_head", F.lead("_head").over(by_slice))
+        .filter(F.col("_head").isNotNull())
+        .select(group, "_slice", "_head.*", F.lit(True).alias("_copy"))
     )
-    return joined.withColumn(f"next_{value}", following[value]).drop(
-        "_slice", "_inside", "_group", "_of_slice", "_beyond", "_continues"
+    in_order = Window.partitionBy(group, "_slice").orderBy(time, tie)
+    return (
+        sliced.unionByName(heads, allowMissingColumns=True)
+        .withColumn(f"next_{value}", F.lead(value).over(in_order))
+        .filter(~F.col("_copy"))
+        .drop("_slice", "_copy")
     )
 
 

@@ -100,43 +100,49 @@ FROM hourly
 ORDER BY service_name, bucket_hour
 
 -- @name ground_truth_evaluation
--- Spans are reduced to one row per service and second, then matched on (service,
--- slot): a slot is as long as a fault window, so a window covers two of them and a
--- busy service is spread over its slots. A span inside overlapping windows counts
--- for each.
+-- Spans are reduced to one row per service and second, labels to one row per second,
+-- then matched on (service, slot): a slot is as long as a fault window, so a window
+-- covers two of them and a busy service is spread over its slots. A span inside
+-- overlapping windows counts for each.
 WITH fault AS (
-  SELECT inject_service, inject_type, inject_timestamp,
-         explode(array_distinct(array(
-           inject_timestamp div :window,
-           (inject_timestamp + :window) div :window))) AS slot
+  SELECT inject_service, inject_type, inject_timestamp, count(*) AS labels
   FROM ground_truth
+  GROUP BY ALL
 ),
 per_second AS (
   SELECT service_name,
          unix_timestamp(start_time_ts) AS span_epoch,
-         count(*)                      AS spans_in_window,
-         sum(is_failure)               AS failures_in_window
+         count(*)                      AS spans,
+         sum(is_failure)               AS failures
   FROM telemetry
   WHERE start_time_ts IS NOT NULL
   GROUP BY ALL
 ),
-slotted AS (
+fault_slot AS (
+  SELECT *,
+         explode(array_distinct(array(
+           inject_timestamp div :window,
+           (inject_timestamp + :window) div :window))) AS slot
+  FROM fault
+),
+span_slot AS (
   SELECT *, span_epoch div :window AS slot FROM per_second
 ),
 matched AS (
   SELECT f.inject_service, f.inject_type, f.inject_timestamp,
-         s.spans_in_window, s.failures_in_window
-  FROM fault f
-  LEFT JOIN slotted s
+         f.labels * s.spans    AS spans,
+         f.labels * s.failures AS failures
+  FROM fault_slot f
+  LEFT JOIN span_slot s
     ON s.service_name = f.inject_service
    AND s.slot = f.slot
    AND s.span_epoch BETWEEN f.inject_timestamp AND f.inject_timestamp + :window
 )
 SELECT inject_service, inject_type,
        count(DISTINCT inject_timestamp) AS injections,
-       sum(spans_in_window)             AS spans_observed,
-       sum(failures_in_window)          AS failures_observed,
-       cast(round(100.0 * sum(failures_in_window) / nullif(sum(spans_in_window), 0), 3) AS double)
+       sum(spans)                       AS spans_observed,
+       sum(failures)                    AS failures_observed,
+       cast(round(100.0 * sum(failures) / nullif(sum(spans), 0), 3) AS double)
          AS failure_rate_in_window_pct
 FROM matched
 GROUP BY inject_service, inject_type
