@@ -27,11 +27,10 @@ def _part(relative: Column, index: int, deeper_than: int) -> Column:
     return F.when(F.size(parts) > deeper_than, F.get(parts, F.lit(index))).otherwise("unknown")
 
 
-def _with_parts(files: DataFrame, path: str) -> DataFrame:
-    relative = _below(F.col("file_path"), path)
+def _with_parts(files: DataFrame) -> DataFrame:
+    relative = F.col("relative_path")
     return files.withColumns(
         {
-            "relative_path": relative,
             "root": F.get(F.split(relative, "/"), F.lit(0)),
             "capture_date": _part(relative, 1, 2),
             "kind": _part(relative, 2, 3),
@@ -57,20 +56,26 @@ def file_manifest(
     roots: Sequence[str] = ROOTS,
     metric_suffix: str = METRIC_SUFFIX,
 ) -> DataFrame:
-    """Wanted files with size, root, kind and capture date. File contents are not read."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("size_bytes"),
-        )
+    """Wanted files with size, root, kind and capture date. File contents are not read.
+
+    A scan skips empty files, so the names come from the file index Spark keeps on
+    the driver anyway and the sizes from the scan.
+    """
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = spark.createDataFrame([(name,) for name in scan.inputFiles()], "file_path string")
+    names = names.select(_below(F.col("file_path"), path).alias("relative_path"))
+    sizes = scan.select(
+        _below(F.col("_metadata.file_path"), path).alias("relative_path"),
+        F.col("_metadata.file_size").alias("_size"),
     )
     return (
-        _with_parts(listed, path)
+        _with_parts(names)
         .filter(_wanted(kinds, roots, metric_suffix))
-        .select("file_path", "relative_path", "root", "capture_date", "kind", "size_bytes")
+        .join(sizes, "relative_path", "left")
+        .select(
+            "relative_path", "root", "capture_date", "kind",
+            F.coalesce(F.col("_size"), F.lit(0)).alias("size_bytes"),
+        )
     )
 
 
@@ -84,7 +89,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     return text.text(path).select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
+        _below(F.col("_metadata.file_path"), path).alias("relative_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
@@ -114,7 +119,7 @@ def validate_columns(
     lines = _lines(spark, path)
     opening = F.struct("block", "position")
     first = F.min_by(F.struct("value"), opening)
-    per_file = lines.groupBy("file_path").agg(
+    per_file = lines.groupBy("relative_path").agg(
         first.alias("_head"),
         (F.count("*") - 1).alias("row_count"),
     )
@@ -123,12 +128,12 @@ def validate_columns(
         lines.filter(F.col("block") == 0)
         .join(
             lines.filter(F.col("block") == 0)
-            .groupBy("file_path")
+            .groupBy("relative_path")
             .agg(F.min("position").alias("_first")),
-            "file_path",
+            "relative_path",
         )
         .filter(F.col("position") > F.col("_first"))
-        .groupBy("file_path")
+        .groupBy("relative_path")
         .agg(F.min_by("value", "position").alias("sample_row"))
     )
     header = F.transform(
@@ -137,8 +142,8 @@ def validate_columns(
     )
     wanted = file_manifest(spark, path, kinds, roots, metric_suffix)
     checked = (
-        wanted.join(per_file, "file_path", "left")
-        .join(second, "file_path", "left")
+        wanted.join(per_file, "relative_path", "left")
+        .join(second, "relative_path", "left")
         .withColumn("_columns", header)
         .withColumn("_expected", _expected_columns(F.col("kind"), expected))
     )
@@ -164,9 +169,9 @@ def row_counts(
     metric_suffix: str = METRIC_SUFFIX,
 ) -> DataFrame:
     """Data rows per root and kind; a file's header does not count."""
-    per_file = _lines(spark, path).groupBy("file_path").agg(F.count("*").alias("_lines"))
+    per_file = _lines(spark, path).groupBy("relative_path").agg(F.count("*").alias("_lines"))
     return (
-        _with_parts(per_file, path)
+        _with_parts(per_file)
         .filter(_wanted(kinds, roots, metric_suffix))
         .groupBy(F.concat_ws("/", "root", "kind").alias("root_kind"))
         .agg(F.sum(F.col("_lines") - 1).alias("rows"))

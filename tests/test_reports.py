@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import pytest
+from conftest import at
+
+from faultweave.config import Settings
+from faultweave.plans import reports
+from faultweave.sources.tables import TableStore
+
+T0 = int((at(0) - at(0).replace(year=1970)).total_seconds())
+
+
+@pytest.fixture
+def telemetry(spans):
+    def build(rows):
+        from pyspark.sql import functions as F
+
+        return spans(rows).withColumn("endpoint", F.lit("op"))
+
+    return build
+
+
+def truth(spark, rows):
+    return spark.createDataFrame(
+        [(s, k, T0 + t) for s, k, t in rows],
+        "inject_service string, inject_type string, inject_timestamp bigint")
+
+
+def evaluated(spark, df, labels, **kw):
+    out = reports.run_reports(spark, df, labels, Settings(**kw))["ground_truth_evaluation"]
+    return {(r.inject_service, r.inject_type):
+            (r.injections, r.spans_observed, r.failures_observed, r.failure_rate_in_window_pct)
+            for r in out.collect()}
+
+
+def test_fault_window_edges(spark, telemetry):
+    df = telemetry([("t", f"s{i}", "p", "A", sec, f) for i, (sec, f) in enumerate(
+        [(999, 1), (1000, 1), (1300, 0), (1300, 1), (1301, 1)])])
+    got = evaluated(spark, df, truth(spark, [("A", "cpu", 1000), ("B", "cpu", 1000)]))
+    assert got == {("A", "cpu"): (1, 3, 2, 66.667), ("B", "cpu"): (1, None, None, None)}
+    narrow = evaluated(spark, df, truth(spark, [("A", "cpu", 1000)]), fault_window_sec=10)
+    assert narrow["A", "cpu"] == (1, 1, 1, 100.0)
+
+
+def test_overlapping_and_repeated_labels_count_each(spark, telemetry):
+    df = telemetry([("t", "s", "p", "A", 1000, 1)])
+    labels = truth(spark, [("A", "cpu", 900), ("A", "cpu", 950), ("A", "cpu", 950)])
+    assert evaluated(spark, df, labels)["A", "cpu"] == (2, 3, 3, 100.0)
+
+
+def test_reports_without_labels_skip_the_evaluation(spark, telemetry):
+    df = telemetry([("t", "s", "p", "A", 0, 0)])
+    found = reports.run_reports(spark, df)
+    assert set(found) == set(reports.load_queries()) - {"ground_truth_evaluation"}
+
+
+def test_broken_statement_does_not_stop_the_rest(spark, telemetry):
+    reports.register_views(telemetry([("t", "s", "p", "A", 0, 0)]))
+    failures: dict[str, str] = {}
+    found = reports.run_queries(
+        spark, {"bad": "SELECT x FROM nowhere", "good": "SELECT count(*) AS n FROM telemetry"},
+        False, failures=failures)
+    assert list(found) == ["good"] and list(failures) == ["bad"]
+
+
+def test_catalogue_parsing(tmp_path):
+    text = "-- header\n-- @name one\nSELECT 1\n-- @name empty\n\n--   @name two  \nSELECT 2\n"
+    assert reports.split_statements(text) == {"one": "SELECT 1", "two": "SELECT 2"}
+    with pytest.raises(ValueError):
+        reports.split_statements("SELECT 1")
+    with pytest.raises(FileNotFoundError):
+        reports.load_queries(str(tmp_path / "missing.sql"))
+    assert len(reports.load_queries()) == 6
+
+
+def test_thresholds(spark, telemetry):
+    rows = [("t", f"a{i}", "p", "A", i, 0) for i in range(49)]
+    rows += [("t", f"b{i}", "p", "B", i, i % 2) for i in range(50)]
+    rows += [("t", f"c{i}", "p", "C", i, i % 2) for i in range(100)]
+    found = reports.run_reports(spark, telemetry(rows))
+    ranks = {r.service_name: (r.failure_rank, r.failure_quartile)
+             for r in found["service_failure_ranking"].collect()}
+    assert ranks == {"B": (1, 1), "C": (1, 2)}
+    assert [r.service_name for r in found["endpoint_hotspots"].collect()] == ["C"]
+
+
+def test_trend_uses_the_previous_hour_with_traffic(spark, telemetry):
+    df = telemetry([("t", "a", "p", "A", 0, 1), ("t", "b", "p", "A", 3 * 3600, 0)])
+    got = [(r.bucket_hour, r.failure_rate_pct, r.previous_hour_failure_rate_pct)
+           for r in reports.run_reports(spark, df)["hourly_failure_trend"].collect()]
+    assert got == [(at(0), 100.0, None), (at(3 * 3600), 0.0, 100.0)]
+
+
+def test_trace_bands(spark, telemetry):
+    sizes = {1: "1 span", 2: "2-5 spans", 5: "2-5 spans", 6: "6-10 spans", 10: "6-10 spans",
+             11: "11-20 spans", 20: "11-20 spans", 21: "21+ spans"}
+    rows = [(f"t{n}", f"{n}-{i}", "p", "A", i, 0) for n in sizes for i in range(n)]
+    got = {r.span_count_bucket: r.trace_count for r in
+           reports.run_reports(spark, telemetry(rows))["trace_depth_distribution"].collect()}
+    assert got == {"1 span": 1, "2-5 spans": 2, "6-10 spans": 2, "11-20 spans": 2, "21+ spans": 1}
+
+
+def test_stored_reports(spark, telemetry, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    df = telemetry([("t", "s", "p", "A", 0, 0)])
+    assert "ground_truth_evaluation" not in reports.run_sql_reports(spark, df, store)
+    store.write(truth(spark, []), "fault_injections")
+    assert "ground_truth_evaluation" not in reports.run_sql_reports(spark, df, store)
+    store.write(truth(spark, [("A", "cpu", 0)]), "fault_injections")
+    counts = reports.run_sql_reports(spark, df, store)
+    assert counts["ground_truth_evaluation"] == 1
+    assert store.read("service_latency_profile").first().span_count == 1
