@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +80,15 @@ def file_manifest(
     )
 
 
+def dataset_is_present(spark: SparkSession, path: str, root: str = BASELINE_ROOT) -> bool:
+    """Whether any trace file of the fault-free capture is there."""
+    files = spark.read.format("binaryFile")
+    try:
+        return bool(files.load(f"{path.rstrip('/')}/{root}/*/trace/*.csv").inputFiles())
+    except AnalysisException:
+        return False
+
+
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("root", "kind").agg(
         F.count("*").alias("files"), F.sum("size_bytes").alias("size_bytes")

@@ -1,6 +1,7 @@
 """Every query with the columns it is compared on and, where SQL can say it, its check.
 
-Column specs carry a prefix: i whole number, d double (6 decimals), t timestamp, none text.
+Column specs carry a prefix: i whole number, d double (kept to 6 decimals), t timestamp, none
+text.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ def _spark_column(spec: str) -> Column:
     if kind == "i":
         column = column.cast("bigint")
     elif kind == "d":
-        column = F.round(column.cast("double"), 6) + F.lit(0.0)
+        # Half up on the double itself: the engines' own round() treat ties differently.
+        column = F.floor(column.cast("double") * 1e6 + 0.5) / 1e6
     elif kind == "t":
         column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS")
     return column.alias(name)
@@ -59,7 +61,7 @@ def _duck_column(spec: str) -> str:
     kind, _, name = spec.rpartition(":")
     forms = {
         "i": f"CAST({name} AS BIGINT)",
-        "d": f"round(CAST({name} AS DOUBLE), 6) + 0.0::DOUBLE",
+        "d": f"CAST(floor(CAST({name} AS DOUBLE) * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT) / 1e6::DOUBLE",
         "t": f"strftime({name}, '%Y-%m-%d %H:%M:%S.%g')",
         "": f"CAST({name} AS VARCHAR)",
     }
@@ -147,7 +149,7 @@ TRACE = (
     "d:duration_ms capture_date capture_root"
 )
 METRIC = (
-    "pod_id i:epoch_sec d:cpu_usage_mcores d:memory_usage_mb d:network_rx_bytes d:network_tx_bytes"
+    "pod_id i:epoch_sec d:cpu_usage_mcores d:memory_usage_mb i:network_rx_bytes i:network_tx_bytes"
 )
 SERVICE = "trace_id service_name span_id parent_span_id namespace pod_id node_id"
 RESPONSE = (
@@ -1144,9 +1146,10 @@ add(
 )
 add(
     "mart_report_efficiency",
-    "i:data_size d:avg_time d:throughput d:mean_speedup d:ratio d:speedup d:efficiency",
+    "i:data_size d:avg_time d:throughput d:mean_speedup d:ratio d:speedup d:efficiency "
+    "d:mean_efficiency",
     lambda s, sf: scaling.mart_report_efficiency(runs(s, sf)),
-    """SELECT *, speedup / ratio AS efficiency FROM (
+    """SELECT *, speedup / ratio AS efficiency, mean_speedup / ratio AS mean_efficiency FROM (
          SELECT data_size, round(total_sec, 2) AS avg_time, round(throughput, 0) AS throughput,
            round(mean_speedup, 3) AS mean_speedup, data_size / s0 AS ratio,
            round(t0, 2) / round(total_sec, 2) AS speedup FROM by_size, smallest)""",

@@ -107,6 +107,8 @@ def test_manifest(spark, captures):
     assert len(got) == 6
     only = manifest.file_manifest(spark, captures, kinds=("trace",), roots=("rca_data",))
     assert [r.relative_path for r in only.collect()] == ["rca_data/2023-05-05/trace/b.csv"]
+    assert manifest.dataset_is_present(spark, captures)
+    assert not manifest.dataset_is_present(spark, captures, "elsewhere")
     totals = {(r.root, r.kind): r.files for r in manifest.manifest_totals(files).collect()}
     assert totals["construct_data", "log"] == 3
 
