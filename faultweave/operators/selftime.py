@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultweave.functions import features
+from faultweave.operators.quantiles import exact_percentile
 
 
 def child_time(traces: DataFrame) -> DataFrame:
@@ -40,27 +41,23 @@ def latency_ceiling(
     percentile: float = 0.99,
     min_samples: int = 30,
     accuracy: int = 10_000,
-    global_accuracy: int = 1_000_000,
 ) -> DataFrame:
     """Fault-free percentile of self time per endpoint.
 
-    Endpoints with fewer than `min_samples` baseline spans take the percentile
-    over all endpoints, read through a scalar subquery. Percentiles are mergeable
-    sketches, so no endpoint's spans meet in one task; the single global sketch
-    can afford a finer accuracy than the per-endpoint ones.
+    The percentiles per endpoint are mergeable sketches, so no endpoint's spans meet
+    in one task. Endpoints with fewer than `min_samples` baseline spans take the exact
+    percentile over all endpoints, read through a scalar subquery.
     """
     baseline = traces.filter(F.col("capture_root") == "baseline")
-    overall = baseline.agg(
-        F.percentile_approx("self_time_ms", percentile, global_accuracy).alias("overall")
-    )
     profile = baseline.groupBy("endpoint").agg(
         F.percentile_approx("self_time_ms", percentile, accuracy).alias("own"),
         F.count("*").alias("baseline_samples"),
     )
     trusted = (F.col("baseline_samples") >= min_samples) & F.col("own").isNotNull()
+    overall = exact_percentile(baseline, "self_time_ms", percentile)
     return profile.select(
         "endpoint",
-        F.when(trusted, F.col("own")).otherwise(overall.scalar()).alias("baseline_p99_ms"),
+        F.when(trusted, F.col("own")).otherwise(overall).alias("baseline_p99_ms"),
         "baseline_samples",
     )
 
