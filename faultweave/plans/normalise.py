@@ -22,12 +22,15 @@ def normalise(
 ) -> dict[str, DataFrame]:
     """Canonical tables from typed traces and metrics.
 
-    The ceilings are written once (they cost a pass over the fault-free spans and
-    hold a row per endpoint) so that checking their size before the join is cheap.
+    Runs jobs: the fault-free self times (three columns) are written before the ceilings
+    are learned from them in several passes, and the ceilings (a row per endpoint) before
+    their size is checked for the join.
     """
     timed = selftime.add_self_time(traces)
     ceilings = selftime.latency_ceiling(
-        timed, settings.ceiling_percentile, settings.ceiling_min_samples
+        materialise(selftime.baseline_self_time(timed), "baseline"),
+        settings.ceiling_percentile,
+        settings.ceiling_min_samples,
     )
     judged = selftime.join_latency_ceiling(timed, materialise(ceilings, "ceilings"))
     return canonical.canonical_tables(selftime.flag_degraded(judged), metrics, namespaces)

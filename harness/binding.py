@@ -287,9 +287,13 @@ def telemetry_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def ceilings_table(spark: SparkSession, sf: str) -> DataFrame:
     """The learned ceilings as a table, a row per endpoint."""
-    learned = selftime.latency_ceiling(selftime.add_self_time(traces(spark, sf)))
-    path = _once(spark, sf, "ceilings", lambda at: learned.write.parquet(at))
-    return spark.read.parquet(path)
+
+    def write(path: str) -> None:
+        timed = selftime.add_self_time(traces(spark, sf))
+        baseline = workspace.materialise(selftime.baseline_self_time(timed), "baseline")
+        selftime.latency_ceiling(baseline).write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf, "ceilings", write))
 
 
 def capture_files(spark: SparkSession, sf: str) -> str:

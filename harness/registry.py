@@ -655,7 +655,10 @@ add(
 )
 add(
     "latency_ceiling", "endpoint d:baseline_p99_ms i:baseline_samples",
-    lambda s, sf: selftime.latency_ceiling(timed(s, sf)), "SELECT * FROM ceiling",
+    lambda s, sf: selftime.latency_ceiling(
+        workspace.materialise(selftime.baseline_self_time(timed(s, sf)), "baseline")
+    ),
+    "SELECT * FROM ceiling",
 )
 add("failure_patterns", PATTERNS, patterns, "SELECT * FROM patterns")
 add(
