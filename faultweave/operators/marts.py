@@ -234,7 +234,7 @@ def mart_blast_radius(pairs: DataFrame, k: int = 10) -> DataFrame:
 # ---- anomalies and patterns ------------------------------------------------
 
 
-def _signals(df: DataFrame) -> list[Column]:
+def _signals() -> list[Column]:
     renamed = {
         "error_signal": "is_anomaly_error",
         "latency_signal": "is_anomaly_latency",
@@ -248,7 +248,7 @@ def mart_anomaly_summary(anomalies: DataFrame, services: Sequence[str] = ()) ->
     return service_filter(anomalies, services).agg(
         F.count("*").alias("total_buckets"),
         overall.alias("overall"),
-        *_signals(anomalies),
+        *_signals(),
         numbers.percent(overall, F.count("*")).alias("anomaly_rate"),
     )
 
@@ -299,7 +299,7 @@ def mart_anomaly_timeline(anomalies: DataFrame, services: Sequence[str] = ()) ->
     return (
         service_filter(anomalies, services)
         .groupBy("time_bucket")
-        .agg(*_signals(anomalies), F.sum("is_anomaly_overall").alias("multi_signal"))
+        .agg(*_signals(), F.sum("is_anomaly_overall").alias("multi_signal"))
         .orderBy("time_bucket")
     )
 
@@ -318,7 +318,7 @@ def mart_top4_timeline(anomalies: DataFrame, k: int = 4) -> DataFrame:
 def mart_signal_mix(anomalies: DataFrame) -> DataFrame:
     # Wording of the signals.
     return (
-        anomalies.agg(*_signals(anomalies))
+        anomalies.agg(*_signals())
         .select(
             F.col("error_signal").alias("Error rate"),
             F.col("latency_signal").alias("Latency"),
