@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultweave.llm import line_quality, mixing, token_counts, token_store
+from faultweave.llm import line_quality, mixing, near_dedup, token_counts, token_store
 from faultweave.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
+def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_dedup.near_duplicates(documents(spark, sf), k=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), vocabulary(BYTE_BPE))
 
@@ -54,6 +59,7 @@ def op9_token_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op3_token_counts": op3_token_counts,
     "op6_line_quality": op6_line_quality,
     "op7_source_mix": op7_source_mix,
@@ -64,6 +70,36 @@ WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]
 
 SQL: dict[str, str] = {}
 
+LOWER_WORDS = WORDS.replace(
+    "coalesce(text, '')",
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+)
+
+SQL["op1_near_duplicates"] = rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT doc_id, {LOWER_WORDS} AS ws FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+        ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s
+    FROM docs
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM shingles AS x JOIN shingles AS y USING (s) WHERE x.doc_id < y.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS MATERIALIZED (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(reach.b) AS component_id, doc_id = min(reach.b) AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = doc_id GROUP BY doc_id, n
+"""
+
 SQL["op6_line_quality"] = rf"""
 WITH docs AS MATERIALIZED (
     SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {WORDS} AS words FROM documents
