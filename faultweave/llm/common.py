@@ -52,6 +52,17 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield batch.slice(start), texts[start:]
 
 
+# Letters, digits and bytes beyond ASCII stay; A-Z are lower-cased; the rest parts words.
+_FOLD = bytes(
+    c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
+)
+
+
+def words_folded(text: bytes) -> list[bytes]:
+    """Words without case and ASCII punctuation, for models and alignments."""
+    return text.translate(_FOLD).split()
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered per worker."""
 
@@ -70,7 +81,11 @@ def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     A-Z are lower-cased; bytes.split cuts at just the six ASCII white-space characters.
     """
-    split = [t.lower().split() for t in texts]
+    return hash_tokens([t.lower().split() for t in texts])
+
+
+def hash_tokens(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of given words in a row, and the number of words of each text."""
     counts = np.fromiter(map(len, split), np.int64, len(split))
     flat = np.fromiter(
         (h for words in split for h in map(_hashes.__getitem__, words)), np.uint64, int(counts.sum())

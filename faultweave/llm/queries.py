@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultweave.llm import line_quality, mixing, near_dedup, token_counts, token_store
+from faultweave.llm import (
+    decontamination, line_quality, mixing, near_dedup, token_counts, token_store, toxicity,
+)
 from faultweave.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +45,11 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), vocabulary(BYTE_BPE))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
 def op6_line_quality(spark: SparkSession, sf: str) -> DataFrame:
     return line_quality.quality(documents(spark, sf))
 
@@ -58,12 +65,18 @@ def op9_token_store(spark: SparkSession, sf: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op3_token_counts": op3_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op6_line_quality": op6_line_quality,
     "op7_source_mix": op7_source_mix,
     "op9_token_store": op9_token_store,
+    "op10_decontamination": op10_decontamination,
 }
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
