@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from faultweave.llm import (
-    decontamination, line_quality, mixing, near_dedup, token_counts, token_store, toxicity,
+    decontamination, line_dedup, line_quality, mixing, near_dedup, pii, token_counts, token_store, toxicity,
 )
 from faultweave.sources.workspace import new_path
 
@@ -41,6 +41,10 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.remove(documents(spark, sf)).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), vocabulary(BYTE_BPE))
 
@@ -59,6 +63,11 @@ def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return pii.find(docs, pii.train(docs))
+
+
 def op9_token_store(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "token-store")
     token_store.write_store(documents(spark, sf), vocabulary(WORD_BPE), path)
@@ -71,10 +80,12 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_line_quality": op6_line_quality,
     "op7_source_mix": op7_source_mix,
+    "op8_personal_data": op8_personal_data,
     "op9_token_store": op9_token_store,
     "op10_decontamination": op10_decontamination,
 }
@@ -113,6 +124,26 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(reach.b) AS component_i
 FROM docs LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = doc_id GROUP BY doc_id, n
 """
 
+SQL["op2_line_dedup"] = rf"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), lines AS MATERIALIZED (
+    SELECT r, doc_id, source, i, line, nullif(trim(regexp_replace(
+        translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+', ' ', 'g')), '') AS norm
+    FROM (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)
+), boilerplate AS (
+    SELECT norm FROM lines WHERE norm IS NOT NULL
+    GROUP BY norm HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}
+), marked AS (
+    SELECT *, norm IS NOT NULL AND norm IN (SELECT norm FROM boilerplate) AS cut FROM lines
+)
+SELECT any_value(doc_id) AS doc_id, count(norm)::BIGINT AS n_lines, count(*) FILTER (cut)::BIGINT AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS text
+FROM marked GROUP BY r
+"""
+
 SQL["op6_line_quality"] = rf"""
 WITH docs AS MATERIALIZED (
     SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {WORDS} AS words FROM documents
