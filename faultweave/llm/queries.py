@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from faultweave.llm import (
-    decontamination, line_dedup, line_quality, mixing, near_dedup, pii, token_counts, token_store, toxicity,
+    decontamination, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
 )
 from faultweave.sources.workspace import new_path
 
@@ -49,6 +49,10 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), vocabulary(BYTE_BPE))
 
 
+def op4_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.lm_scores(documents(spark, sf))
+
+
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_lm_scores": op4_lm_scores,
     "op5_toxicity": op5_toxicity,
     "op6_line_quality": op6_line_quality,
     "op7_source_mix": op7_source_mix,
