@@ -33,4 +33,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that `materialise` wrote and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
