@@ -38,7 +38,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 150
 REPEATS = 2
 # Rows per cell of the streams, slots per stretch of the schedule.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 STRETCH = 1 << 16
 
 
