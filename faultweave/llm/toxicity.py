@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultweave.llm.common import REMEMBERED, chunks, fold_of, words_folded
+from faultweave.sources.workspace import materialise
 
-MAX_POSITIVE = 8_000
-MAX_UNLABELLED = 16_000
+MAX_POSITIVE = 6_000
+MAX_UNLABELLED = 12_000
 # Features that enter the model: seen in so many positives at least, the most telling first,
 # no more than half as many as there are positives.
 MIN_POSITIVE = 5
@@ -83,39 +84,23 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float) -> Model:
-    """Non-negative PU fit with logistic loss, Adam over the full sample."""
-    if not positive or not unlabelled or not prior > 0:
-        return Model({}, -40.0)
-    n_p, n_u = len(positive), len(unlabelled)
-    in_p: dict[str, int] = {}
-    for words in positive:
-        for w in words:
-            in_p[w] = in_p.get(w, 0) + 1
-    in_p = {w: n for w, n in in_p.items() if n >= min(MIN_POSITIVE, n_p)}
-    in_u = dict.fromkeys(in_p, 0)
-    for words in unlabelled:
-        for w in in_u.keys() & words:
-            in_u[w] += 1
-    # How far a word's share among positives exceeds its share in all text, in deviations.
-    shares = {w: (n / n_p, (in_u[w] + 0.5) / (n_u + 1)) for w, n in in_p.items()}
-    telling = {w: (p - u) / (u / n_p) ** 0.5 for w, (p, u) in shares.items() if p > u}
-    chosen = sorted(telling, key=lambda w: (-telling[w], w))[: min(MAX_FEATURES, max(MIN_FEATURES, n_p // 2))]
-    index = {w: i for i, w in enumerate(chosen)}
-
-    def matrix(sets: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
-        rows, columns = [], []
-        for i, words in enumerate(sets):
-            hit = sorted(index[w] for w in index.keys() & words)
-            rows += [i] * len(hit)
-            columns += hit
-        return np.array(rows, np.int64), np.array(columns, np.int64)
+def fit(chosen: list[str], supports: list[float], positive: list[list[int]], unlabelled: list[list[int]], prior: float) -> Model:
+    """Non-negative PU fit with logistic loss, Adam over the full sample.
+
+    `supports`: the share of positives that each chosen feature stands in; the examples list
+    the indices of the chosen features that they hold.
+    """
+    n_p, n_u, size = len(positive), len(unlabelled), len(chosen)
+
+    def matrix(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = [len(x) for x in lists]
+        columns = np.fromiter((c for x in lists for c in x), np.int64, sum(lengths))
+        return np.repeat(np.arange(len(lists)), lengths), columns
 
     (p_rows, p_cols), (u_rows, u_cols) = matrix(positive), matrix(unlabelled)
-    size = len(chosen)
     weights = np.zeros(size + 1)  # the bias last
     weights[-1] = np.log(prior / (1 - prior)) if prior < 1 else 0.0
-    penalty = np.array([PENALTY * max(1.0, PENALTY_SHARE / shares[f][0]) ** 2 for f in chosen])
+    penalty = np.array([PENALTY * max(1.0, PENALTY_SHARE / share) ** 2 for share in supports])
     first, second = np.zeros(size + 1), np.zeros(size + 1)
 
     def logits(rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
@@ -137,39 +122,81 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float) -> M
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         weights -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model({f: float(weights[i]) for f, i in index.items()}, float(weights[-1]))
+    return Model(dict(zip(chosen, weights[:-1].tolist())), float(weights[-1]))
+
+
+NOTHING = Model({}, -40.0)
 
 
 def _share(limit: int, count: int) -> float:
     return min(1.0, limit / count) if count else 0.0
 
 
+def choose(sample: DataFrame, n_p: int, n_u: int) -> DataFrame:
+    """feature, p, u: the features whose share among positives exceeds that in all text most,
+    in deviations. `sample`: positive (boolean) and text. Counted where the texts lie."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches):
+            counts: dict[str, list[int]] = {}
+            for positive, text in zip(batch.column("positive").to_pylist(), texts):
+                for f in {f for w in set(words_folded(text)) for f in features(w)}:
+                    counts.setdefault(f, [0, 0])[not positive] += 1
+            yield pa.record_batch(
+                [pa.array(list(counts)), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))],
+                names=["feature", "p", "u"],
+            )
+
+    counted = sample.select("positive", "text").mapInArrow(read, "feature string, p long, u long")
+    counted = counted.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    p, u = F.col("p") / n_p, (F.col("u") + 0.5) / (n_u + 1)
+    telling = (p - u) / F.sqrt(u / n_p)
+    supported = counted.filter((F.col("p") >= min(MIN_POSITIVE, n_p)) & (p > u))
+    limit = min(MAX_FEATURES, max(MIN_FEATURES, n_p // 2))
+    return supported.orderBy(telling.desc(), "feature").limit(limit)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on documents and labels outside the held-out fold. Collects the bounded sample."""
+    """Fit on documents and labels outside the held-out fold.
+
+    Gathers at most MAX_FEATURES features and, of each example of the bounded sample, the
+    indices of those it holds.
+    """
     learnt = fold_of("doc_id", FOLDS) != HELD_OUT
     known = labels.filter(learnt & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n_known, n_toxic = known.agg(F.count("*"), F.count(F.when(F.col("toxic") == 1, 1))).first()
-    usable = docs.filter(learnt & F.col("doc_id").isNotNull())
+    usable = docs.filter(learnt & F.col("doc_id").isNotNull()).select("doc_id", "text")
     n_docs = usable.count()
     if not n_toxic or not n_docs:
-        return Model({}, -40.0)
+        return NOTHING
     draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     confirmed = known.filter((F.col("toxic") == 1) & (draw(1) < _share(MAX_POSITIVE, n_toxic))).select("doc_id")
     # About MAX_POSITIVE ids by construction: small enough to send everywhere.
-    positive = usable.join(F.broadcast(confirmed), "doc_id", "left_semi").select("text")
-    unlabelled = usable.filter(draw(2) < _share(MAX_UNLABELLED, n_docs)).select("text")
-
-    def sample(df: DataFrame) -> list[set[str]]:
-        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts in chunks(batches):
-                lines = [b" ".join(sorted(set(words_folded(t)))) for t in texts]
-                yield pa.record_batch([pa.array(lines, pa.binary())], names=["words"])
-
-        rows = df.mapInArrow(read, "words binary").toLocalIterator()
-        return [{f for w in bytes(row["words"]).split() for f in features(w)} for row in rows]
+    positive = usable.join(F.broadcast(confirmed), "doc_id", "left_semi")
+    unlabelled = usable.filter(draw(2) < _share(MAX_UNLABELLED, n_docs))
+    sample = materialise(
+        positive.select(F.lit(True).alias("positive"), "text").union(unlabelled.select(F.lit(False), "text")), "sample"
+    )
+    sizes = dict(sample.groupBy("positive").count().collect())
+    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_p or not n_u:
+        return NOTHING
+    rows = choose(sample, n_p, n_u).collect()
+    index = {r["feature"]: i for i, r in enumerate(rows)}
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches):
+            held = [
+                sorted({index[f] for w in set(words_folded(t)) for f in features(w) if f in index}) for t in texts
+            ]
+            yield pa.record_batch(
+                [batch.column("positive"), pa.array(held, pa.list_(pa.int32()))], names=["positive", "held"]
+            )
 
-    return fit(sample(positive), sample(unlabelled), n_toxic / n_known)
+    examples = sample.mapInArrow(hold, "positive boolean, held array<int>").collect()
+    parts = [sorted(list(e["held"]) for e in examples if e["positive"] == side) for side in (True, False)]
+    return fit(list(index), [r["p"] / n_p for r in rows], *parts, n_toxic / n_known)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
