@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
 # A word is a run of anything but the six ASCII white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +26,19 @@ REMEMBERED = 400_000
 CHUNK_CHARS = 1 << 21
 
 
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file, which lies at the same place on every node.
+
+    FAULTWEAVE_TOKENIZERS names another folder.
+    """
+    folder = os.environ.get("FAULTWEAVE_TOKENIZERS")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -87,9 +106,7 @@ def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def hash_tokens(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of given words in a row, and the number of words of each text."""
     counts = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.fromiter(
-        (h for words in split for h in map(_hashes.__getitem__, words)), np.uint64, int(counts.sum())
-    )
+    flat = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum()))
     return flat, counts
 
 

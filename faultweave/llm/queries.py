@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from faultweave.llm import (
     decontamination, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
 )
+from faultweave.llm.common import BYTE_BPE, WORD_BPE, table, vocabulary
 from faultweave.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-WORD_BPE = "word_bpe_49k.json"
-BYTE_BPE = "byte_bpe_50k.json"
-
-
-def vocabulary(name: str) -> str:
-    """A public tokenizer's file, which lies at the same place on every node.
-
-    FAULTWEAVE_TOKENIZERS names another folder.
-    """
-    folder = os.environ.get("FAULTWEAVE_TOKENIZERS")
-    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
-
-
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
@@ -82,6 +66,10 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf), table(spark, sf, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_line_dedup": op2_line_dedup,
@@ -93,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_store": op9_token_store,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
