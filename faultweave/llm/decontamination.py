@@ -7,8 +7,8 @@
    limit on how frequent a seed may be: an item that stands everywhere keeps its seeds.
 3. The corpus is read again with a bitmap of the seeds. Passages are stretches of words
    whose seed hits lie close together, with the words around them.
-4. Passages and items meet on equal seeds; a pair with two different seeds in common (one if
-   the item has no more) goes on.
+4. Passages and items meet on equal seeds; a pair with two different seeds in common goes on,
+   or with one if that is rare or the item has no more.
 5. Smith-Waterman over words scores each pair; the score is divided by that of the item
    against itself.
 
@@ -30,7 +30,10 @@ from faultweave.llm.common import chunks, hash_tokens, mix, words_folded
 from faultweave.sources.workspace import materialise
 
 GRAM = 3
-SPAN = 4
+SPAN = 2
+# A seed in no more documents than this share of all, or than so many, is enough by itself.
+RARE_SHARE = 1e-4
+RARE_DOCS = 3
 # Bits of the bitmap: 2^27, 16 MB whatever the benchmark's size.
 LOG_BITS = 27
 # Words between two hits of one passage, and words kept on either side of it.
@@ -109,11 +112,11 @@ def gram_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def choose_seeds(item_rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """item_id, gram: the rarest n-gram of every SPAN in a row, ties to the first."""
+    """item_id, gram, n_docs: the rarest n-gram of every SPAN in a row, ties to the first."""
     with_counts = item_rows.join(counts, "gram", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
     stretch = F.floor(F.col("place") / SPAN).alias("stretch")
     best = with_counts.groupBy("item_id", stretch).agg(F.min_by("gram", F.struct("n_docs", "place")).alias("gram"))
-    return best.select("item_id", "gram").distinct()
+    return best.select("item_id", "gram").distinct().join(counts, "gram")
 
 
 def passages(docs: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -204,10 +207,14 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     counts = gram_counts(docs, bitmap(item_rows))
     seeds = materialise(choose_seeds(item_rows, counts), "seeds")
     found = materialise(passages(docs, bitmap(seeds)), "passages")
+    total = docs.count()
+    rare = (F.col("n_docs") <= F.lit(total * RARE_SHARE)) | (F.col("n_docs") <= RARE_DOCS)
     needed = seeds.groupBy("item_id").agg(F.least(F.count("*"), F.lit(2)).alias("needed"))
     hits = found.select("row", "start", F.explode("grams").alias("gram")).join(seeds, "gram")
-    shared = hits.groupBy("row", "start", "item_id").agg(F.count("*").alias("n"))
-    pairs = shared.join(needed, "item_id").filter("n >= needed").select("row", "start", "item_id")
+    shared = hits.groupBy("row", "start", "item_id").agg(
+        F.count("*").alias("n"), F.max(rare).alias("rare")
+    )
+    pairs = shared.join(needed, "item_id").filter("n >= needed OR rare").select("row", "start", "item_id")
     texts = items.select("item_id", F.col("text").alias("item"))
     full = pairs.join(found.drop("grams"), ["row", "start"]).join(texts, "item_id")
     scored = score_pairs(full, threshold)
@@ -219,5 +226,6 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    hit = materialise(contamination(docs, items, threshold).select(F.col("doc_id").alias("_hit")).distinct(), "hit")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    hit = materialise(contamination(docs, items, threshold).select("doc_id").distinct(), "hit")
+    rows = docs.select(F.struct("*").alias("doc"))
+    return rows.join(hit, F.col("doc.doc_id").eqNullSafe(F.col("doc_id")), "left_anti").select("doc.*")

@@ -52,6 +52,8 @@ ROWS = 1 << 12
 ROUNDS = 2
 BATCH = 4096
 RATE = 0.3
+# What a row's squared slopes start from: rows with few tokens move little.
+CAUTION = 1.0
 # Partial word counts are passed on when a task holds so many words.
 FLUSH = 300_000
 # Rows of weights per block that is averaged.
@@ -247,7 +249,7 @@ def _step(weights: np.ndarray, squares: np.ndarray, start: np.ndarray, rows: np.
     sums = np.add.reduceat(slope[order % len(target)], firsts, axis=0)
     touched = ordered[firsts]
     squares[touched] += (sums**2).mean(1)
-    weights[touched] -= RATE * sums / np.sqrt(squares[touched] + 1e-6)[:, None]
+    weights[touched] -= RATE * sums / np.sqrt(squares[touched] + CAUTION)[:, None]
 
 
 def learn(model: Model, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[Model, int]:

@@ -5,9 +5,9 @@
    The running length never needs a whole source in one task: documents are dealt into
    cells by the leading digits of their shuffle key, cells are summed before the shuffle,
    and only the sums are accumulated over a source.
-3. `schedule`: slots of `block_words` words. Slot t has the point t * g mod N, g being the
-   whole number nearest to N / golden ratio without a common divisor with N: the
-   golden-ratio sequence rounded to N points. It meets every point once, so cutting the
+3. `schedule`: slots of `block_words` words. Slot t has the point t * g mod N, g being a
+   whole number next to N / golden ratio without a common divisor with N: the golden-ratio
+   sequence rounded to N points. It meets every point once, so cutting the
    points by cumulative quotas gives each source exactly its quota of slots, evenly
    interleaved. Each source lists its own points and finds their slots with the inverse of
    g, which needs no join; ranks per source come from counts per stretch of slots.
@@ -144,14 +144,24 @@ def quotas(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
 
 
+def _quotients(a: int, b: int) -> int:
+    """Largest partial quotient of a / b, the measure of how unevenly its multiples lie."""
+    largest = 0
+    while a:
+        largest = max(largest, b // a)
+        a, b = b % a, a
+    return largest
+
+
 def _step(n: int) -> int:
-    """The whole number nearest to n / golden ratio that has no common divisor with n."""
+    """A step near n / golden ratio without a common divisor with n, whose multiples lie evenly.
+
+    Rounding spoils the golden ratio's last partial quotients; among the whole numbers around
+    it the one with the smallest quotients is taken, the nearest of equals.
+    """
     near = round(n * (math.sqrt(5) - 1) / 2)
-    for away in range(n + 1):
-        for step in (near + away, near - away):
-            if 0 < step <= n and math.gcd(step, n) == 1:
-                return step
-    return 1
+    around = [s for s in range(max(1, near - 200), min(n, near + 200) + 1) if math.gcd(s, n) == 1]
+    return min(around, key=lambda s: (_quotients(s, n), abs(s - near)), default=1)
 
 
 def schedule(quota: DataFrame) -> DataFrame:
@@ -226,17 +236,15 @@ def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Whole documents as often as the mix takes their words, rounded half up: 0, 1 or 2 times."""
-    columns = docs.columns
     counts = taken(docs, block_words).filter("size > 0").groupBy("doc_id", "source", "size").agg(
         # Repeated rows share their turns evenly.
         F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("times")
     )
-    sized = docs.withColumn("_size", F.size(words_of(text_of())).cast("long"))
+    sized = docs.select(F.struct("*").alias("doc"), F.size(words_of(text_of())).cast("long").alias("words"))
     met = sized.join(
-        counts.select(*[F.col(c).alias(f"_m_{c}") for c in ("doc_id", "source", "size", "times")]),
-        F.col("doc_id").eqNullSafe(F.col("_m_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_m_source"))
-        & (F.col("_size") == F.col("_m_size")),
+        counts,
+        F.col("doc.doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("doc.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size")),
     )
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("_m_times")))
-    return met.withColumn("_copy", copies).select(*columns)
+    return met.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("doc.*")
