@@ -74,7 +74,8 @@ def remove(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     cut = materialise(boilerplate(rows, min_sites), "boilerplate")
     lists = rows.join(cut, "h").select("text_key", "h").distinct().groupBy("text_key").agg(F.collect_list("h").alias("_cut"))
     lists = materialise(lists, "cut-lists").withColumnRenamed("text_key", "_key")
-    keyed = docs.select(*columns, text_of().alias("_text"))
+    # The further columns travel as one, whatever their names.
+    keyed = docs.select(F.struct(*columns).alias("doc"), text_of().alias("_text"))
     met = keyed.join(lists, F.xxhash64("_text") == F.col("_key"), "left")
     hashed = F.transform(
         F.split("_text", "\n"), lambda line: F.struct(line.alias("line"), line_hash(line).alias("h"))
@@ -83,7 +84,7 @@ def remove(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     kept = F.filter("_lines", lambda x: x["h"].isNull() | ~F.array_contains("_cut", x["h"]))
     spoken = lambda c: F.size(F.filter(c, lambda x: x["h"].isNotNull()))
     return with_hashes.withColumn("_kept", F.when(F.col("_cut").isNull(), F.col("_lines")).otherwise(kept)).select(
-        *columns,
+        "doc.*",
         F.array_join(F.transform("_kept", lambda x: x["line"]), "\n").alias("text"),
         spoken("_lines").cast("long").alias("n_lines"),
         (spoken("_lines") - spoken("_kept")).cast("long").alias("n_removed"),
