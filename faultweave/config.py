@@ -24,7 +24,6 @@ class Settings:
     # dataset checks and serving tables
     null_threshold: float = 0.5
     min_rows: int = 10_000
-    chain_cap: int = 50_000
     sample_mod: int = 10
 
 

@@ -69,18 +69,18 @@ def error_rate_status(percent: Column) -> Column:
 
 def pattern_type(error: Column, latency: Column, resource: Column) -> Column:
     """Name of the combination of signals that fired."""
-    fired = F.concat(error.cast("string"), latency.cast("string"), resource.cast("string"))
-    names = {
-        "111": "full_failure",
-        "110": "cascading_failure",
-        "011": "resource_exhaustion",
-        "101": "error_resource_link",
-        "100": "error_surge",
-        "010": "latency_spike",
-        "001": "resource_pressure",
-    }
-    table = F.create_map(*[F.lit(x) for item in names.items() for x in item])
-    return F.coalesce(F.try_element_at(table, fired), F.lit("normal"))
+    e, l, r = error == 1, latency == 1, resource == 1
+    # The names of the combinations.
+    return (
+        F.when(e & l & r, "full_failure")
+        .when(e & l, "cascading_failure")
+        .when(l & r, "resource_exhaustion")
+        .when(e & r, "error_resource_link")
+        .when(e, "error_surge")
+        .when(l, "latency_spike")
+        .when(r, "resource_pressure")
+        .otherwise("normal")
+    )
 
 
 def scaling_class(efficiency: Column) -> Column:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from faultweave.functions import numbers
 
 
+# Tasks that share the pairs of one minute.
+PAIR_SHARES = 16
+
+
 def call_edges(df: DataFrame) -> DataFrame:
     """One row per parent-child pair of spans.
 
@@ -19,18 +23,15 @@ def call_edges(df: DataFrame) -> DataFrame:
         F.col("span_id").alias("_caller"),
         F.col("service_name").alias("caller_service"),
         F.col("is_failure").alias("caller_failure"),
-        F.col("start_time_ts").alias("caller_start"),
     )
     callees = df.filter(F.col("parent_span_id").isNotNull()).select(
         F.col("parent_span_id").alias("_caller"),
         F.col("service_name").alias("callee_service"),
         F.col("is_failure").alias("callee_failure"),
-        F.col("start_time_ts").alias("callee_start"),
         F.col("response_time_ms").alias("callee_latency"),
     )
     return callers.join(callees, "_caller", "inner").select(
-        "caller_service", "callee_service", "caller_failure", "callee_failure",
-        "caller_start", "callee_start", "callee_latency",
+        "caller_service", "callee_service", "caller_failure", "callee_failure", "callee_latency",
     )
 
 
@@ -48,7 +49,7 @@ def service_dependency_graph(df: DataFrame) -> DataFrame:
             F.count("*").alias("call_count"),
             F.sum("caller_failure").alias("caller_error_count"),
             F.sum("callee_failure").alias("callee_error_count"),
-            F.sum(both).alias("co_failure_count"),
+            F.sum(F.coalesce(both, F.lit(0))).alias("co_failure_count"),
             F.avg("callee_latency").alias("avg_callee_latency_ms"),
         )
     )
@@ -117,24 +118,29 @@ def service_minute_error_rate(df: DataFrame) -> DataFrame:
     )
 
 
-def paired_series(rates: DataFrame) -> DataFrame:
+def paired_series(rates: DataFrame, shares: int = PAIR_SHARES) -> DataFrame:
     """Two services' error rates side by side, for each minute in which both were called.
 
     The input holds one row per service and minute, whatever the traffic, so a
-    minute contributes at most one row per pair of services. Aggregations over the
-    result run in the join's own stage, before any shuffle.
+    minute contributes at most one row per pair of services. The pairs of a minute are
+    dealt into `shares` by their first service, and the second side is repeated for each
+    share, so a minute with very many services doesn't meet in one task. Aggregations over
+    the result run in the join's own stage, before any shuffle.
     """
     first = rates.select(
         "minute_ts",
+        F.pmod(F.xxhash64("service_name"), F.lit(shares)).alias("_share"),
         F.col("service_name").alias("service_a"),
         F.col("error_rate").alias("error_rate_a"),
     )
     second = rates.select(
         "minute_ts",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))).alias("_share"),
         F.col("service_name").alias("service_b"),
         F.col("error_rate").alias("error_rate_b"),
     )
-    return first.join(second, "minute_ts", "inner").filter("service_a < service_b")
+    paired = first.join(second, ["minute_ts", "_share"]).filter("service_a < service_b")
+    return paired.drop("_share")
 
 
 def correlate_series(
@@ -207,8 +213,9 @@ def propagation_metrics(pairs: DataFrame, chains: DataFrame, k: int = 10) -> Dat
     )
 
 
-def first_chains(chains: DataFrame, cap: int = 50_000) -> DataFrame:
-    """The `cap` earliest chains, in a total order."""
-    return chains.orderBy(
+def first_chains(chains: DataFrame, cap: int | None = None) -> DataFrame:
+    """Chains in a total order by time; with `cap`, only the earliest."""
+    ordered = chains.orderBy(
         "source_timestamp", "target_timestamp", "trace_id", "source_service", "target_service"
-    ).limit(cap)
+    )
+    return ordered if cap is None else ordered.limit(cap)

@@ -129,7 +129,7 @@ def mart_error_categories(telemetry: DataFrame, services: Sequence[str] = ()) ->
 # ---- call graph and chains -------------------------------------------------
 
 
-def mart_pairs(pairs: DataFrame, min_score: float = 0.0, k: int = 400) -> DataFrame:
+def mart_pairs(pairs: DataFrame, min_score: float = 0.0, k: int | None = None) -> DataFrame:
     strong = pairs.filter(F.col("propagation_score") >= min_score)
     return _top(strong, k, F.col("propagation_score"), "caller_service", "callee_service")
 
@@ -186,7 +186,7 @@ def top_axis(pairs: DataFrame, axis: str, k: int = 14) -> DataFrame:
 
 
 def mart_propagation_matrix(
-    pairs: DataFrame, callers: Sequence[str], how: str = "max", k: int | None = 14
+    pairs: DataFrame, callers: Sequence[str], how: str = "max", k: int | None = None
 ) -> DataFrame:
     """Callee rows by caller columns, 0 where a pair is missing.
 
@@ -346,7 +346,7 @@ def label_patterns(patterns: DataFrame) -> DataFrame:
 
 
 def mart_patterns_detail(
-    patterns: DataFrame, services: Sequence[str] = (), k: int = 200
+    patterns: DataFrame, services: Sequence[str] = (), k: int | None = None
 ) -> DataFrame:
     return _top(
         service_filter(patterns, services), k,

@@ -1,39 +1,61 @@
-"""An exact percentile of a whole column, without gathering the column."""
+"""Exact percentiles per group, without gathering a group."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of log(1 + value), coarse to fine.
-RESOLUTIONS = (1e3, 1e6)
+# Buckets per unit of log(1 + |value|): a bucket is a hundredth of a percent wide.
+RESOLUTION = 1e4
+
 
+def grouped_percentiles(
+    df: DataFrame, groups: Sequence[str], value: str, shares: Mapping[str, float]
+) -> DataFrame:
+    """Per group, the smallest value with at least each share of the values up to it.
 
-def _locate(counts: DataFrame, key: str, rank: Column) -> Column:
-    """The first key whose running count reaches `rank`, and the rank left inside it."""
-    reached = (
-        counts.withColumn("upto", F.sum("n").over(Window.orderBy(key)))
-        .withColumn("rank", rank)
-        .filter(F.col("upto") >= F.col("rank"))
+    Exact at any size, in two passes. The first counts rows per group and logarithmic
+    bucket, some hundred thousand buckets at most, and finds the bucket that each rank falls
+    into. The second counts the distinct values inside those buckets only. Both are partial
+    counts before their shuffle, and the running sums see counts, never rows. Groups without
+    a value are left out; a NULL group is a group.
+    """
+    names = [f"_g{i}" for i in range(len(groups))]
+    rows = df.select(*[F.col(g).alias(n) for g, n in zip(groups, names)], F.col(value).alias("_v"))
+    rows = rows.filter(F.col("_v").isNotNull()).withColumn(
+        "_b", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * RESOLUTION)
+    )
+    counts = rows.groupBy(*names, "_b").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(*names)
+    ranks = [
+        F.struct(F.lit(name).alias("name"), F.ceil(F.col("_all") * F.lit(share)).alias("rank"))
+        for name, share in shares.items()
+    ]
+    reached = counts.select(
+        "*", F.sum("_n").over(whole.orderBy("_b")).alias("_upto"), F.sum("_n").over(whole).alias("_all")
+    ).withColumn("_want", F.explode(F.array(*ranks)))
+    before = F.col("_upto") - F.col("_n")
+    hits = reached.filter(F.col("_want.rank").between(before + 1, F.col("_upto"))).select(
+        *[F.col(n).alias(f"{n}_hit") for n in names], F.col("_b").alias("_b_hit"),
+        F.col("_want.name").alias("_name"), (F.col("_want.rank") - before).alias("_rank"),
     )
-    left = F.col("rank") - F.col("upto") + F.col("n")
-    return reached.agg(F.min_by(F.struct(F.col(key).alias("at"), left.alias("left")), key)).scalar()
+    same = F.col("_b") == F.col("_b_hit")
+    for n in names:
+        same &= F.col(n).eqNullSafe(F.col(f"{n}_hit"))
+    inside = rows.join(hits.drop("_name", "_rank").distinct(), same, "left_semi")
+    values = inside.groupBy(*names, "_b", "_v").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*names, "_b").orderBy("_v"))
+    met = values.withColumn("_upto", upto).join(hits, same).filter(
+        F.col("_rank").between(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))
+    )
+    return met.groupBy(*names).agg(
+        *[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in shares]
+    ).withColumnsRenamed(dict(zip(names, groups)))
 
 
 def exact_percentile(df: DataFrame, value: str, percentile: float) -> Column:
-    """Smallest value with at least the share `percentile` of the non-negative values up to it.
-
-    A scalar, NULL without rows. The rank is narrowed down over counts per logarithmic
-    bucket: some ten thousand coarse buckets, a thousand fine ones inside the hit, then
-    the distinct values of a slice one part in a million wide. The unpartitioned running
-    sums see only those counts. Each step is a pass over the rows, but they share the
-    shuffles below.
-    """
-    rows = df.select(F.col(value).alias("v")).filter(F.col("v").isNotNull())
-    rank = F.ceil(rows.agg(F.count("*")).scalar() * F.lit(percentile))
-    for resolution in RESOLUTIONS:
-        bucket = F.floor(F.log1p("v") * resolution)
-        counts = rows.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-        hit = _locate(counts, "b", rank)
-        rows, rank = rows.filter(bucket == hit["at"]), hit["left"]
-    return _locate(rows.groupBy("v").agg(F.count("*").alias("n")), "v", rank)["at"]
+    """The same over all rows, as a scalar; NULL without rows."""
+    found = grouped_percentiles(df, [], value, {"p": percentile})
+    return found.agg(F.max("p")).scalar()

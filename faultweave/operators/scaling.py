@@ -145,18 +145,15 @@ def mart_report_efficiency(runs: DataFrame) -> DataFrame:
     )
 
 
-def mart_report_ops(runs: DataFrame, sizes: int = 5) -> DataFrame:
-    """Mean of each operation for the smallest sizes, and the speed-up at the largest one."""
+def mart_report_ops(runs: DataFrame, sizes: int | None = None) -> DataFrame:
+    """Mean of each operation per size, by default for all, and the speed-up at the largest."""
     at_largest = (
         runs.groupBy("data_size")
         .agg(F.round(F.avg("speedup_vs_baseline"), 3).alias("s"))
         .agg(F.max_by("s", "data_size"))
         .scalar()
     )
-    return (
-        runs.groupBy("data_size")
-        .agg(*[F.round(F.avg(c), 2).alias(c) for c in OPERATIONS])
-        .orderBy("data_size")
-        .limit(sizes)
-        .withColumn("speedup_at_max_size", at_largest)
-    )
+    means = runs.groupBy("data_size").agg(*[F.round(F.avg(c), 2).alias(c) for c in OPERATIONS])
+    ordered = means.orderBy("data_size")
+    shown = ordered if sizes is None else ordered.limit(sizes)
+    return shown.withColumn("speedup_at_max_size", at_largest)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultweave.functions import features
-from faultweave.operators.quantiles import exact_percentile
+from faultweave.operators.quantiles import exact_percentile, grouped_percentiles
 
 
 def child_time(traces: DataFrame) -> DataFrame:
@@ -43,24 +43,18 @@ def baseline_self_time(timed: DataFrame) -> DataFrame:
     )
 
 
-def latency_ceiling(
-    traces: DataFrame,
-    percentile: float = 0.99,
-    min_samples: int = 30,
-    accuracy: int = 10_000,
-) -> DataFrame:
+def latency_ceiling(traces: DataFrame, percentile: float = 0.99, min_samples: int = 30) -> DataFrame:
     """Fault-free percentile of self time per endpoint.
 
-    The percentiles per endpoint are mergeable sketches, so no endpoint's spans meet
-    in one task. Endpoints with fewer than `min_samples` baseline spans take the exact
-    percentile over all endpoints, read through a scalar subquery. That makes five
-    passes over the baseline; where `traces` is costly, hand in `baseline_self_time`
-    as a written table.
+    Exact at any size. Endpoints with fewer than `min_samples` baseline spans take the
+    percentile over all endpoints. Five passes over the baseline; where `traces` is costly,
+    hand in `baseline_self_time` as a written table.
     """
     baseline = traces.filter(F.col("capture_root") == "baseline")
-    profile = baseline.groupBy("endpoint").agg(
-        F.percentile_approx("self_time_ms", percentile, accuracy).alias("own"),
-        F.count("*").alias("baseline_samples"),
+    samples = baseline.groupBy("endpoint").agg(F.count("*").alias("baseline_samples"))
+    own = grouped_percentiles(baseline, ["endpoint"], "self_time_ms", {"own": percentile})
+    profile = samples.join(
+        own.withColumnRenamed("endpoint", "_endpoint"), F.col("endpoint").eqNullSafe(F.col("_endpoint")), "left"
     )
     trusted = (F.col("baseline_samples") >= min_samples) & F.col("own").isNotNull()
     overall = exact_percentile(baseline, "self_time_ms", percentile)
@@ -71,24 +65,13 @@ def latency_ceiling(
     )
 
 
-def join_bounded(
-    df: DataFrame, small: DataFrame, on: str, how: str = "left", max_rows: int = 50_000
-) -> DataFrame:
-    """Join `small`, broadcasting it only once it is known to hold at most `max_rows` rows.
+def join_latency_ceiling(traces: DataFrame, ceilings: DataFrame) -> DataFrame:
+    """Attach each span's ceiling; NULL for an endpoint never seen in the baseline.
 
-    Runs one job over at most max_rows + 1 rows of `small`; hand in a materialised
-    table where computing it is expensive. Past the bound the join shuffles, and
-    adaptive execution splits the partitions of hot keys.
+    Hand in `ceilings` as a written table: then Spark knows its size and decides between
+    sending it everywhere and a shuffled join, whose hot endpoints it splits.
     """
-    bounded = small.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(small) if bounded else small, on, how)
-
-
-def join_latency_ceiling(
-    traces: DataFrame, ceilings: DataFrame, max_rows: int = 50_000
-) -> DataFrame:
-    """Attach each span's ceiling; NULL for an endpoint never seen in the baseline."""
-    return join_bounded(traces, ceilings, "endpoint", "left", max_rows)
+    return traces.join(ceilings, "endpoint", "left")
 
 
 def flag_degraded(traces: DataFrame) -> DataFrame:

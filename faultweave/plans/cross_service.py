@@ -30,6 +30,6 @@ def run_cross_service(
     write_parquet(found["propagation_chains"], out)
     chains = telemetry.sparkSession.read.parquet(out)
     store.write(found["cross_service_pairs"], "cross_service_pairs")
-    store.write(callgraph.first_chains(chains, settings.chain_cap), "propagation_chains")
+    store.write(chains, "propagation_chains")
     store.write(found["error_correlations"], "error_correlations")
     return callgraph.propagation_metrics(store.read("cross_service_pairs"), chains)

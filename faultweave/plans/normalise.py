@@ -24,7 +24,7 @@ def normalise(
 
     Runs jobs: the fault-free self times (three columns) are written before the ceilings
     are learned from them in several passes, and the ceilings (a row per endpoint) before
-    their size is checked for the join.
+    they are joined.
     """
     timed = selftime.add_self_time(traces)
     ceilings = selftime.latency_ceiling(

@@ -24,11 +24,15 @@ def run_preprocess(
     settings: Settings = DEFAULTS,
     keep_roots: bool = False,
 ) -> DataFrame:
-    """Write telemetry under `out`, a sample of it to the store, and return it as read back."""
+    """Write telemetry under `out` and to the store, and return it as read back.
+
+    A hash sample for quick looks goes beside it, under a name of its own.
+    """
     unified = preprocess(canonical_files.read_canonical(spark, path), keep_roots)
     canonical_files.write_parquet(unified, out)
     written = canonical_files.read_parquet(spark, out)
+    store.write(written, "processed_telemetry")
     store.write(
-        written, "processed_telemetry", sample_key="span_id", sample_mod=settings.sample_mod
+        written, "processed_telemetry_sample", sample_key="span_id", sample_mod=settings.sample_mod
     )
     return written

@@ -6,9 +6,12 @@ import re
 from importlib import resources
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from faultweave.config import DEFAULTS, Settings
+from faultweave.operators.faults import join_fault_window
+from faultweave.operators.quantiles import grouped_percentiles
 from faultweave.sources.tables import TableStore
 
 MARKER = re.compile(r"^--\s*@name\s+(\w+)\s*$", re.MULTILINE)
@@ -34,10 +37,19 @@ def load_queries(path: str | None = None) -> dict[str, str]:
     return split_statements(text)
 
 
-def register_views(telemetry: DataFrame, ground_truth: DataFrame | None = None) -> None:
+def register_views(
+    telemetry: DataFrame, ground_truth: DataFrame | None = None, settings: Settings = DEFAULTS
+) -> None:
     telemetry.createOrReplaceTempView("telemetry")
+    by_service = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    cuts = grouped_percentiles(telemetry, ["service_name"], "response_time_ms", by_service)
+    cuts.createOrReplaceTempView("service_cuts")
+    cuts = grouped_percentiles(telemetry, ["service_name", "endpoint"], "response_time_ms", {"p95": 0.95})
+    cuts.createOrReplaceTempView("endpoint_cuts")
     if ground_truth is not None:
         ground_truth.createOrReplaceTempView("ground_truth")
+        windows = join_fault_window(telemetry, ground_truth, settings.fault_window_sec)
+        windows.createOrReplaceTempView("fault_windows")
 
 
 def run_queries(
@@ -71,7 +83,7 @@ def run_reports(
     ground_truth: DataFrame | None = None,
     settings: Settings = DEFAULTS,
 ) -> dict[str, DataFrame]:
-    register_views(telemetry, ground_truth)
+    register_views(telemetry, ground_truth, settings)
     return run_queries(spark, load_queries(), ground_truth is not None, settings)
 
 
@@ -80,13 +92,15 @@ def run_sql_reports(
 ) -> dict[str, int]:
     """Run every report, store each result, and return its row count.
 
-    An empty label table counts as no labels.
+    An empty label table counts as no labels. Rows are counted while they are written. A
+    report whose write fails ends the run with its error; those before it are stored.
     """
-    truth = store.read("fault_injections")
+    truth = store.read_optional("fault_injections")
     if truth is not None and truth.isEmpty():
         truth = None
     counts = {}
     for name, result in run_reports(spark, telemetry, truth, settings).items():
-        store.write(result, name)
-        counts[name] = store.read(name).count()
+        seen = Observation()
+        store.write(result.observe(seen, F.count("*").alias("rows")), name)
+        counts[name] = seen.get["rows"]
     return counts

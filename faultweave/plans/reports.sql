@@ -1,4 +1,5 @@
--- Reports over the views `telemetry` and `ground_truth`.
+-- Reports over the views `telemetry`, `service_cuts`, `endpoint_cuts` (exact percentiles of
+-- telemetry), `ground_truth` and `fault_windows`.
 -- A statement runs from its @name marker to the next one.
 
 -- @name service_latency_profile
@@ -6,57 +7,59 @@ WITH latency AS (
   SELECT service_name,
          count(*)                                                      AS span_count,
          avg(response_time_ms)                                         AS mean_ms,
-         percentile_approx(response_time_ms, array(0.5, 0.95, 0.99))   AS cuts,
          max(response_time_ms)                                         AS max_ms,
          sum(is_failure)                                               AS failed_spans
   FROM telemetry
   GROUP BY service_name
 )
-SELECT service_name,
+SELECT latency.service_name,
        span_count,
        round(mean_ms, 3)                                               AS mean_latency_ms,
-       round(cuts[0], 3)                                               AS p50_latency_ms,
-       round(cuts[1], 3)                                               AS p95_latency_ms,
-       round(cuts[2], 3)                                               AS p99_latency_ms,
+       round(p50, 3)                                                   AS p50_latency_ms,
+       round(p95, 3)                                                   AS p95_latency_ms,
+       round(p99, 3)                                                   AS p99_latency_ms,
        round(max_ms, 3)                                                AS max_latency_ms,
        failed_spans,
        cast(round(100.0 * failed_spans / span_count, 3) AS double)     AS failure_rate_pct
 FROM latency
-ORDER BY failure_rate_pct DESC, service_name
+LEFT JOIN service_cuts AS cuts ON cuts.service_name <=> latency.service_name
+ORDER BY failure_rate_pct DESC, latency.service_name
 
 -- @name endpoint_hotspots
 WITH operation AS (
   SELECT service_name, endpoint,
          count(*)                                  AS calls,
          avg(response_time_ms)                     AS mean_ms,
-         percentile_approx(response_time_ms, 0.95) AS p95_ms,
          sum(is_failure)                           AS failed_calls
   FROM telemetry
   GROUP BY service_name, endpoint
 )
-SELECT service_name, endpoint, calls,
+SELECT operation.service_name, operation.endpoint, calls,
        round(mean_ms, 3)                                        AS mean_latency_ms,
-       round(p95_ms, 3)                                         AS p95_latency_ms,
+       round(p95, 3)                                            AS p95_latency_ms,
        failed_calls,
        cast(round(100.0 * failed_calls / calls, 3) AS double)   AS failure_rate_pct
 FROM operation
+LEFT JOIN endpoint_cuts AS cuts
+  ON cuts.service_name <=> operation.service_name AND cuts.endpoint <=> operation.endpoint
 WHERE calls >= 100
-ORDER BY p95_latency_ms DESC, service_name, endpoint
+ORDER BY p95_latency_ms DESC, operation.service_name, operation.endpoint
 LIMIT 50
 
 -- @name trace_depth_distribution
 -- Bands count the spans of a trace, not the length of its longest call path.
+-- Fixed values: upper bounds and labels of the bands.
 WITH per_trace AS (
   SELECT trace_id, count(*) AS spans, sum(is_failure) AS failed
   FROM telemetry
   GROUP BY trace_id
 )
 SELECT CASE
-         WHEN spans > 20 THEN '21+ spans'
-         WHEN spans > 10 THEN '11-20 spans'
-         WHEN spans > 5  THEN '6-10 spans'
-         WHEN spans > 1  THEN '2-5 spans'
-         ELSE '1 span'
+         WHEN spans <= 1  THEN '1 span'
+         WHEN spans <= 5  THEN '2-5 spans'
+         WHEN spans <= 10 THEN '6-10 spans'
+         WHEN spans <= 20 THEN '11-20 spans'
+         ELSE '21+ spans'
        END         AS span_count_bucket,
        count(*)    AS trace_count,
        sum(failed) AS failed_spans
@@ -100,50 +103,13 @@ FROM hourly
 ORDER BY service_name, bucket_hour
 
 -- @name ground_truth_evaluation
--- Spans are reduced to one row per service and second, labels to one row per second,
--- then matched on (service, slot): a slot is as long as a fault window, so a window
--- covers two of them and a busy service is spread over its slots. A span inside
--- overlapping windows counts for each.
-WITH fault AS (
-  SELECT inject_service, inject_type, inject_timestamp, count(*) AS labels
-  FROM ground_truth
-  GROUP BY ALL
-),
-per_second AS (
-  SELECT service_name,
-         unix_timestamp(start_time_ts) AS span_epoch,
-         count(*)                      AS spans,
-         sum(is_failure)               AS failures
-  FROM telemetry
-  WHERE start_time_ts IS NOT NULL
-  GROUP BY ALL
-),
-fault_slot AS (
-  SELECT *,
-         explode(array_distinct(array(
-           inject_timestamp div :window,
-           (inject_timestamp + :window) div :window))) AS slot
-  FROM fault
-),
-span_slot AS (
-  SELECT *, span_epoch div :window AS slot FROM per_second
-),
-matched AS (
-  SELECT f.inject_service, f.inject_type, f.inject_timestamp,
-         f.labels * s.spans    AS spans,
-         f.labels * s.failures AS failures
-  FROM fault_slot f
-  LEFT JOIN span_slot s
-    ON s.service_name = f.inject_service
-   AND s.slot = f.slot
-   AND s.span_epoch BETWEEN f.inject_timestamp AND f.inject_timestamp + :window
-)
+-- `fault_windows` has a row per injection and second of its window.
 SELECT inject_service, inject_type,
        count(DISTINCT inject_timestamp) AS injections,
        sum(spans)                       AS spans_observed,
        sum(failures)                    AS failures_observed,
        cast(round(100.0 * sum(failures) / nullif(sum(spans), 0), 3) AS double)
          AS failure_rate_in_window_pct
-FROM matched
+FROM fault_windows
 GROUP BY inject_service, inject_type
 ORDER BY failure_rate_in_window_pct DESC NULLS LAST, inject_service, inject_type

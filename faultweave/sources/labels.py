@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +45,18 @@ def explode_fault_lists(files: DataFrame) -> DataFrame:
 def read_fault_labels(
     spark: SparkSession, path: str, root: str = FAULT_ROOT, pattern: str = FAULT_FILES
 ) -> DataFrame:
-    """Injections of every fault list; each is a small file, read whole."""
-    files = spark.read.text(f"{path.rstrip('/')}/{root}/{pattern}", wholetext=True)
-    return explode_fault_lists(files.select(F.col("_metadata.file_path"), "value"))
+    """Injections of every fault list; none where a capture has no list.
+
+    A list is read as one row, so it must fit one: lists hold a day's injections.
+    """
+    try:
+        files = spark.read.text(f"{path.rstrip('/')}/{root}/{pattern}", wholetext=True)
+        files = files.select(F.col("_metadata.file_path"), "value")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "file_path string, value string")
+    return explode_fault_lists(files)
 
 
 def ground_truth(labels: DataFrame) -> DataFrame:

@@ -25,8 +25,13 @@ def source_globs(path: str, roots: Sequence[str], pattern: str) -> list[str]:
 
 
 def _read_text_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every column a string, named by the header, plus the path of the file."""
-    rows = spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    """Every column a string, named by the header, plus the path of the file.
+
+    All files must have the columns of the first in the same order: a file that differs is
+    an error when it is read, never a column taken for another.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    rows = reader.schema(reader.csv(paths).schema).option("enforceSchema", False).csv(paths)
     return rows.withColumn("source_path", F.col("_metadata.file_path"))
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultweave.config import STAGES
 from faultweave.functions import names
 
+log = logging.getLogger(__name__)
+
+# Conditions under which a table is absent rather than broken.
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 SAFE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -39,16 +44,27 @@ class TableStore:
         df.write.mode(mode).parquet(self._path(name))
 
     def read(self, name: str) -> DataFrame | None:
-        """The table, or None where it is missing or cannot be read."""
+        """The table, or None where there is none. A table that can't be read is an error."""
+        if not SAFE_NAME.match(name):
+            return None
         try:
             return self._load(name)
-        except (PySparkException, ValueError):
-            return None
-        except Exception as failure:  # the JDBC driver's own errors arrive as Py4J errors
-            if type(failure).__module__.startswith("py4j"):
+        except AnalysisException as error:
+            if error.getCondition() in MISSING:
                 return None
             raise
 
+    def read_optional(self, name: str) -> DataFrame | None:
+        """The same, for a table whose absence or failure may not stop the caller.
+
+        What went wrong is logged.
+        """
+        try:
+            return self.read(name)
+        except Exception as error:
+            log.warning("%s is not available: %s", name, str(error).splitlines()[0])
+            return None
+
     def write(
         self,
         df: DataFrame,

@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultweave.config import DEFAULTS, ROOTS, Settings
 from faultweave.functions import features, names
 from faultweave.operators import (
-    anomalies, callgraph, canonical, cleaning, marts, scaling, selftime, spans, workload,
+    anomalies, callgraph, canonical, cleaning, faults, marts, scaling, selftime, spans, workload,
 )
 from faultweave.operators.logs import parse_log
 from faultweave.plans import normalise, preprocess, reports, scalability
@@ -271,23 +271,6 @@ add(
 add("ground_truth", f"{LABEL} inject_service", b.ground_truth, "SELECT * FROM labels_in")
 
 
-def _ids(s: SparkSession, sf: str) -> DataFrame:
-    keys = b.table(s, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    return keys.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
-
-
-GENERATED = (
-    "span_id trace_id service_name d:response_time_ms i:status_code pod_id d:cpu_usage_mcores "
-    "d:memory_usage_mb t:start_time i:is_failure"
-)
-
-
-def _range_spans(s: SparkSession, sf: str) -> DataFrame:
-    """As many synthetic spans as lineitem has rows."""
-    return workload.gen_spans(s, b.table(s, sf, "lineitem").count())
-
-
-add("src_range_spans", GENERATED, _range_spans)
 add(
     "file_manifest", "i:files i:sized root kind capture_date",
     lambda s, sf: manifest.file_manifest(s, captures(s, sf), metric_suffix=b.METRIC_SUFFIX)
@@ -345,19 +328,17 @@ add("sink_table", PAIRS, _sink_table, "SELECT * FROM pairs")
 def _sink_sample(s: SparkSession, sf: str) -> DataFrame:
     at = store(s)
     at.write(
-        b.telemetry_table(s, sf), "processed_telemetry",
+        b.telemetry_table(s, sf), "processed_telemetry_sample",
         sample_key="span_id", sample_mod=DEFAULTS.sample_mod,
     )
-    return at.read("processed_telemetry")
+    return at.read("processed_telemetry_sample")
 
 
 HASHED = "CAST('0x' || substr(md5(span_id), 1, 8) AS BIGINT)"
 add("sink_sample", SPAN, _sink_sample, f"SELECT * FROM spans WHERE {HASHED} % 10 = 0")
 add(
     "sink_capped_chains", CHAINS,
-    lambda s, sf: callgraph.first_chains(chains(s, sf), DEFAULTS.chain_cap),
-    """SELECT * FROM chains ORDER BY source_timestamp, target_timestamp, trace_id,
-         source_service, target_service LIMIT 50000""",
+    lambda s, sf: callgraph.first_chains(chains(s, sf)), "SELECT * FROM chains",
 )
 
 
@@ -603,7 +584,20 @@ EVALUATED = f"""
       ON m.service_name = g.inject_service
       AND m.second BETWEEN g.inject_timestamp AND g.inject_timestamp + 300
     GROUP BY ALL"""
-add("join_fault_window", EVALUATION, report("ground_truth_evaluation", True), EVALUATED)
+add(
+    "join_fault_window",
+    "inject_service inject_type i:inject_timestamp i:span_epoch i:spans i:failures",
+    lambda s, sf: faults.join_fault_window(
+        b.telemetry_table(s, sf), b.ground_truth(s, sf), DEFAULTS.fault_window_sec
+    ),
+    """SELECT inject_service, inject_type, inject_timestamp, second AS span_epoch,
+         sum(n) AS spans, sum(f) AS failures
+       FROM labels_in g LEFT JOIN (SELECT service_name, CAST(floor(epoch(start_time_ts)) AS BIGINT)
+           AS second, count(*) AS n, sum(is_failure) AS f FROM spans GROUP BY ALL) m
+         ON m.service_name = g.inject_service
+         AND m.second BETWEEN g.inject_timestamp AND g.inject_timestamp + 300
+       GROUP BY ALL""",
+)
 add(
     "join_bench", "i:row_count", lambda s, sf: workload.bench_join(b.telemetry_table(s, sf)),
     f"""SELECT count(*) AS row_count FROM spans f JOIN (
@@ -804,9 +798,21 @@ add(
     lambda s, sf: anomalies.top_services(scored(s, sf)),
     "SELECT * FROM anomalous ORDER BY anomaly_count DESC, service_name LIMIT 5",
 )
+
+
+def _in_order(df: DataFrame) -> DataFrame:
+    """Adds the place of each row in the order in which the rows come."""
+    numbered = df.withColumn("_at", F.monotonically_increasing_id())
+    return numbered.withColumn("position", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
 add(
-    "sort_abs_corr", CORR, lambda s, sf: callgraph.sort_abs_corr(corr(s, sf)),
-    "SELECT * FROM correlations",
+    "sort_abs_corr", f"{CORR} i:position",
+    lambda s, sf: _in_order(callgraph.sort_abs_corr(callgraph.correlate_series(
+        callgraph.service_minute_error_rate(b.telemetry_table(s, sf)), 0.0, DEFAULTS.min_samples
+    ))),
+    """SELECT *, row_number() OVER (ORDER BY abs(error_correlation) DESC, service_a, service_b)
+         AS position FROM correlations""",
 )
 BANDS = "SELECT latency_bucket, count(*) AS requests FROM telemetry GROUP BY ALL"
 add(
@@ -978,7 +984,7 @@ add(
     "SELECT error_category, count(*) AS requests FROM telemetry GROUP BY ALL",
 )
 add(
-    "mart_pairs", PAIRS, lambda s, sf: marts.mart_pairs(pairs(s, sf)), f"{RANKED_PAIRS} LIMIT 400",
+    "mart_pairs", PAIRS, lambda s, sf: marts.mart_pairs(pairs(s, sf)), RANKED_PAIRS,
 )
 add(
     "mart_top5_pairs", "caller_service callee_service d:propagation_score",
@@ -1044,8 +1050,7 @@ add(
 )
 add(
     "mart_patterns_detail", PATTERNS, lambda s, sf: marts.mart_patterns_detail(patterns(s, sf)),
-    """SELECT * FROM patterns ORDER BY occurrence_count DESC, service_name, pattern_type
-       LIMIT 200""",
+    "SELECT * FROM patterns",
 )
 BY_SIZE = (
     "i:data_size d:total_sec d:std_total_sec d:groupby_agg_sec d:window_fn_sec d:join_sec "
@@ -1102,11 +1107,8 @@ def _matrix_sql(agg: str, where: str) -> str:
 
 
 add(
-    "mart_propagation_matrix", f"callee_service {_CELLS}", _matrix("max", 4, False),
-    _matrix_sql("max", """callee_service IN (SELECT callee_service FROM pairs GROUP BY ALL
-          ORDER BY max(propagation_score) DESC, callee_service LIMIT 4)
-        AND caller_service IN (SELECT caller_service FROM pairs GROUP BY ALL
-          ORDER BY max(propagation_score) DESC, caller_service LIMIT 4)"""),
+    "mart_propagation_matrix", f"callee_service {_CELLS}", _matrix("max", None, False),
+    _matrix_sql("max", "true"),
 )
 add(
     "mart_propagation_matrix_mean", f"callee_service {_CELLS}", _matrix("mean", None, True),
@@ -1114,14 +1116,14 @@ add(
 )
 add(
     "mart_blast_radius", "service_name direction neighbour d:propagation_score i:rank",
-    lambda s, sf: marts.mart_blast_radius(pairs(s, sf), k=3),
+    lambda s, sf: marts.mart_blast_radius(pairs(s, sf)),
     """SELECT * FROM (SELECT caller_service AS service_name, 'downstream' AS direction,
          callee_service AS neighbour, propagation_score, row_number() OVER (
            PARTITION BY caller_service ORDER BY propagation_score DESC, callee_service) AS rank
          FROM pairs UNION ALL
        SELECT callee_service, 'upstream', caller_service, propagation_score, row_number() OVER (
            PARTITION BY callee_service ORDER BY propagation_score DESC, caller_service)
-         FROM pairs) WHERE rank <= 3""",
+         FROM pairs) WHERE rank <= 10""",
 )
 add(
     "mart_strong_pairs", "i:service_pairs i:strong_pairs i:cascades",
@@ -1186,7 +1188,7 @@ add(
          round(shuffle_sec, 2) AS shuffle_sec,
          (SELECT round(mean_speedup, 3) FROM by_size ORDER BY data_size DESC LIMIT 1)
            AS speedup_at_max_size
-       FROM by_size ORDER BY data_size LIMIT 5""",
+       FROM by_size""",
 )
 add(
     "mart_normal_vs_anomalous", "i:normal i:anomalous d:anomaly_rate_pct",
@@ -1197,29 +1199,27 @@ add(
 
 # ---- scaling experiment ----------------------------------------------------
 
-add("gen_spans", GENERATED, lambda s, sf: workload.synthetic_spans(_ids(s, sf)))
+
+
+def _bench_run(s: SparkSession, sf: str) -> DataFrame:
+    """The measured run with its times reduced to whether they were taken."""
+    run = scalability.bench_run(b.telemetry_table(s, sf), "telemetry", "start_time_ts")
+    times = ["groupby_agg_sec", "window_fn_sec", "join_sec", "shuffle_sec", "total_sec"]
+    return run.select("label", "input_rows", "data_size", "repetition", F.least(*times).alias("least")).select(
+        "label", "input_rows", "data_size", "repetition", (F.col("least") > 0).cast("int").alias("timed")
+    )
+
+
 add(
-    "bench_run",
-    "label i:input_rows i:data_size i:repetition d:groupby_agg_sec d:window_fn_sec d:join_sec "
-    "d:shuffle_sec d:total_sec",
-    lambda s, sf: scalability.bench_run(
-        b.telemetry_table(s, sf), "telemetry", "start_time_ts"
-    ),
+    "bench_run", "label i:input_rows i:data_size i:repetition i:timed", _bench_run,
+    """SELECT 'telemetry' AS label, count(*) AS input_rows, count(*) AS data_size,
+         1 AS repetition, 1 AS timed FROM spans""",
 )
 add(
     "bench_shuffle", "i:row_count", lambda s, sf: workload.bench_shuffle(b.telemetry_table(s, sf), 16),
     "SELECT count(*) AS row_count FROM spans",
 )
 
-
-def _suite(s: SparkSession, sf: str) -> DataFrame:
-    """The suite at one and two times the number of lineitem rows."""
-    rows = b.table(s, sf, "lineitem").count()
-    return scaling.scalability_runs(scalability.run_suite(s, [rows, 2 * rows], repetitions=1))
-
-
-add("bench_suite", RUNS, _suite)
-
 # ---- pipelines -------------------------------------------------------------
 
 
@@ -1275,16 +1275,3 @@ def _sql_reports(s: SparkSession, sf: str) -> DataFrame:
 
 
 add("sql_reports", "report i:row_count", _sql_reports, _REPORT_ROWS)
-
-
-def _scalability(s: SparkSession, sf: str) -> DataFrame:
-    rows = b.table(s, sf, "lineitem").count()
-    return scalability.run_scalability(s, store(s), [rows, 2 * rows], repetitions=1)
-
-
-add(
-    "scalability",
-    "i:data_size i:repetitions d:avg_total_time_sec d:avg_throughput_rows_per_sec d:data_ratio "
-    "d:speedup d:scalability_efficiency scaling_characteristic",
-    _scalability,
-)

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from faultweave.operators.quantiles import exact_percentile
+from faultweave.operators.quantiles import exact_percentile, grouped_percentiles
 
 
 def percentile_of(spark, values, p):
@@ -30,3 +30,23 @@ def test_one_value_holding_a_third(spark):
 def test_nulls_are_ignored_and_nothing_gives_null(spark):
     assert percentile_of(spark, [None, 3.0, None], 0.99) == 3.0
     assert percentile_of(spark, [None], 0.99) is None
+
+
+def test_groups_with_several_ranks_and_a_hot_one(spark):
+    rng = random.Random(9)
+    rows = [("hot", rng.choice([5.0, rng.expovariate(0.01)])) for _ in range(20_000)]
+    rows += [(None, float(i)) for i in range(7)] + [("minus", -float(i)) for i in range(50)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    got = {r.g: r.asDict() for r in grouped_percentiles(df, ["g"], "x", shares).collect()}
+    assert set(got) == {"hot", None, "minus"}
+    for group, row in got.items():
+        values = sorted(v for g, v in rows if g == group)
+        for name, share in shares.items():
+            assert row[name] == values[math.ceil(share * len(values)) - 1]
+
+
+def test_percentiles_gather_no_rows(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS double) AS x")
+    plan = grouped_percentiles(df, ["g"], "x", {"p": 0.9})._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan.lower() and "collect" not in plan.lower()

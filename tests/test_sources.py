@@ -198,9 +198,23 @@ def test_store(spark, tmp_path):
     assert tuple(total) == (2, 3)
 
 
-def test_unreachable_database_reads_as_absent(spark):
+def test_broken_table_is_an_error_not_an_absence(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    store.write(spark.range(3), "good")
+    store.write(spark.range(3).limit(0), "empty")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not a table")
+    assert store.read("missing") is None and store.read("empty").count() == 0
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.read("bad").count()
+    assert store.read_optional("bad") is None
+
+
+def test_unreachable_database(spark):
     store = tables.JdbcStore(spark, "jdbc:nosuchdriver://nowhere/x", {"user": "u"})
-    assert store.read("fault_injections") is None
+    assert store.read_optional("fault_injections") is None
+    with pytest.raises(Exception, match="(?i)driver"):
+        store.read("fault_injections")
     assert store.properties == {"batchsize": "10000", "user": "u"}
 
 
