@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import SPACES, text_of
+from faultweave.llm.common import text_of
 from faultweave.sources.workspace import materialise
 
 MIN_SITES = 10
@@ -33,15 +33,26 @@ LOG_REGISTERS = 12
 MARGIN = 0.1
 
 
-def line_hash(line: Column) -> Column:
+# Letters that are lower-cased, and white space inside lines.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BLANKS = "\t\x0b\x0c\r"
+
+
+def _folded(line: Column) -> Column:
+    return F.translate(line, UPPER + BLANKS, UPPER.lower() + " " * len(BLANKS))
+
+
+def _hash(folded: Column) -> Column:
     """Hash of the normalised line; NULL for a line without words."""
-    words = F.trim(F.regexp_replace(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), SPACES, " "))
+    runs = F.when(F.contains(folded, F.lit("  ")), F.regexp_replace(folded, " +", " ")).otherwise(folded)
+    words = F.trim(runs)
     return F.when(words != "", F.xxhash64(words))
 
 
 def lines(docs: DataFrame) -> DataFrame:
     """text_key, source, h: a row per document and distinct line."""
-    hashes = F.array_distinct(F.array_compact(F.transform(F.split(text_of(), "\n"), line_hash)))
+    folded = F.transform(F.split(text_of(), "\n"), _folded)
+    hashes = F.array_distinct(F.array_compact(F.transform(folded, _hash)))
     return docs.select(F.xxhash64(text_of()).alias("text_key"), "source", F.explode(hashes).alias("h"))
 
 
@@ -73,19 +84,21 @@ def remove(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     rows = materialise(lines(docs), "lines")
     cut = materialise(boilerplate(rows, min_sites), "boilerplate")
     lists = rows.join(cut, "h").select("text_key", "h").distinct().groupBy("text_key").agg(F.collect_list("h").alias("_cut"))
-    lists = materialise(lists, "cut-lists").withColumnRenamed("text_key", "_key")
+    # Always joined by a shuffle: the lists grow with the documents, so what is moved should too.
+    lists = materialise(lists, "cut-lists").withColumnRenamed("text_key", "_key").hint("merge")
     # The further columns travel as one, whatever their names.
     keyed = docs.select(F.struct(*columns).alias("doc"), text_of().alias("_text"))
     met = keyed.join(lists, F.xxhash64("_text") == F.col("_key"), "left")
-    hashed = F.transform(
-        F.split("_text", "\n"), lambda line: F.struct(line.alias("line"), line_hash(line).alias("h"))
-    )
-    with_hashes = met.withColumn("_lines", hashed)
-    kept = F.filter("_lines", lambda x: x["h"].isNull() | ~F.array_contains("_cut", x["h"]))
-    spoken = lambda c: F.size(F.filter(c, lambda x: x["h"].isNotNull()))
-    return with_hashes.withColumn("_kept", F.when(F.col("_cut").isNull(), F.col("_lines")).otherwise(kept)).select(
+    stays = lambda line: ~F.coalesce(F.array_contains("_cut", _hash(_folded(line))), F.lit(False))
+    spoken = lambda c: F.size(F.filter(c, lambda line: F.trim(_folded(line)) != "")).cast("long")
+    split = met.withColumn("_lines", F.split("_text", "\n"))
+    # Most documents have nothing to remove; only the others are taken apart.
+    kept = split.withColumn("_kept", F.when(F.col("_cut").isNotNull(), F.filter("_lines", stays)))
+    return kept.select(
         "doc.*",
-        F.array_join(F.transform("_kept", lambda x: x["line"]), "\n").alias("text"),
-        spoken("_lines").cast("long").alias("n_lines"),
-        (spoken("_lines") - spoken("_kept")).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("_kept", "\n"), "_text").alias("text"),
+        spoken("_lines").alias("n_lines"),
+        F.when(F.col("_cut").isNull(), F.lit(0).cast("long"))
+        .otherwise(spoken("_lines") - spoken("_kept"))
+        .alias("n_removed"),
     )
