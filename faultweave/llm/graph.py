@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.sources.workspace import materialise
+from faultweave.sources.workspace import materialise, release
 
 
 def _replace(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def _flatten(forest: DataFrame) -> DataFrame:
         jumped = _replace(forest, "root", forest)
         changed = jumped.join(forest.select("node", F.col("root").alias("was")), "node").filter("root <> was")
         jumped = materialise(jumped, "forest")
-        if changed.isEmpty():
+        done = changed.isEmpty()
+        release(forest)
+        if done:
             return jumped
         forest = jumped
 
@@ -43,8 +45,11 @@ def components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         hooks = left.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
         forest = _flatten(materialise(hooks, "hooks"))
+        old = roots, left, forest
         roots = materialise(_replace(roots, "root", forest), "roots")
         moved = _replace(_replace(left, "lo", forest), "hi", forest)
         moved = moved.select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi"))
         left = materialise(moved.filter("lo < hi").distinct(), "edges")
+        release(*old)
+    release(left)
     return roots

@@ -11,15 +11,19 @@
 4. A pair is kept if the likelihood of its registers, given both set sizes, is highest at a
    similarity of no less than the threshold minus five standard deviations.
 5. The pairs' texts are brought together and compared as full sets. That makes the links.
-6. Components of the links. Buckets whose members are now all in one component are done. In
-   the others each member outside the bucket's largest component meets the members of other
-   components that it shares two bands and a possible size with. Steps 4 to 6 again.
+6. Components of the links. In buckets that several components share, each member outside the
+   largest meets one member of it, drawn anew per bucket and round, for ROUNDS rounds; this
+   takes in nearly all that belong to a large group, with a row per member.
+7. Buckets whose members are now all in one component are done. In the others each member outside the bucket's largest component meets the members of other
+   components and of about its size; only pairs leave that join that agree in enough of
+   their registers' four lowest bits, a test of a few machine words with the same margin of
+   five deviations. Steps 4 and 5 again for these.
 
 So no link that step 3 skips between members is lost: both ends are in one component, or
-step 6 compares them.
+step 7 compares them.
 
-What banding misses: two sets with similarity s share two of 40 bands of 6 registers with
-probability 1 - (1-p)^40 - 40 p (1-p)^39, p = s^6: 0.9999 at s = 0.8, more above.
+What banding misses: two sets with similarity s share none of 40 bands of 6 registers with
+probability (1 - s^6)^40: 5e-6 at s = 0.8, less above.
 
 Defined results: a null or empty text, or one without words, has 0 shingles and is linked
 with nothing; a text with fewer words than a shingle is one shingle; repeated rows get the
@@ -34,12 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultweave.llm.common import chunks, hash_words, mix
 from faultweave.llm.graph import components
-from faultweave.sources.workspace import materialise
+from faultweave.sources.workspace import materialise, release
 
 BANDS = 40
 ROWS = 6
@@ -49,6 +53,7 @@ BASE = 1.001
 RATE = 20.0
 LAST = 65535
 DEVIATIONS = 5
+ROUNDS = 2
 # Shingles per block of the register loop: the block stays in the processor's cache.
 BLOCK = 1 << 16
 
@@ -56,7 +61,13 @@ _rng = np.random.default_rng(20240229)
 _ADD = _rng.integers(0, 1 << 64, REGISTERS, np.uint64)
 _TIMES = _rng.integers(0, 1 << 64, REGISTERS, np.uint64) | np.uint64(1)
 
-FIGURES = "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, bands array<long>"
+# Registers per machine word in the short form of a sketch: four bits each.
+PACKED = 16
+WORDS = REGISTERS // PACKED
+
+FIGURES = (
+    "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, bands array<long>, short array<long>"
+)
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -121,6 +132,25 @@ def _band_hashes(rows: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _short(rows: np.ndarray) -> np.ndarray:
+    """The four lowest bits of the registers, PACKED to a machine word."""
+    nibbles = (rows & np.uint16(15)).astype(np.uint64).reshape(len(rows), WORDS, PACKED)
+    return np.bitwise_or.reduce(nibbles << (np.arange(PACKED, dtype=np.uint64) * np.uint64(4)), axis=2).view(np.int64)
+
+
+def may_be_similar(a: str, b: str, percent: int) -> Column:
+    """Whether two short sketches agree in as many registers as similar sets do, nearly always."""
+    share = percent / 100 + (1 - percent / 100) / 16
+    most = REGISTERS * (1 - share) + DEVIATIONS * (REGISTERS * share * (1 - share)) ** 0.5
+    differ = F.lit(0)
+    for i in range(WORDS):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return differ <= int(most)
+
+
 def figures(docs: DataFrame, k: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
@@ -129,16 +159,17 @@ def figures(docs: DataFrame, k: int) -> DataFrame:
             digests = np.zeros((len(sets), 2), np.int64)
             sketch: list[bytes | None] = [None] * len(sets)
             bands: list[np.ndarray | None] = [None] * len(sets)
+            short: list[np.ndarray | None] = [None] * len(sets)
             if full:
                 some = [sets[i] for i in full]
                 rows = sketches(some)
-                hashes = _band_hashes(rows)
+                hashes, packed = _band_hashes(rows), _short(rows)
                 with np.errstate(over="ignore"):
-                    for i, s, row, band in zip(full, some, rows, hashes):
+                    for i, s, row, band, words in zip(full, some, rows, hashes, packed):
                         digests[i, 0] = mix(s).sum(dtype=np.uint64).view(np.int64)
                         digests[i, 1] = mix(s ^ _ADD[0]).sum(dtype=np.uint64).view(np.int64)
                         sketch[i] = row.astype("<u2").tobytes()
-                        bands[i] = band
+                        bands[i], short[i] = band, words
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
@@ -147,8 +178,9 @@ def figures(docs: DataFrame, k: int) -> DataFrame:
                     pa.array(digests[:, 1]),
                     pa.array(sketch, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(short, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands"],
+                names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands", "short"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(read, FIGURES)
@@ -215,8 +247,11 @@ def _set_of(text: str | None, k: int) -> set:
     return set(zip(*(words[i:] for i in range(k)))) if len(words) >= k else {tuple(words)}
 
 
-def links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs of ids whose texts have 100 * intersection >= percent * union, on full sets."""
+def links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs of ids whose texts have 100 * intersection >= percent * union, on full sets.
+
+    `texts`: doc_id and text of all ids in the pairs.
+    """
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_set = None, set()
@@ -234,13 +269,29 @@ def links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
                 [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
-    pairs = materialise(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = materialise(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    written = pairs = materialise(pairs, "pairs")
     for end in ("b", "a"):
         pairs = pairs.join(texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")), end)
     ordered = pairs.select("a", "b", "text_a", "text_b")
-    return materialise(ordered.mapInArrow(confirm, "a long, b long").distinct(), "links")
+    found = materialise(ordered.mapInArrow(confirm, "a long, b long").distinct(), "links")
+    release(written)
+    return found
+
+
+def open_members(classes: DataFrame, roots: DataFrame, leaders: DataFrame) -> DataFrame:
+    """bucket, largest, rep, root: members of the buckets that more than one component shares,
+    and the component that has most members in the bucket."""
+    rooted = classes.select("rep", "bands").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    rooted = rooted.select("rep", F.coalesce("root", "rep").alias("root"), F.explode("bands").alias("bucket"))
+    shared = materialise(rooted.join(leaders.select("bucket"), "bucket"), "shared")
+    shares = shared.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    largest = shares.groupBy("bucket").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots")
+    )
+    members = shared.join(largest.filter("roots > 1").drop("roots"), "bucket")
+    members = materialise(members.select("bucket", "largest", "rep", "root"), "open-members")
+    release(shared)
+    return members
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -251,7 +302,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # The smallest id of each class stands for it. Repeated rows of that id only repeat its bands.
     members = linkable.join(named, ["k1", "k2"])
     classes = materialise(
-        members.filter("doc_id = rep").select("rep", "n_shingles", "sketch", "bands", "k1", "k2")
+        members.filter("doc_id = rep").select("rep", "n_shingles", "sketch", "bands", "short", "k1", "k2")
         .dropDuplicates(["rep", "k1", "k2"]), "reps"
     )
     banded = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
@@ -261,37 +312,54 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     led = banded.join(leaders, "bucket").select("a", F.col("rep").alias("b"), "n_shingles")
     met = materialise(led.filter("a < b").select("a", "b").distinct(), "led")
-    linked = links(likely(met, classes, percent), docs, k, percent)
+    # Whoever shares a bucket is in these pairs, so their texts serve the later steps as well.
+    ids = met.select(F.col("a").alias("doc_id")).union(met.select("b")).distinct()
+    # Always a shuffled join: the ids grow with the documents.
+    texts = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+    texts = materialise(texts, "texts")
+    linked = links(likely(met, classes, percent), texts, k, percent)
     roots = components(linked)
 
-    # Buckets that more than one component still shares.
-    rooted = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "n_shingles", "bands", F.coalesce("root", "rep").alias("root")
-    )
-    rooted = materialise(rooted, "rooted")
-    shared = rooted.select("root", F.explode("bands").alias("bucket")).join(leaders.select("bucket"), "bucket")
-    shares = shared.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("bucket").agg(
-        F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots")
-    )
-    open_buckets = materialise(largest.filter("roots > 1").drop("roots"), "open-buckets")
-    inside = rooted.select("*", F.explode("bands").alias("bucket")).join(open_buckets, "bucket")
-    side = lambda name: inside.select(
-        "bucket", "largest", *[F.col(c).alias(f"{c}_{name}") for c in ("rep", "root", "n_shingles", "bands")]
-    )
-    crossing = side("x").filter("root_x <> largest").drop("largest").join(side("y"), "bucket").filter(
+    for number in range(ROUNDS):
+        members = open_members(classes, roots, leaders)
+        # A member of the bucket's largest component, another one in every bucket and round.
+        inner = members.filter("root = largest").groupBy("bucket").agg(
+            F.min_by("rep", F.xxhash64("rep", "bucket", F.lit(number))).alias("partner")
+        )
+        outer = members.filter("root <> largest").join(inner, "bucket")
+        tried = outer.select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b"))
+        tried = materialise(tried.distinct().join(met, ["a", "b"], "left_anti"), "tried")
+        found = links(likely(tried, classes, percent), texts, k, percent)
+        both = materialise(linked.union(found), "links"), materialise(met.union(tried), "met")
+        release(linked, met, found, tried, members, roots)
+        linked, met = both
+        roots = components(linked)
+
+    members = open_members(classes, roots, leaders)
+    inside = members.join(classes.select("rep", "n_shingles", "short"), "rep")
+    # Sizes of similar sets differ by less than a step of this scale, so they are in the same
+    # or in neighbouring cells of it.
+    cell = F.floor(F.log("n_shingles") / F.lit(np.log(100 / percent))).alias("cell")
+    inside = inside.select("bucket", "largest", "rep", "root", "n_shingles", "short", cell)
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("rep", "root", "n_shingles", "short")]
+    near = F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell")
+    outer = inside.filter("root <> largest").select("bucket", near, *side("x"))
+    crossing = outer.join(inside.select("bucket", "cell", "largest", *side("y")), ["bucket", "cell"]).filter(
         (F.col("root_x") != F.col("root_y"))
         & ((F.col("root_y") == F.col("largest")) | (F.col("rep_x") < F.col("rep_y")))
         & (F.col("n_shingles_x") * 100 >= F.col("n_shingles_y") * percent)
         & (F.col("n_shingles_y") * 100 >= F.col("n_shingles_x") * percent)
-        & (F.size(F.array_intersect("bands_x", "bands_y")) >= 2)
+        & may_be_similar("short_x", "short_y", percent)
     )
     fresh = crossing.select(
         F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")
     ).distinct().join(met, ["a", "b"], "left_anti")
-    more = links(likely(materialise(fresh, "crossing"), classes, percent), docs, k, percent)
+    fresh = materialise(fresh, "crossing")
+    more = links(likely(fresh, classes, percent), texts, k, percent)
     if not more.isEmpty():
+        release(roots)
         roots = components(linked.union(more))
+    release(classes, leaders, met, texts, members, fresh, linked, more)
 
     with_class = all_figures.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     empty = F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").isNull()
@@ -304,10 +372,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all columns; texts without words stay."""
-    columns = docs.columns
-    found = near_duplicates(docs, k, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    met = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
+    found = near_duplicates(docs, k, percent).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"))
+    met = rows.join(found, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")))
     # Repeated rows of a kept id are copies of each other unless their texts differ.
-    return met.withColumn("_text", F.md5(F.coalesce(F.col("text"), F.lit("")))).dropDuplicates(
-        ["doc_id", "_text"]
-    ).select(*columns)
+    keyed = met.select("doc", "kept_id", F.md5(F.coalesce("doc.text", F.lit(""))).alias("text_key"))
+    return keyed.dropDuplicates(["kept_id", "text_key"]).select("doc.*")
