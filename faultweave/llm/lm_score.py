@@ -18,8 +18,8 @@ by block of weights in two aggregations. What is gathered grows with the partiti
 is shared has a fixed size. The rounds part the training documents by hash, so each is
 learnt from once.
 
-Counts are exact and cover all training documents. The most frequent KNOWN words go to every
-executor (a bounded table); the rarer words of a document are joined with their counts.
+Counts are exact and cover all training documents. The most frequent words, fewer than KNOWN,
+go to every executor (a bounded table); the rarer words of a document are joined with their counts.
 
 Defined results: a null or empty text is the end alone; texts are read whole; without
 training documents all counts are 0 and the base gives every token probability 1, as the
@@ -141,7 +141,14 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, n_docs: int) -> Vocabulary:
     """The bounded part of the counts, and the sums over all of them."""
-    top = counts.orderBy(F.col("c").desc(), "word").limit(KNOWN - 1).collect()
+    # The lowest count of which all words, with those of higher counts, are at most KNOWN.
+    at_least, found = 1, 0
+    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.col("c").desc()).collect():
+        if found + r["n"] >= KNOWN:
+            at_least = r["c"] + 1
+            break
+        found += r["n"]
+    top = sorted(counts.filter(F.col("c") >= at_least).collect(), key=lambda r: (-r["c"], r["word"]))
     words, c, tails = [bytes(r["word"]) for r in top], [r["c"] for r in top], [r["tail"] for r in top]
     end = int(np.searchsorted(-np.array(c, float), -n_docs)) if n_docs else len(words)
     words.insert(end, END)
@@ -215,9 +222,21 @@ def _rows(contexts: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
     return (hashed >> np.uint64(40)).astype(np.int64) % ROWS + offsets
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+def _logits(start: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    total = np.take(weights, rows[0], axis=0)
+    for template in range(1, TEMPLATES):
+        total += np.take(weights, rows[template], axis=0)
+    total += start
+    return total
+
+
+def _chosen(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of the softmax at the targets. Overwrites the logits."""
+    top = logits.max(1)
+    picked = logits[np.arange(len(target)), target] - top
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(1))
 
 
 def log_probabilities(model: Model, group: np.ndarray, place: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -225,31 +244,29 @@ def log_probabilities(model: Model, group: np.ndarray, place: np.ndarray, contex
     out = np.empty(len(group))
     for a in range(0, len(group), BATCH):
         g, p, c = group[a : a + BATCH], place[a : a + BATCH], contexts[:, a : a + BATCH]
-        r = _rows(c)
-        logits = model.first_start + model.first[r[0]] + model.first[r[1]] + model.first[r[2]]
-        part = _log_softmax(logits)[np.arange(len(g)), g].astype(float)
+        part = _chosen(_logits(model.first_start, model.first, _rows(c)), g).astype(float)
         h = np.flatnonzero(p >= 0)
         if len(h):
-            r = _rows(c[:, h], g[h])
-            logits = model.second_start[g[h]] + model.second[r[0]] + model.second[r[1]] + model.second[r[2]]
-            part[h] += _log_softmax(logits)[np.arange(len(h)), p[h]]
+            part[h] += _chosen(_logits(model.second_start[g[h]], model.second, _rows(c[:, h], g[h])), p[h])
         out[a : a + BATCH] = part
     return out
 
 
 def _step(weights: np.ndarray, squares: np.ndarray, start: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One AdaGrad step of a softmax factor; every row of weights has one step size."""
-    logits = start + weights[rows[0]] + weights[rows[1]] + weights[rows[2]]
-    slope = np.exp(_log_softmax(logits))
+    slope = _logits(start, weights, rows)
+    slope -= slope.max(1, keepdims=True)
+    np.exp(slope, out=slope)
+    slope /= slope.sum(1, keepdims=True)
     slope[np.arange(len(target)), target] -= 1
     flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.uint16), kind="stable")
     ordered = flat[order]
     firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(slope[order % len(target)], firsts, axis=0)
+    sums = np.add.reduceat(np.take(slope, order % len(target), axis=0), firsts, axis=0)
     touched = ordered[firsts]
-    squares[touched] += (sums**2).mean(1)
-    weights[touched] -= RATE * sums / np.sqrt(squares[touched] + CAUTION)[:, None]
+    squares[touched] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
+    weights[touched] -= sums * (RATE / np.sqrt(squares[touched] + CAUTION))[:, None]
 
 
 def learn(model: Model, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[Model, int]:
