@@ -1,20 +1,22 @@
 """Training documents that hold passages of benchmark items, edited or not.
 
-1. The corpus is read once for the document counts of the items' word n-grams. A bitmap of
-   fixed size, made from the items by aggregation, tells which n-grams may belong to an
-   item; only those leave the scan, so all counts are exact.
-2. Seeds: of every SPAN consecutive n-grams of an item the rarest in the corpus. There is no
-   limit on how frequent a seed may be: an item that stands everywhere keeps its seeds.
-3. The corpus is read again with a bitmap of the seeds. Passages are stretches of words
-   whose seed hits lie close together, with the words around them.
-4. Passages and items meet on equal seeds; a pair with two different seeds in common goes on,
-   or with one if that is rare or the item has no more.
-5. Smith-Waterman over words scores each pair; the score is divided by that of the item
-   against itself.
-
-Defined results: null or empty texts hold nothing; items of fewer words than an n-gram match
-nothing, nor do items without an id; repeated rows are found each; a null doc_id is carried; empty tables give no rows; further
-columns are ignored. Words are compared without case and ASCII punctuation.
+A document holds an item if its best local alignment (Smith-Waterman over words, the whole
+document against the whole item) reaches a share of the item's score against itself.
+
+1. Seeds: all pairs of words of an item that stand next to each other or with one word
+   between. A document's pairs are the same; whether one word lies between does not count.
+2. The corpus is read with a bitmap of the seeds, made by aggregation and of fixed size; only
+   seeds leave the scan, and are then matched exactly.
+3. An item and a document go on if the document has enough of the item's pairs, each counted as
+   often as it stands in the item. The number loses no alignment: two matches in a row cost
+   nothing between them, one if they make a pair, else two at least, so with p pairs a score
+   is at most MATCH * (p + 1). How frequent a pair is in the corpus doesn't matter.
+4. The corpus is read again for the texts that go on. Equal texts are aligned once.
+
+Defined results: null or empty texts hold nothing; items of fewer than LEAST_WORDS words match
+nothing, nor do items without an id; of items with equal ids the best counts; repeated rows
+are found each; a null doc_id is carried; empty tables give no rows; further columns are
+ignored. Words are compared without case and ASCII punctuation.
 """
 
 from __future__ import annotations
@@ -23,59 +25,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import chunks, hash_tokens, mix, words_folded
+from faultweave.llm.common import chunks, hash_tokens, mix, text_of, words_folded
 from faultweave.sources.workspace import materialise
 
-GRAM = 3
-SPAN = 2
-# A seed in no more documents than this share of all, or than so many, is enough by itself.
-RARE_SHARE = 1e-4
-RARE_DOCS = 3
+LEAST_WORDS = 3
 # Bits of the bitmap: 2^27, 16 MB whatever the benchmark's size.
 LOG_BITS = 27
-# Words between two hits of one passage, and words kept on either side of it.
-GAP = 40
-MARGIN = 40
 MATCH, MISMATCH, SKIP = 2, -1, -1
 THRESHOLD = 0.5
 
 
-def grams(texts: list[bytes]) -> tuple[list[list[bytes]], list[np.ndarray]]:
-    """Folded words of each text, and the hash of the n-gram at each position."""
-    split = [words_folded(t) for t in texts]
+def pairs_of(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every pair of words with at most one word between them."""
     flat, counts = hash_tokens(split)
-    n = len(flat)
-    rolled = np.full(max(n - GRAM + 1, 0), GRAM, np.uint64)
+    text = np.repeat(np.arange(len(split)), counts)
+    of, pairs = [], []
     with np.errstate(over="ignore"):
-        for j in range(GRAM):
-            rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + flat[j : j + len(rolled)]
-        rolled = mix(rolled)
-    ends = np.cumsum(counts)
-    return split, [rolled[e - c : max(e - GRAM + 1, e - c)] for e, c in zip(ends.tolist(), counts.tolist())]
+        first = flat * np.uint64(0x9E3779B97F4A7C15)
+        for apart in (1, 2):
+            inside = text[:-apart] == text[apart:]
+            of.append(text[:-apart][inside])
+            pairs.append(mix((first[:-apart] + flat[apart:])[inside]))
+    return np.concatenate(of), np.concatenate(pairs)
 
 
-def item_grams(items: DataFrame) -> DataFrame:
-    """item_id, gram, place, n_words: the n-grams of every item."""
+def item_pairs(entries: DataFrame) -> DataFrame:
+    """entry, gram, times, n_words: the distinct pairs of every item text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
-            split, found = grams(texts)
-            ids = np.repeat(np.arange(len(texts)), [len(g) for g in found])
+        for batch, texts in chunks(batches, "item"):
+            split = [ws if len(ws) >= LEAST_WORDS else [] for ws in map(words_folded, texts)]
+            of, pairs = pairs_of(split)
+            sizes = np.array([len(ws) for ws in split], np.int64)
             yield pa.record_batch(
-                [
-                    batch.column("item_id").take(pa.array(ids)),
-                    pa.array(np.concatenate(found).view(np.int64)),
-                    pa.array(np.concatenate([np.arange(len(g)) for g in found])),
-                ],
-                names=["item_id", "gram", "place"],
+                [batch.column("entry").take(pa.array(of)), pa.array(pairs.view(np.int64)), pa.array(sizes[of])],
+                names=["entry", "gram", "n_words"],
             )
 
-    return items.filter("item_id IS NOT NULL").select("item_id", "text").mapInArrow(
-        read, "item_id long, gram long, place long"
-    )
+    rows = entries.select("entry", "item").mapInArrow(read, "entry long, gram long, n_words long")
+    return rows.groupBy("entry", "gram", "n_words").agg(F.count("*").alias("times"))
 
 
 def bitmap(gram_rows: DataFrame) -> np.ndarray:
@@ -95,133 +86,130 @@ def _known(bits: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def gram_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """gram and n_docs, for n-grams of documents that the bitmap lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+def _key() -> Column:
+    return F.md5(text_of().cast("binary"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for _, texts in chunks(batches):
-            _, found = grams(texts)
-            hits = [np.unique(g[_known(bits, g)]) for g in found]
-            values, counts = np.unique(np.concatenate(hits), return_counts=True)
-            yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], names=["gram", "n"])
 
-    partial = docs.select("text").mapInArrow(read, "gram long, n long")
-    return partial.groupBy("gram").agg(F.sum("n").alias("n_docs"))
+def seed_hits(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """row, doc_id, key, grams: the distinct pairs of each document that the bitmap lets through.
 
-
-def choose_seeds(item_rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """item_id, gram, n_docs: the rarest n-gram of every SPAN in a row, ties to the first."""
-    with_counts = item_rows.join(counts, "gram", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
-    stretch = F.floor(F.col("place") / SPAN).alias("stretch")
-    best = with_counts.groupBy("item_id", stretch).agg(F.min_by("gram", F.struct("n_docs", "place")).alias("gram"))
-    return best.select("item_id", "gram").distinct().join(counts, "gram")
-
-
-def passages(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """row, doc_id, start, words, grams: stretches of documents around seed hits."""
+    key: the digest of the text. Documents without such pairs give no row.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch, texts in chunks(batches):
-            split, found = grams(texts)
-            of, starts, words, seeds = [], [], [], []
-            for i, (ws, g) in enumerate(zip(split, found)):
-                at = np.flatnonzero(_known(bits, g))
-                if not len(at):
-                    continue
-                for group in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
-                    first = max(int(group[0]) - MARGIN, 0)
-                    of.append(i)
-                    starts.append(first)
-                    words.append(b" ".join(ws[first : int(group[-1]) + GRAM + MARGIN]))
-                    seeds.append(np.unique(g[group]).view(np.int64))
-            taken = batch.select(["row", "doc_id"]).take(pa.array(of, pa.int64()))
-            yield pa.record_batch(
-                [
-                    *taken.columns,
-                    pa.array(starts, pa.int64()),
-                    pa.array(words, pa.binary()),
-                    pa.array(seeds, pa.list_(pa.int64())),
-                ],
-                names=["row", "doc_id", "start", "words", "grams"],
-            )
+            of, pairs = pairs_of([words_folded(t) for t in texts])
+            hit = _known(bits, pairs)
+            of, pairs = of[hit], pairs[hit]
+            order = np.lexsort((pairs, of))
+            of, pairs = of[order], pairs[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (pairs[1:] != pairs[:-1])
+            of, pairs = of[new], pairs[new]
+            texts_hit, starts = np.unique(of, return_index=True)
+            taken = batch.select(["row", "doc_id", "key"]).take(pa.array(texts_hit))
+            offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
+            grams = pa.ListArray.from_arrays(offsets, pa.array(pairs.view(np.int64)))
+            yield pa.record_batch([*taken.columns, grams], names=["row", "doc_id", "key", "grams"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _key().alias("key"), "text")
+    return rows.mapInArrow(read, "row long, doc_id long, key string, grams array<long>")
+
+
+def texts_of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, text: one text for each of the keys, and a few of others."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64("key").alias("gram"))))
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return rows.mapInArrow(read, "row long, doc_id long, start long, words binary, grams array<long>")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            known = _known(bits, batch.column("gram").to_numpy(zero_copy_only=False).view(np.uint64))
+            yield batch.select(["key", "text"]).filter(pa.array(known))
+
+    rows = docs.select(_key().alias("key"), text_of().alias("text")).withColumn("gram", F.xxhash64("key"))
+    return rows.mapInArrow(read, "key string, text string").groupBy("key").agg(F.first("text").alias("text"))
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Best local alignment score of two id sequences, and where in `a` it ends.
+    """Best local alignment score of two id sequences, and where in `a` it first ends.
 
-    Row by row; gaps along a row are a running maximum.
+    Word by word of `b`; gaps along `a` are a running maximum.
     """
-    slope = -SKIP * np.arange(1, len(b) + 1)
-    previous = np.zeros(len(b) + 1, np.int64)
+    slope = -SKIP * np.arange(1, len(a) + 1)
+    previous = np.zeros(len(a) + 1, np.int64)
     best, end = 0, 0
-    for i, token in enumerate(a.tolist(), 1):
-        row = np.maximum(previous[:-1] + np.where(b == token, MATCH, MISMATCH), previous[1:] + SKIP)
+    for token in b.tolist():
+        row = np.maximum(previous[:-1] + np.where(a == token, MATCH, MISMATCH), previous[1:] + SKIP)
         row = np.maximum.accumulate(np.maximum(row, 0) + slope) - slope
-        previous = np.concatenate([[0], np.maximum(row, 0)])
-        top = int(previous.max())
-        if top > best:
-            best, end = top, i
+        previous[1:] = np.maximum(row, 0)
+        at = int(previous.argmax())
+        if previous[at] > best or (previous[at] == best and at < end):
+            best, end = int(previous[at]), at
     return best, end
 
 
 def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
+    """key, entry, score, end of the pairs of text and item that reach the threshold."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, scores, ends = [], [], []
-            for i, (words, item) in enumerate(zip(batch.column("words").to_pylist(), batch.column("item").to_pylist())):
-                a, b = words.split(), words_folded((item or "").encode())
+            for i, (text, item) in enumerate(zip(batch.column("text").to_pylist(), batch.column("item").to_pylist())):
+                a, b = words_folded(text.encode()), words_folded(item.encode())
+                need = wanted(len(b), threshold)
+                there = set(a)
+                if sum(w in there for w in b) < need:
+                    continue  # every match takes a word of the item
                 number: dict[bytes, int] = {}
                 for w in b:
                     number.setdefault(w, len(number))
                 ids = np.array([number.get(w, -1) for w in a])
                 best, end = align(ids, np.array([number[w] for w in b]))
-                share = best / (MATCH * len(b)) if b else 0.0
-                if share >= threshold:
+                if best >= MATCH * need:
                     kept.append(i)
-                    scores.append(share)
+                    scores.append(best / (MATCH * len(b)))
                     ends.append(end)
-            rows = batch.select(["row", "doc_id", "item_id", "start"]).take(pa.array(kept, pa.int64()))
+            rows = batch.select(["key", "entry"]).take(pa.array(kept, pa.int64()))
             yield pa.record_batch(
                 [*rows.columns, pa.array(scores, pa.float64()), pa.array(ends, pa.int64())],
-                names=["row", "doc_id", "item_id", "start", "score", "end"],
+                names=["key", "entry", "score", "end_word"],
             )
 
-    return pairs.select("row", "doc_id", "item_id", "start", "words", "item").mapInArrow(
-        read, "row long, doc_id long, item_id long, start long, score double, end long"
+    return pairs.select("key", "entry", "text", "item").mapInArrow(
+        read, "key string, entry long, score double, end_word long"
     )
 
 
+def wanted(n_words, threshold: float):
+    """Words that an alignment with an item of n_words must be worth; for numbers and columns."""
+    return n_words * threshold
+
+
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, score and end_word: every document with every item it holds.
 
-    score: the best alignment as a share of the item's own; end_word: where it ends.
+    score: the best alignment as a share of the item's own; end_word: where it first ends.
     """
-    item_rows = materialise(item_grams(items), "item-grams")
-    counts = gram_counts(docs, bitmap(item_rows))
-    seeds = materialise(choose_seeds(item_rows, counts), "seeds")
-    found = materialise(passages(docs, bitmap(seeds)), "passages")
-    total = docs.count()
-    rare = (F.col("n_docs") <= F.lit(total * RARE_SHARE)) | (F.col("n_docs") <= RARE_DOCS)
-    needed = seeds.groupBy("item_id").agg(F.least(F.count("*"), F.lit(2)).alias("needed"))
-    hits = found.select("row", "start", F.explode("grams").alias("gram")).join(seeds, "gram")
-    shared = hits.groupBy("row", "start", "item_id").agg(
-        F.count("*").alias("n"), F.max(rare).alias("rare")
+    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", F.col("text").alias("item"))
+    entries = materialise(
+        items.select("item").distinct().withColumn("entry", F.monotonically_increasing_id()), "items"
     )
-    pairs = shared.join(needed, "item_id").filter("n >= needed OR rare").select("row", "start", "item_id")
-    texts = items.select("item_id", F.col("text").alias("item"))
-    full = pairs.join(found.drop("grams"), ["row", "start"]).join(texts, "item_id")
-    scored = score_pairs(full, threshold)
-    best = scored.groupBy("row", "doc_id", "item_id").agg(
-        F.max(F.struct("score", (F.col("start") + F.col("end")).alias("end"))).alias("best")
+    seeds = materialise(item_pairs(entries), "seeds")
+    found = materialise(seed_hits(docs, bitmap(seeds)), "hits")
+    hits = found.select("row", F.explode("grams").alias("gram")).join(seeds, "gram")
+    counts = hits.groupBy("row", "entry", "n_words").agg(F.sum("times").alias("n"))
+    enough = counts.filter(F.col("n") + 1 >= wanted(F.col("n_words"), threshold)).select("row", "entry")
+    pairs = materialise(enough.join(found.select("row", "key"), "row").select("key", "entry").distinct(), "pairs")
+    texts = texts_of_keys(docs, pairs.select("key").distinct())
+    scored = score_pairs(pairs.join(texts, "key").join(entries, "entry"), threshold)
+    named = scored.join(entries, "entry").join(items, "item")
+    # Of equal scores the one that ends first.
+    best = named.groupBy("key", "item_id").agg(F.max(F.struct("score", (-F.col("end_word")).alias("back"))).alias("best"))
+    return found.select("doc_id", "key").join(best, "key").select(
+        "doc_id", "item_id", "best.score", (-F.col("best.back")).alias("end_word")
     )
-    return best.select("doc_id", "item_id", "best.score", F.col("best.end").alias("end_word"))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

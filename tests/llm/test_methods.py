@@ -351,3 +351,23 @@ def test_edited_passages_against_every_pair(spark, prose):
                 want[i, j] = score
     assert {k: pytest.approx(v) for k, v in want.items()} == got
     assert {i for i, _ in got} == set(range(0, 40, 2))
+
+
+@pytest.mark.parametrize("apart", [3, 4])
+@pytest.mark.parametrize("n", [12, 20, 40])
+def test_single_copies_with_regularly_spaced_edits(spark, prose, n, apart):
+    item = prose(n, 6000 + n)
+    words = [f"x{k}" if k % apart == apart - 1 else w for k, w in enumerate(item.split(" "))]
+    copy = " ".join(words)
+    docs = spark.createDataFrame([(1, f"{prose(50, 1)} {copy} {prose(50, 2)}", "a"), (2, prose(90, 3), "a")], DOC)
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    (row,) = decontamination.contamination(docs, bench).collect()
+    assert (row["doc_id"], row["item_id"]) == (1, 5) and row["score"] >= 0.5
+
+
+def test_copies_with_a_word_put_in_after_every_second(spark, prose):
+    words = prose(24, 6100).split(" ")
+    copy = " ".join(f"{w} x{k}" if k % 2 else w for k, w in enumerate(words))
+    docs = spark.createDataFrame([(1, f"{prose(50, 1)} {copy} {prose(50, 2)}", "a")], DOC)
+    bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    assert [r["doc_id"] for r in decontamination.contamination(docs, bench).collect()] == [1]
