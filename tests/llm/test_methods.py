@@ -280,6 +280,40 @@ def test_personal_data_rows(spark, prose):
         assert set(pii.listed(base).split(",")) <= set(r["spans"].split(","))
 
 
+def test_wider_spans_are_added(spark, prose):
+    rng = random.Random(9)
+    digits = lambda n: "".join(str(rng.randrange(10)) for _ in range(n))
+
+    def card() -> str:
+        first = "4" + digits(14)
+        return next(first + d for d in "0123456789" if pii.luhn(first + d))
+
+    def base() -> str:
+        c = card()
+        return rng.choice([
+            f"user.{digits(2)}@mail{digits(1)}.example.org", ".".join(str(rng.randrange(256)) for _ in range(4)),
+            c, f"+1 ({digits(3)}) 555-{digits(4)}",
+        ])
+
+    rows = [(i, f"{prose(20, i)} Look at it. {base()} {prose(9, 900 + i)}") for i in range(1200)]
+    c = card()
+    wide = {
+        2000: ("jane.77 at mail3 dot example dot org", "email"), 2001: ("(212) 555-0147", "phone"),
+        2002: (".".join(c[i : i + 4] for i in range(0, 16, 4)), "card"), 2003: ("10. 20. 130. 40", "ip"),
+    }
+    bad = {
+        2100: "999. 20. 130. 40", 2101: "1234.5678.9012.3456", 2102: "We met at noon. Then it rained", 2103: "2024-11-03 10-20",
+    }
+    rows += [(i, f"{prose(12, i)} {w} {prose(9, i + 1)}") for i, w in [*((i, w[0]) for i, w in wide.items()), *bad.items()]]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in rows], DOC)
+    got = {r["doc_id"]: r["spans"] for r in pii.find(docs, pii.train(docs)).collect()}
+    texts = dict(rows)
+    for i, (form, kind) in wide.items():
+        at = texts[i].index(form)
+        assert got[i] == f"{kind}:{at}:{at + len(form)}"
+    assert {i: got[i] for i in bad} == dict.fromkeys(bad, "")
+
+
 def test_trees_choose_wider_spans():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 5))
