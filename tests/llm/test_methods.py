@@ -405,3 +405,12 @@ def test_copies_with_a_word_put_in_after_every_second(spark, prose):
     docs = spark.createDataFrame([(1, f"{prose(50, 1)} {copy} {prose(50, 2)}", "a")], DOC)
     bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
     assert [r["doc_id"] for r in decontamination.contamination(docs, bench).collect()] == [1]
+
+
+def test_many_copies_with_one_trigram_left(spark, prose):
+    words = prose(15, 6200).split(" ")
+    copy = " ".join(f"x{k}" if k in (2, 5, 9, 12) else w for k, w in enumerate(words))
+    rows = [(i, f"{prose(50, i)} {copy} {prose(50, 900 + i)}", "a") for i in range(30)] + [(99, prose(90, 99), "a")]
+    bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    found = decontamination.contamination(spark.createDataFrame(rows, DOC), bench).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(30))
