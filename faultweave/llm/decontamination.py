@@ -1,7 +1,8 @@
 """Training documents that hold passages of benchmark items, edited or not.
 
 A document holds an item if its best local alignment (Smith-Waterman over words, the whole
-document against the whole item) reaches a share of the item's score against itself.
+document against the whole item) reaches a share of the item's score against itself, or is
+worth LONG_WORDS equal words.
 
 1. Seeds: all pairs of words of an item that stand next to each other or with one word
    between. A document's pairs are the same; whether one word lies between does not count.
@@ -36,6 +37,8 @@ LEAST_WORDS = 3
 LOG_BITS = 27
 MATCH, MISMATCH, SKIP = 2, -1, -1
 THRESHOLD = 0.5
+# An alignment worth so many words is enough by itself, however long the item.
+LONG_WORDS = 50
 
 
 def pairs_of(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +185,9 @@ def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def wanted(n_words, threshold: float):
-    """Words that an alignment with an item of n_words must be worth; for numbers and columns."""
-    return n_words * threshold
+def wanted(n_words: int, threshold: float) -> float:
+    """Words that an alignment with an item of n_words must be worth."""
+    return min(n_words * threshold, LONG_WORDS)
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -200,7 +203,7 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     found = materialise(seed_hits(docs, bitmap(seeds)), "hits")
     hits = found.select("row", F.explode("grams").alias("gram")).join(seeds, "gram")
     counts = hits.groupBy("row", "entry", "n_words").agg(F.sum("times").alias("n"))
-    enough = counts.filter(F.col("n") + 1 >= wanted(F.col("n_words"), threshold)).select("row", "entry")
+    enough = counts.filter(F.col("n") + 1 >= F.least(F.col("n_words") * threshold, F.lit(LONG_WORDS))).select("row", "entry")
     pairs = materialise(enough.join(found.select("row", "key"), "row").select("key", "entry").distinct(), "pairs")
     texts = texts_of_keys(docs, pairs.select("key").distinct())
     scored = score_pairs(pairs.join(texts, "key").join(entries, "entry"), threshold)

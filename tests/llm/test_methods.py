@@ -414,3 +414,16 @@ def test_many_copies_with_one_trigram_left(spark, prose):
     bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
     found = decontamination.contamination(spark.createDataFrame(rows, DOC), bench).collect()
     assert sorted(r["doc_id"] for r in found) == list(range(30))
+
+
+def test_long_items_in_parts(spark, prose):
+    words = prose(300, 6300).split(" ")
+    blocks = [*words[:100], prose(60, 1), *words[100:200], prose(60, 2), *words[200:]]
+    texts = {
+        1: " ".join(blocks), 2: f"{prose(80, 3)} {' '.join(words[120:180])} {prose(80, 4)}",
+        3: f"{prose(80, 5)} {' '.join(words[120:140])} {prose(80, 6)}",
+    }
+    docs = spark.createDataFrame([(i, t, "a") for i, t in texts.items()], DOC)
+    bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in decontamination.contamination(docs, bench).collect()}
+    assert got.keys() == {1, 2} and got[1] == pytest.approx(0.8, abs=0.02) and got[2] == pytest.approx(0.2, abs=0.02)
