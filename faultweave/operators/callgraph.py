@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultweave.functions import numbers
+from faultweave.operators import positions
 
 
 # Tasks that share the pairs of one minute.
@@ -172,10 +173,20 @@ def correlate_series(
     )
 
 
+def _strongest_first() -> list[Column]:
+    """Rounded, since the last bits of a coefficient follow the order of summing."""
+    strength = F.round(F.abs("error_correlation"), 9)
+    return [strength.desc(), F.col("service_a").asc(), F.col("service_b").asc()]
+
+
 def sort_abs_corr(correlations: DataFrame) -> DataFrame:
-    return correlations.orderBy(
-        F.abs("error_correlation").desc(), "service_a", "service_b"
-    )
+    return correlations.orderBy(*_strongest_first())
+
+
+def rank_abs_corr(correlations: DataFrame) -> DataFrame:
+    """Adds position, 1 for the strongest pair, without putting all pairs in one task."""
+    ranked = positions.numbered(correlations, _strongest_first())
+    return ranked.withColumn("position", F.col("position") + 1)
 
 
 def error_correlation(

@@ -256,7 +256,6 @@ VIEWS: dict[str, str] = {
     "edges": """
         SELECT p.service_name AS caller_service, c.service_name AS callee_service,
           p.is_failure AS caller_failure, c.is_failure AS callee_failure,
-          p.start_time_ts AS caller_start, c.start_time_ts AS callee_start,
           c.response_time_ms AS callee_latency
         FROM spans p JOIN spans c ON p.span_id = c.parent_span_id""",
     "pairs": """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultweave.config import DEFAULTS, ROOTS, Settings
@@ -534,8 +534,7 @@ add(
 )
 add(
     "call_edges",
-    "caller_service callee_service i:caller_failure i:callee_failure t:caller_start "
-    "t:callee_start d:callee_latency",
+    "caller_service callee_service i:caller_failure i:callee_failure d:callee_latency",
     lambda s, sf: callgraph.call_edges(b.telemetry_table(s, sf)), "SELECT * FROM edges",
 )
 add(
@@ -800,18 +799,13 @@ add(
 )
 
 
-def _in_order(df: DataFrame) -> DataFrame:
-    """Adds the place of each row in the order in which the rows come."""
-    numbered = df.withColumn("_at", F.monotonically_increasing_id())
-    return numbered.withColumn("position", F.row_number().over(Window.orderBy("_at"))).drop("_at")
-
-
 add(
     "sort_abs_corr", f"{CORR} i:position",
-    lambda s, sf: _in_order(callgraph.sort_abs_corr(callgraph.correlate_series(
+    lambda s, sf: callgraph.rank_abs_corr(callgraph.correlate_series(
         callgraph.service_minute_error_rate(b.telemetry_table(s, sf)), 0.0, DEFAULTS.min_samples
-    ))),
-    """SELECT *, row_number() OVER (ORDER BY abs(error_correlation) DESC, service_a, service_b)
+    )),
+    """SELECT *, row_number() OVER (
+         ORDER BY round(abs(error_correlation), 9) DESC, service_a, service_b)
          AS position FROM correlations""",
 )
 BANDS = "SELECT latency_bucket, count(*) AS requests FROM telemetry GROUP BY ALL"

@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 os.environ.setdefault("TZ", "UTC")
 
+from moments import at  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,13 +31,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(second: int) -> datetime:
-    """A moment `second` seconds into 2024, UTC."""
-    from datetime import timedelta
-
-    return datetime(2024, 1, 1) + timedelta(seconds=second)
-
-
 @pytest.fixture
 def spans(spark):
     """Builds telemetry from (trace, span, parent, service, second, failed[, latency]) rows."""

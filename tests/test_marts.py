@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at
+from moments import at
 from pyspark.sql import functions as F
 
 from faultweave.operators import marts, scaling

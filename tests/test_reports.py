@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at
+from moments import at
 
 from faultweave.config import Settings
 from faultweave.plans import reports

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import at
+from moments import at
 from pyspark.sql import functions as F
 
 from faultweave.operators import canonical, selftime

@@ -87,7 +87,7 @@ def test_columns_in_another_order_are_an_error(spark, tmp_path):
 
 
 def test_injection_windows(spark):
-    from conftest import at
+    from moments import at
 
     rows = [("s", at(n), f) for n, f in ((9, 1), (10, 1), (10, 0), (310, 1), (311, 1), (500, 0))]
     telemetry = spark.createDataFrame(rows, "service_name string, start_time_ts timestamp, is_failure int")
