@@ -14,10 +14,16 @@ PARTITION_ROWS = 1 << 33
 
 
 def numbered(
-    df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), name: str = "position"
+    df: DataFrame,
+    order: Sequence[Column],
+    group: Sequence[str] = (),
+    name: str = "position",
+    total: str | None = None,
 ) -> DataFrame:
     """Adds the place of each row in `order` within `group`, counted from 0.
 
+    With `total`, a column of that name holds the number of rows of the group.
+
     The table is range-partitioned by group and order and written with each row's number
     in its partition. A stretch is what a partition holds of a group; the rows of the
     stretches before it, summed, are where it starts. So only one row per partition and
@@ -48,10 +54,13 @@ def numbered(
         F.col("_part").alias("_in"),
         *[F.col(c).alias(f"_group_{i}") for i, c in enumerate(group)],
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"),
+        F.sum("_rows").over(Window.partitionBy(*group)).alias("_total"),
     )
     # Written, so that its size is known: Spark broadcasts it only where it is small.
     starts = materialise(starts, "starts")
     same = F.col("_part") == F.col("_in")
     for i, c in enumerate(group):
         same &= F.col(c).eqNullSafe(F.col(f"_group_{i}"))
-    return placed.join(starts, same).select(*columns, (F.col("_start") + F.col("_row")).alias(name))
+    place = (F.col("_start") + F.col("_row")).alias(name)
+    totals = [F.col("_total").alias(total)] if total else []
+    return placed.join(starts, same).select(*columns, place, *totals)

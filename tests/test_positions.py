@@ -14,12 +14,13 @@ from faultweave.sources.workspace import materialise
 def test_places_match_sorting(spark):
     rows = [(None if i % 7 == 0 else f"g{i % 3}" if i % 2 else "hot", (i * 37) % 501, i) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, v long, position_of long").repartition(7)
-    got = numbered(df, [F.col("v").desc_nulls_last(), F.col("position_of")], ["g"]).collect()
+    got = numbered(df, [F.col("v").desc_nulls_last(), F.col("position_of")], ["g"], total="n").collect()
     groups = defaultdict(list)
     for g, v, i in rows:
         groups[g].append((-v, i))
     want = {i: n for members in groups.values() for n, (_, i) in enumerate(sorted(members))}
     assert {r.position_of: r.position for r in got} == want
+    assert all(r.n == len(groups[r.g]) for r in got)
 
 
 def test_whole_table_and_ties(spark):
