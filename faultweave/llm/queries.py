@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from faultweave.llm import (
-    decontamination, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
+    decontamination, line_dedup, line_quality, lm_score, merkle, mixing, near_dedup, pii, sql_trees, token_counts,
+    token_store, toxicity,
 )
-from faultweave.llm.common import BYTE_BPE, WORD_BPE, table, vocabulary
+from faultweave.llm.common import BYTE_BPE, WORD_BPE, fold_of, table, vocabulary
 from faultweave.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +69,17 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf), table(spark, sf, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the documents are received without their line ends and checked against the manifest."""
+    received = F.when(fold_of("doc_id", 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    listed = merkle.manifest(documents(spark, sf), {"received": merkle.leaf_hash(received)})
+    checked = merkle.verified(listed, "received")
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -81,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_store": op9_token_store,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": pipeline,
 }
 
@@ -220,6 +235,8 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM placed
 """
 
+SQL["op11_merkle_manifest"] = sql_trees.MERKLE
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
