@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from faultweave.llm import (
-    decontamination, line_dedup, line_quality, lm_score, merkle, mixing, near_dedup, pii, sql_trees, token_counts,
-    token_store, toxicity,
+    decontamination, line_dedup, line_quality, lm_score, merkle, mixing, near_dedup, packing, pii, prefix_trie,
+    sql_trees, token_counts, token_store, toxicity,
 )
 from faultweave.llm.common import BYTE_BPE, WORD_BPE, fold_of, table, vocabulary
 from faultweave.sources.workspace import new_path
@@ -80,6 +80,19 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations that borrow their openings from every twentieth one."""
+    ordered = prefix_trie.turns_in_order(table(spark, sf, "conversations"))
+    return prefix_trie.trie(prefix_trie.shared_openings(ordered)).drop("key")
+
+
+def op13_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf), vocabulary(WORD_BPE))
+    return packing.with_crc(packed).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -96,6 +109,8 @@ QUERIES: dict[str, Query] = {
     "op9_token_store": op9_token_store,
     "op10_decontamination": op10_decontamination,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
 
@@ -236,6 +251,7 @@ FROM placed
 """
 
 SQL["op11_merkle_manifest"] = sql_trees.MERKLE
+SQL["op12_prefix_trie"] = sql_trees.PREFIX_TRIE
 
 
 def queries() -> dict[str, Query]:

@@ -76,3 +76,40 @@ SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
 FROM placed AS p JOIN sources AS s ON s.source IS NOT DISTINCT FROM p.source
 JOIN (SELECT node AS root FROM top WHERE n = 1) ON true JOIN folded AS f USING (r) LEFT JOIN proofs USING (r)
 """
+
+
+PREFIX_TRIE = rf"""
+WITH turns AS MATERIALIZED (
+    SELECT conv_id, digest, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place
+    FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+            len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS MATERIALIZED (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {crc32("name")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS name FROM turns)
+), rebuilt AS (
+    SELECT c.conv_id, place, digest, words FROM convs AS c JOIN turns AS t USING (conv_id)
+    WHERE place >= h OR c.conv_id = base
+    UNION ALL
+    SELECT c.conv_id, place, digest, words FROM convs AS c JOIN turns AS t ON t.conv_id = base AND place < h
+    WHERE c.conv_id <> base
+), paths AS MATERIALIZED (
+    SELECT conv_id, words, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS key
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS MATERIALIZED (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = n), '') AS ends
+    FROM paths JOIN (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id) USING (conv_id) GROUP BY key, depth
+), linked AS MATERIALIZED (
+    SELECT n.*, (SELECT count(*) FROM nodes AS c WHERE c.depth = n.depth + 1 AND left(c.key, 64 * n.depth) = n.key) AS n_children
+    FROM nodes AS n
+), below AS (
+    SELECT a.key, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
+    FROM linked AS a JOIN linked AS b ON starts_with(b.key, a.key) GROUP BY a.key
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM linked AS n JOIN below USING (key)
+LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.key = left(n.key, 64 * p.depth)
+"""
