@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from faultweave.llm.common import chunks
+from faultweave.llm.common import REMEMBERED, chunks
 from faultweave.llm.token_store import WordIds
 from faultweave.sources.workspace import materialise
 
@@ -55,6 +55,8 @@ BLOCK_WINDOWS = 512
 ATOM = 256
 # Blocks whose lengths are summed in one task.
 CELL = 1 << 16
+# Rows with ids that a worker takes apart at once.
+PORTION = 128
 
 ENCODED = "part int, queue string, inside long, doc_id long, doc_tokens long, ids binary"
 SLICES = "block long, queue string, place long, owed long, n long, doc_id long, doc_tokens long, start long, ids binary"
@@ -68,6 +70,12 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)], names=[f[0] for f in fields])
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, PORTION):
+            yield batch.slice(start, PORTION)
+
+
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> WordIds:
     return WordIds(Tokenizer.from_file(vocabulary))
@@ -81,6 +89,8 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, so_far = encoder(vocabulary), TaskContext.get().partitionId(), {}
         for batch, texts in chunks(batches):
+            if len(words) > REMEMBERED:
+                words.clear()
             rows = []
             for queue, doc_id, text in zip(batch.column("queue").to_pylist(), batch.column("doc_id").to_pylist(), texts):
                 ids = words.encode(text) + end
@@ -146,7 +156,7 @@ def _block_starts(lengths: DataFrame) -> DataFrame:
 
 def _slices(documents: DataFrame, total: int, block: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             rows = []
             for d in batch.to_pylist():
                 at = d["base"] + d["inside"]
@@ -265,7 +275,7 @@ def pack(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         first = 0
-        for batch in batches:
+        for batch in _portions(batches):
             for row in batch.to_pylist():
                 if row["queue"] is None:
                     if rows:
@@ -288,7 +298,7 @@ def with_crc(packed: DataFrame) -> DataFrame:
     columns = [c for c in packed.columns if c != "ids"]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             ids = batch.column("ids").to_pylist()
             crcs = pa.array([zlib.crc32(np.frombuffer(i, "<u2").astype("<u4").tobytes()) for i in ids], pa.int64())
             yield pa.record_batch([*[batch.column(c) for c in columns], crcs], names=[*columns, "ids_crc32"])
