@@ -14,10 +14,15 @@
 6. Components of the links. In buckets that several components share, each member outside the
    largest meets one member of it, drawn anew per bucket and round, for ROUNDS rounds; this
    takes in nearly all that belong to a large group, with a row per member.
-7. Buckets whose members are now all in one component are done. In the others each member outside the bucket's largest component meets the members of other
-   components and of about its size; only pairs leave that join that agree in enough of
-   their registers' four lowest bits, a test of a few machine words with the same margin of
-   five deviations. Steps 4 and 5 again for these.
+7. Buckets whose members are now all in one component are done. The members of the others
+   are paired by their rarest shingles: with sizes x and y a link needs an intersection of at
+   least o = percent * (x + y) / (100 + percent), so in any common order of all shingles
+   the first one that both have is among the first x - o + 1 of the one and the first y - o + 1
+   of the other. The order starts with shingles that stand in one component only, which
+   pair nobody, and goes on with the rarest. Two documents meet only in a shingle whose place
+   in both leaves room for the intersection, in cells of about equal size. Documents whose
+   own words alone rule out a link, as in a large group around one passage, thus meet nobody,
+   and no link is lost. Steps 4 and 5 again for these pairs.
 
 So no link that step 3 skips between members is lost: both ends are in one component, or
 step 7 compares them.
@@ -38,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultweave.llm.common import chunks, hash_words, mix
@@ -61,12 +66,11 @@ _rng = np.random.default_rng(20240229)
 _ADD = _rng.integers(0, 1 << 64, REGISTERS, np.uint64)
 _TIMES = _rng.integers(0, 1 << 64, REGISTERS, np.uint64) | np.uint64(1)
 
-# Registers per machine word in the short form of a sketch: four bits each.
-PACKED = 16
-WORDS = REGISTERS // PACKED
+# Ratio of neighbouring cells of set sizes, finer than the ratio of two linked sizes.
+SIZE_STEP = 1.03
 
 FIGURES = (
-    "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, bands array<long>, short array<long>"
+    "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, bands array<long>"
 )
 
 
@@ -132,25 +136,6 @@ def _band_hashes(rows: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _short(rows: np.ndarray) -> np.ndarray:
-    """The four lowest bits of the registers, PACKED to a machine word."""
-    nibbles = (rows & np.uint16(15)).astype(np.uint64).reshape(len(rows), WORDS, PACKED)
-    return np.bitwise_or.reduce(nibbles << (np.arange(PACKED, dtype=np.uint64) * np.uint64(4)), axis=2).view(np.int64)
-
-
-def may_be_similar(a: str, b: str, percent: int) -> Column:
-    """Whether two short sketches agree in as many registers as similar sets do, nearly always."""
-    share = percent / 100 + (1 - percent / 100) / 16
-    most = REGISTERS * (1 - share) + DEVIATIONS * (REGISTERS * share * (1 - share)) ** 0.5
-    differ = F.lit(0)
-    for i in range(WORDS):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differ <= int(most)
-
-
 def figures(docs: DataFrame, k: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
@@ -159,17 +144,16 @@ def figures(docs: DataFrame, k: int) -> DataFrame:
             digests = np.zeros((len(sets), 2), np.int64)
             sketch: list[bytes | None] = [None] * len(sets)
             bands: list[np.ndarray | None] = [None] * len(sets)
-            short: list[np.ndarray | None] = [None] * len(sets)
             if full:
                 some = [sets[i] for i in full]
                 rows = sketches(some)
-                hashes, packed = _band_hashes(rows), _short(rows)
+                hashes = _band_hashes(rows)
                 with np.errstate(over="ignore"):
-                    for i, s, row, band, words in zip(full, some, rows, hashes, packed):
+                    for i, s, row, band in zip(full, some, rows, hashes):
                         digests[i, 0] = mix(s).sum(dtype=np.uint64).view(np.int64)
                         digests[i, 1] = mix(s ^ _ADD[0]).sum(dtype=np.uint64).view(np.int64)
                         sketch[i] = row.astype("<u2").tobytes()
-                        bands[i], short[i] = band, words
+                        bands[i] = band
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
@@ -178,9 +162,8 @@ def figures(docs: DataFrame, k: int) -> DataFrame:
                     pa.array(digests[:, 1]),
                     pa.array(sketch, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(short, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands", "short"],
+                names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(read, FIGURES)
@@ -294,6 +277,61 @@ def open_members(classes: DataFrame, roots: DataFrame, leaders: DataFrame) -> Da
     return members
 
 
+def open_sets(rows: DataFrame, k: int) -> DataFrame:
+    """rep, root, size and the shingle hashes of each text. `rows`: rep, root, text."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches):
+            sets = [s.view(np.int64) for s in shingle_sets(texts, k)]
+            yield pa.record_batch(
+                [
+                    batch.column("rep"),
+                    batch.column("root"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(sets, pa.list_(pa.int64())),
+                ],
+                names=["rep", "root", "size", "shingles"],
+            )
+
+    return rows.select("rep", "root", "text").mapInArrow(read, "rep long, root long, size long, shingles array<long>")
+
+
+def meeting(sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different components whose rarest shingles allow a link (step 7)."""
+    of_set = ["rep", "root", "size", "set"]
+    shingles = sets.select("rep", "root", "size", F.xxhash64("shingles").alias("set"), F.explode("shingles").alias("h"))
+    crossing = shingles.groupBy("h").agg(
+        F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).filter("low < high").select("h", "often")
+    rarest = Window.partitionBy(*of_set).orderBy("often", "h")
+    shared = shingles.join(crossing, "h").withColumns(
+        {"rank": F.row_number().over(rarest), "n": F.count("*").over(Window.partitionBy(*of_set))}
+    )
+    size = F.col("size")
+    # Shingles of this set from this one on: no intersection that begins here is larger.
+    left = F.col("n") - F.col("rank") + 1
+    placed = shared.select("h", "rep", "root", "size", left.alias("left"))
+    smallest = F.greatest(F.lit(1), F.floor(size * percent / 100))
+    largest = F.ceil(F.least(size * 100 / percent, F.col("left") * (100 + percent) / percent - size))
+
+    def cell(n: Column) -> Column:
+        return F.floor(F.log(n) / F.lit(np.log(SIZE_STEP))).cast("int")
+
+    # Sizes of partners for which there is still room, as cells.
+    met = placed.filter(F.col("left") * 100 >= size * percent).select(
+        "h", "rep", "root", "size", "left", cell(size).alias("own"),
+        F.explode(F.sequence(cell(smallest), cell(F.greatest(largest, smallest)))).alias("other"),
+    )
+    x = met.select("h", *[F.col(c).alias(f"{c}_x") for c in ("rep", "root", "size", "left")], F.col("own").alias("p"), F.col("other").alias("q"))
+    y = met.select("h", *[F.col(c).alias(f"{c}_y") for c in ("rep", "root", "size", "left")], F.col("other").alias("p"), F.col("own").alias("q"))
+    both = percent * (F.col("size_x") + F.col("size_y"))
+    pairs = x.join(y, ["h", "p", "q"]).filter(
+        (F.col("rep_x") < F.col("rep_y")) & (F.col("root_x") != F.col("root_y"))
+        & (F.col("left_x") * (100 + percent) >= both) & (F.col("left_y") * (100 + percent) >= both)
+    )
+    return pairs.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, k1, k2, component_id and kept of every document."""
     all_figures = materialise(figures(docs, k), "sketches")
@@ -302,7 +340,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # The smallest id of each class stands for it. Repeated rows of that id only repeat its bands.
     members = linkable.join(named, ["k1", "k2"])
     classes = materialise(
-        members.filter("doc_id = rep").select("rep", "n_shingles", "sketch", "bands", "short", "k1", "k2")
+        members.filter("doc_id = rep").select("rep", "n_shingles", "sketch", "bands", "k1", "k2")
         .dropDuplicates(["rep", "k1", "k2"]), "reps"
     )
     banded = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
@@ -336,30 +374,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         roots = components(linked)
 
     members = open_members(classes, roots, leaders)
-    inside = members.join(classes.select("rep", "n_shingles", "short"), "rep")
-    # Sizes of similar sets differ by less than a step of this scale, so they are in the same
-    # or in neighbouring cells of it.
-    cell = F.floor(F.log("n_shingles") / F.lit(np.log(100 / percent))).alias("cell")
-    inside = inside.select("bucket", "largest", "rep", "root", "n_shingles", "short", cell)
-    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("rep", "root", "n_shingles", "short")]
-    near = F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell")
-    outer = inside.filter("root <> largest").select("bucket", near, *side("x"))
-    crossing = outer.join(inside.select("bucket", "cell", "largest", *side("y")), ["bucket", "cell"]).filter(
-        (F.col("root_x") != F.col("root_y"))
-        & ((F.col("root_y") == F.col("largest")) | (F.col("rep_x") < F.col("rep_y")))
-        & (F.col("n_shingles_x") * 100 >= F.col("n_shingles_y") * percent)
-        & (F.col("n_shingles_y") * 100 >= F.col("n_shingles_x") * percent)
-        & may_be_similar("short_x", "short_y", percent)
-    )
-    fresh = crossing.select(
-        F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")
-    ).distinct().join(met, ["a", "b"], "left_anti")
-    fresh = materialise(fresh, "crossing")
+    nodes = members.select("rep", "root").distinct()
+    sets = materialise(open_sets(texts.join(nodes, F.col("doc_id") == F.col("rep")), k), "open-sets")
+    fresh = materialise(meeting(sets, percent).join(met, ["a", "b"], "left_anti"), "crossing")
     more = links(likely(fresh, classes, percent), texts, k, percent)
     if not more.isEmpty():
         release(roots)
         roots = components(linked.union(more))
-    release(classes, leaders, met, texts, members, fresh, linked, more)
+    release(classes, leaders, met, texts, members, sets, fresh, linked, more)
 
     with_class = all_figures.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     empty = F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").isNull()
