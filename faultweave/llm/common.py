@@ -82,6 +82,31 @@ def words_folded(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+class Memory(dict):
+    """Values computed when first asked for, of which the last `most` asked for are remembered.
+
+    The memory has two halves: a full half becomes the old one, and what is asked for again
+    moves to the new one. So frequent keys stay, and rare ones go without a search for them.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.old = most // 2, {}
+
+    def compute(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered per worker."""
 

@@ -8,8 +8,9 @@ a row is the complete compressed file of `wavelet`.
 
 Encoding. A text is cut at ASCII white space, which the vocabulary drops and over which no
 token, special string or character composition reaches, so each word is encoded on its
-own by the library and remembered per worker. Words of plain letters need no normalising
-and splitting and go straight to the library's merges.
+own by the library and remembered per worker. Words of ASCII and Latin letters need no
+composing; they are split into runs of letters, digits and runs of other characters, as the
+vocabulary does, and go straight to the library's merges.
 
 Defined results: a null or empty text is the end id alone; texts are encoded whole,
 special strings in them as the library does by default; null ids sort first; repeated ids
@@ -31,43 +32,48 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from faultweave.llm.common import chunks
+from faultweave.llm.common import Memory, chunks
 from faultweave.llm.wavelet import BITS, WaveletMatrix, build
 
 SHARD_TOKENS = 1 << 20
-REMEMBERED = 1_000_000
-PLAIN = re.compile(rb"[a-z]+")
+REMEMBERED = 800_000
+# Words of ASCII and Latin letters beyond it, which no composition changes, without apostrophes;
+# and what the vocabulary splits them into.
+LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile(f"[!-&(-~{LATIN}]+")
+PIECES = re.compile(f"[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
 
 STORE = "part int, piece int, n_docs long, n_tokens long, doc_ids binary, null_ids binary, block binary"
 
 
-class WordIds(dict):
+class WordIds(Memory):
     """Ids of a lower-cased word as 16-bit little-endian bytes, computed when first asked for."""
 
     def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
+        super().__init__(REMEMBERED)
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         if tokenizer.get_vocab_size(with_added_tokens=True) > 1 << BITS:
             raise ValueError("more than 16 bits of ids")
-        self.stops = {s: self._library(s) for s in (b".", b",")}
+        # A byte's character in the vocabulary: itself where it is printable, else one from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.characters = {b: 256 + i for i, b in enumerate(hidden)}
 
     def _library(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return np.array(ids, "<u2").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if PLAIN.fullmatch(word):
-            ids = np.array([t.id for t in self.model.tokenize(word.decode())], "<u2").tobytes()
-        elif word[-1:] in self.stops and word[-2:-1].isalpha():
-            # A letter and the full stop or comma after it are never one token.
-            ids = self[word[:-1]] + self.stops[word[-1:]]
-        else:
-            ids = self._library(word)
-        self[word] = ids
-        return ids
+    def compute(self, word: bytes) -> bytes:
+        lowered = word.decode().lower()
+        if not PLAIN.fullmatch(lowered):
+            return self._library(word)
+        ids = []
+        for piece in PIECES.findall(lowered):
+            if not piece.isascii():
+                piece = piece.encode().decode("latin-1").translate(self.characters)
+            ids += [t.id for t in self.model.tokenize(piece)]
+        return np.array(ids, "<u2").tobytes()
 
     def encode(self, text: bytes) -> bytes:
         # Only a special string is sensitive to case; the library finds it before lower-casing.
