@@ -1,9 +1,10 @@
 """Quality rules over a text, and cross-document line frequency. DataFrame functions only.
 
 Lines are normalised (A-Z lower-cased, white space runs to one space, ends cut) and
-hashed. A line that stands in more than `max_docs` documents of a host, and in more than
-`max_percent` of the host's documents, counts as removed; a document that keeps less than
-`keep_percent` of its words is depleted and rejected. A host is a source.
+hashed. A line that stands in more than `max_docs` distinct documents of a host counts as
+removed; a document that keeps less than `keep_percent` of its words is depleted and
+rejected. A host is a source. The limit is a number, so that a line's fate doesn't depend on
+how large its host is.
 
 Texts are read once: the figures of each document and its distinct lines, as hashes with
 word counts, are written to the shared folder. Documents per line are partial counts, so
@@ -12,9 +13,9 @@ that Spark knows their size when it joins them; beyond its broadcast limit the j
 plain equi-join with a unique side, whose hot keys adaptive execution splits.
 
 Defined results: a null or empty text has no words and fails the base rule; the null
-source is a host; repeated rows count as documents of their own and each give a row; an
-empty table gives no rows; further columns are ignored. Lines and word windows are
-compared by 64-bit hash.
+source is a host; rows of one id are one document of the line counts and each give a row,
+rows without an id are a document each; an empty table gives no rows; further columns are
+ignored. Lines and word windows are compared by 64-bit hash.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from faultweave.llm.common import SPACES, text_of
 from faultweave.sources.workspace import materialise
 
 MAX_DOCS = 10
-MAX_PERCENT = 1
 KEEP_PERCENT = 30
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -123,28 +123,24 @@ def figures(docs: DataFrame) -> DataFrame:
     ).select("*", "w.n_words", "w.n_repeat_words").drop("w")
 
 
-def frequent_lines(
-    lines: DataFrame, hosts: DataFrame, max_docs: int = MAX_DOCS, max_percent: float = MAX_PERCENT
-) -> DataFrame:
-    """(source, h) of lines above both limits. `lines`: a row per document and distinct line;
-    `hosts`: source and n_docs."""
-    counts = lines.groupBy("source", "h").agg(F.count("*").alias("n")).filter(F.col("n") > max_docs)
-    hosts = hosts.select(F.col("source").alias("_host"), "n_docs")
-    met = counts.join(hosts, F.col("source").eqNullSafe(F.col("_host")))
-    return met.filter(F.col("n") * 100 > F.col("n_docs") * max_percent).select("source", "h")
+def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(source, h) of lines in more than `max_docs` documents. `lines`: source, h, doc_id and row."""
+    # Of rows without an id each is a document.
+    lone = F.when(F.col("doc_id").isNull(), F.col("row"))
+    once = lines.groupBy("source", "h", "doc_id", lone.alias("lone")).agg(F.lit(1).alias("one"))
+    return once.groupBy("source", "h").agg(F.count("*").alias("n")).filter(F.col("n") > max_docs).select("source", "h")
 
 
 def quality(
     docs: DataFrame,
     max_docs: int = MAX_DOCS,
-    max_percent: float = MAX_PERCENT,
     keep_percent: float = KEEP_PERCENT,
 ) -> DataFrame:
     """Per document: the base figures, base_failed, n_removed_words and kept."""
     base = materialise(figures(docs), "line-quality")
-    lines = base.select("row", "source", F.explode("lines").alias("line")).select("row", "source", "line.h", "line.n")
-    hosts = base.groupBy("source").agg(F.count("*").alias("n_docs"))
-    frequent = materialise(frequent_lines(lines, hosts, max_docs, max_percent), "frequent-lines")
+    lines = base.select("row", "doc_id", "source", F.explode("lines").alias("line"))
+    lines = lines.select("row", "doc_id", "source", "line.h", "line.n")
+    frequent = materialise(frequent_lines(lines, max_docs), "frequent-lines")
     frequent = frequent.select(F.col("source").alias("_host"), F.col("h").alias("_h"))
     hit = lines.join(frequent, (F.col("h") == F.col("_h")) & F.col("source").eqNullSafe(F.col("_host")))
     removed = hit.groupBy("row").agg(F.sum("n").alias("removed"))

@@ -183,19 +183,16 @@ WITH docs AS MATERIALIZED (
 ), dups AS (
     SELECT r, count(*) - count(DISTINCT line) AS n FROM spoken GROUP BY r
 ), lines AS (
-    SELECT r, source, line, sum(n) AS n FROM (
-        SELECT r, source, array_to_string(ws, ' ') AS line, len(ws) AS n FROM (
-            SELECT r, source, list_filter(regexp_split_to_array(
+    SELECT r, doc_id, source, line, sum(n) AS n FROM (
+        SELECT r, doc_id, source, array_to_string(ws, ' ') AS line, len(ws) AS n FROM (
+            SELECT r, doc_id, source, list_filter(regexp_split_to_array(
                 translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
             FROM spoken JOIN docs USING (r))
     ) GROUP BY ALL
-), hosts AS (
-    SELECT source, count(*) AS n FROM docs GROUP BY source
 ), frequent AS (
-    SELECT source, line FROM (SELECT source, line, count(*) AS n FROM lines GROUP BY ALL) AS c
-    WHERE n > {line_quality.MAX_DOCS} AND n * 100 > {line_quality.MAX_PERCENT} * (
-        SELECT h.n FROM hosts AS h WHERE h.source IS NOT DISTINCT FROM c.source)
+    SELECT source, line FROM lines GROUP BY ALL
+    HAVING count(DISTINCT coalesce(doc_id::VARCHAR, 'row ' || r)) > {line_quality.MAX_DOCS}
 ), removed AS (
     SELECT r, sum(n) AS n FROM lines AS l WHERE EXISTS (
         SELECT 1 FROM frequent AS f WHERE f.line = l.line AND f.source IS NOT DISTINCT FROM l.source) GROUP BY r
