@@ -4,15 +4,24 @@ A document holds an item if its best local alignment (Smith-Waterman over words,
 document against the whole item) reaches a share of the item's score against itself, or is
 worth LONG_WORDS equal words.
 
-1. Seeds: all pairs of words of an item that stand next to each other or with one word
-   between. A document's pairs are the same; whether one word lies between does not count.
-2. The corpus is read with a bitmap of the seeds, made by aggregation and of fixed size; only
-   seeds leave the scan, and are then matched exactly.
-3. An item and a document go on if the document has enough of the item's pairs, each counted as
-   often as it stands in the item. The number loses no alignment: two matches in a row cost
-   nothing between them, one if they make a pair, else two at least, so with p pairs a score
-   is at most MATCH * (p + 1). How frequent a pair is in the corpus doesn't matter.
-4. The corpus is read again for the texts that go on. Equal texts are aligned once.
+An accepted alignment is worth many words and spans few: with p of the item's pairs of words
+(next to each other or with one word between, however the text spaces them) its score is at
+most MATCH * (p + 1), since two matches in a row cost nothing between them, one if they make a
+pair, else two at least; and since every word beyond the matches costs a point, it spans at
+most three times the item's words less twice the words it must be worth.
+
+1. The corpus is read with a bitmap of all items' pairs, made by aggregation and of fixed
+   size, and the occurrences of each pair are counted.
+2. Seeds: an item's rarest pairs, taken until the pairs left, each counted as often as it
+   stands in the item, can't make up an accepted alignment. Absent pairs are the rarest.
+3. The corpus is read for seeds. Texts are cut into passages of twice the longest accepted
+   span of an item's size class, each half over the next, so that every alignment lies
+   wholly in one. Passage and item go on where they share a seed.
+4. Only these passages are read as words. Those with enough of the item's pairs are aligned.
+   Equal texts are read once.
+
+No step loses an alignment, and a long text meets only the items of which a passage holds rare
+pairs.
 
 Defined results: null or empty texts hold nothing; items of fewer than LEAST_WORDS words match
 nothing, nor do items without an id; of items with equal ids the best counts; repeated rows
@@ -26,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultweave.llm.common import chunks, hash_tokens, mix, text_of, words_folded
-from faultweave.sources.workspace import materialise
+from faultweave.sources.workspace import materialise, release
 
 LEAST_WORDS = 3
 # Bits of the bitmap: 2^27, 16 MB whatever the benchmark's size.
@@ -41,18 +50,22 @@ THRESHOLD = 0.5
 LONG_WORDS = 50
 
 
-def pairs_of(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of every pair of words with at most one word between them."""
+def pairs_of(split: list[list[bytes]], places: bool = False) -> tuple[np.ndarray, ...]:
+    """Text and hash of every pair of words with at most one word between them, and on demand
+    the place of its first word in the text."""
     flat, counts = hash_tokens(split)
     text = np.repeat(np.arange(len(split)), counts)
-    of, pairs = [], []
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+    of, pairs, at = [], [], []
     with np.errstate(over="ignore"):
         first = flat * np.uint64(0x9E3779B97F4A7C15)
         for apart in (1, 2):
             inside = text[:-apart] == text[apart:]
             of.append(text[:-apart][inside])
             pairs.append(mix((first[:-apart] + flat[apart:])[inside]))
-    return np.concatenate(of), np.concatenate(pairs)
+            at.append(place[:-apart][inside])
+    found = np.concatenate(of), np.concatenate(pairs)
+    return (*found, np.concatenate(at)) if places else found
 
 
 def item_pairs(entries: DataFrame) -> DataFrame:
@@ -89,50 +102,132 @@ def _known(bits: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def span_class(n_words: Column, threshold: float) -> Column:
+    """c for items whose accepted alignments span at most 2 ** c words of a text."""
+    span = 3 * n_words - F.floor(2 * wanted_words(n_words, threshold))
+    return F.ceil(F.log2(F.greatest(span, F.lit(8)))).cast("int")
+
+
+def wanted_words(n_words: Column, threshold: float) -> Column:
+    return F.least(n_words * threshold, F.lit(LONG_WORDS))
+
+
+def pair_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """gram and often: occurrences in the corpus of every pair that the bitmap lets through."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for _, texts in chunks(batches):
+            _, pairs = pairs_of([words_folded(t) for t in texts])
+            grams, often = np.unique(pairs[_known(bits, pairs)], return_counts=True)
+            yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(often)], names=["gram", "n"])
+
+    partial = docs.select("text").mapInArrow(read, "gram long, n long")
+    return partial.groupBy("gram").agg(F.sum("n").alias("often"))
+
+
+def rare_seeds(pairs: DataFrame, often: DataFrame, threshold: float) -> DataFrame:
+    """entry, gram and class: of each item the rarest pairs without which no alignment is accepted."""
+    counted = pairs.join(often, "gram", "left")
+    rarest = Window.partitionBy("entry").orderBy(F.coalesce("often", F.lit(0)), "gram")
+    left = F.sum("times").over(Window.partitionBy("entry")) - F.coalesce(
+        F.sum("times").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    kept = counted.withColumn("left", left).filter(
+        F.col("left") + 1 >= wanted_words(F.col("n_words"), threshold)
+    )
+    # A pair that the corpus lacks is a seed that nothing meets.
+    kept = kept.filter(F.col("often").isNotNull())
+    return kept.select("entry", "gram", span_class(F.col("n_words"), threshold).alias("class"))
+
+
 def _key() -> Column:
     return F.md5(text_of().cast("binary"))
 
 
-def seed_hits(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """row, doc_id, key, grams: the distinct pairs of each document that the bitmap lets through.
+def seed_hits(docs: DataFrame, bits: np.ndarray, classes: list[int]) -> DataFrame:
+    """row, doc_id, key, hits: for each document its distinct (class, passage, gram) of the pairs
+    that the bitmap lets through.
 
-    key: the digest of the text. Documents without such pairs give no row.
+    key: the digest of the text. Passage p of class c holds the words from p * 2 ** c up to
+    (p + 2) * 2 ** c. Documents without such pairs give no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    kind = pa.struct([("class", pa.int32()), ("passage", pa.int32()), ("gram", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch, texts in chunks(batches):
-            of, pairs = pairs_of([words_folded(t) for t in texts])
+            of, pairs, place = pairs_of([words_folded(t) for t in texts], places=True)
             hit = _known(bits, pairs)
-            of, pairs = of[hit], pairs[hit]
-            order = np.lexsort((pairs, of))
-            of, pairs = of[order], pairs[order]
+            of, pairs, place = of[hit], pairs[hit], place[hit]
+            parts = []
+            for c in classes:
+                for back in (0, 1):
+                    passage = (place >> c) - back
+                    inside = passage >= 0
+                    parts.append((of[inside], np.full(inside.sum(), c), passage[inside], pairs[inside]))
+            of, c, passage, pairs = map(np.concatenate, zip(*parts))
+            order = np.lexsort((pairs, passage, c, of))
+            of, c, passage, pairs = of[order], c[order], passage[order], pairs[order]
             new = np.ones(len(of), bool)
-            new[1:] = (of[1:] != of[:-1]) | (pairs[1:] != pairs[:-1])
-            of, pairs = of[new], pairs[new]
+            for column in (of, c, passage, pairs):
+                new[1:] &= column[1:] == column[:-1]
+            new[1:] = ~new[1:]
+            of, c, passage, pairs = of[new], c[new], passage[new], pairs[new]
             texts_hit, starts = np.unique(of, return_index=True)
             taken = batch.select(["row", "doc_id", "key"]).take(pa.array(texts_hit))
             offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
-            grams = pa.ListArray.from_arrays(offsets, pa.array(pairs.view(np.int64)))
-            yield pa.record_batch([*taken.columns, grams], names=["row", "doc_id", "key", "grams"])
+            columns = [pa.array(c, pa.int32()), pa.array(passage, pa.int32()), pa.array(pairs.view(np.int64))]
+            hits = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=list(kind)))
+            yield pa.record_batch([*taken.columns, hits], names=["row", "doc_id", "key", "hits"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _key().alias("key"), "text")
-    return rows.mapInArrow(read, "row long, doc_id long, key string, grams array<long>")
+    return rows.mapInArrow(
+        read, "row long, doc_id long, key string, hits array<struct<class:int,passage:int,gram:long>>"
+    )
+
 
+def _passage_hash(key: np.ndarray, c: np.ndarray | int, passage: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(key.view(np.uint64) + mix(np.asarray(passage).astype(np.uint64) * np.uint64(64) + np.asarray(c).astype(np.uint64)))
 
-def texts_of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, text: one text for each of the keys, and a few of others."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.xxhash64("key").alias("gram"))))
+
+def passage_words(docs: DataFrame, wanted_passages: DataFrame, classes: list[int]) -> DataFrame:
+    """key, class, passage, words: the words of the passages asked for, and a few of others."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, c, passage = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            yield pa.record_batch([pa.array(_passage_hash(key, c, passage).view(np.int64))], names=["gram"])
+
+    asked = wanted_passages.select(F.xxhash64("key").alias("k"), "class", "passage").distinct()
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(asked.mapInArrow(hashes, "gram long")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in batches:
-            known = _known(bits, batch.column("gram").to_numpy(zero_copy_only=False).view(np.uint64))
-            yield batch.select(["key", "text"]).filter(pa.array(known))
+        for batch, texts in chunks(batches):
+            keys, numbers = batch.column("key").to_pylist(), batch.column("k").to_numpy(zero_copy_only=False)
+            rows = []
+            for i, text in enumerate(texts):
+                words = None
+                for c in classes:
+                    # A word takes two bytes at least, the white space after it among them.
+                    passages = np.arange((len(text) // 2 >> c) + 1)
+                    for p in passages[_known(bits, _passage_hash(numbers[i : i + 1], c, passages))].tolist():
+                        words = words_folded(text) if words is None else words
+                        if words[p << c :]:
+                            rows.append((keys[i], c, p, b" ".join(words[p << c : (p + 2) << c])))
+            columns = zip(*rows) if rows else [[]] * 4
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.record_batch(
+                [pa.array(x, k) for x, k in zip(columns, kinds)], names=["key", "class", "passage", "words"]
+            )
 
-    rows = docs.select(_key().alias("key"), text_of().alias("text")).withColumn("gram", F.xxhash64("key"))
-    return rows.mapInArrow(read, "key string, text string").groupBy("key").agg(F.first("text").alias("text"))
+    rows = docs.select(_key().alias("key"), F.xxhash64(_key()).alias("k"), "text")
+    found = rows.mapInArrow(read, "key string, class int, passage int, words binary")
+    return found.groupBy("key", "class", "passage").agg(F.first("words").alias("words"))
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -153,34 +248,39 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
-    """key, entry, score, end of the pairs of text and item that reach the threshold."""
+def score_passages(met: DataFrame, threshold: float) -> DataFrame:
+    """key, entry, score, end of the passages and items that reach the threshold."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, words, grams = None, [], np.empty(0, np.uint64)
         for batch in batches:
             kept, scores, ends = [], [], []
-            for i, (text, item) in enumerate(zip(batch.column("text").to_pylist(), batch.column("item").to_pylist())):
-                a, b = words_folded(text.encode()), words_folded(item.encode())
+            columns = (batch.column(c).to_pylist() for c in ("class", "passage", "words", "item"))
+            for i, (c, passage, text, item) in enumerate(zip(*columns)):
+                if text != known:
+                    known, words = text, text.split()
+                    grams = np.unique(pairs_of([words])[1])
+                b = words_folded(item.encode())
                 need = wanted(len(b), threshold)
-                there = set(a)
-                if sum(w in there for w in b) < need:
-                    continue  # every match takes a word of the item
+                # Every pair of the item as often as it stands there.
+                if np.isin(pairs_of([b])[1], grams).sum() + 1 < need:
+                    continue
                 number: dict[bytes, int] = {}
                 for w in b:
                     number.setdefault(w, len(number))
-                ids = np.array([number.get(w, -1) for w in a])
+                ids = np.array([number.get(w, -1) for w in words])
                 best, end = align(ids, np.array([number[w] for w in b]))
                 if best >= MATCH * need:
                     kept.append(i)
                     scores.append(best / (MATCH * len(b)))
-                    ends.append(end)
+                    ends.append((passage << c) + end)
             rows = batch.select(["key", "entry"]).take(pa.array(kept, pa.int64()))
             yield pa.record_batch(
                 [*rows.columns, pa.array(scores, pa.float64()), pa.array(ends, pa.int64())],
                 names=["key", "entry", "score", "end_word"],
             )
 
-    return pairs.select("key", "entry", "text", "item").mapInArrow(
+    return met.select("key", "entry", "class", "passage", "words", "item").mapInArrow(
         read, "key string, entry long, score double, end_word long"
     )
 
@@ -190,33 +290,44 @@ def wanted(n_words: int, threshold: float) -> float:
     return min(n_words * threshold, LONG_WORDS)
 
 
-def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, score and end_word: every document with every item it holds.
-
-    score: the best alignment as a share of the item's own; end_word: where it first ends.
-    """
+def _found(docs: DataFrame, items: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The documents with seeds (row, doc_id, key), and (key, item_id, best) of all texts that hold an item."""
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", F.col("text").alias("item"))
     entries = materialise(
         items.select("item").distinct().withColumn("entry", F.monotonically_increasing_id()), "items"
     )
-    seeds = materialise(item_pairs(entries), "seeds")
-    found = materialise(seed_hits(docs, bitmap(seeds)), "hits")
-    hits = found.select("row", F.explode("grams").alias("gram")).join(seeds, "gram")
-    counts = hits.groupBy("row", "entry", "n_words").agg(F.sum("times").alias("n"))
-    enough = counts.filter(F.col("n") + 1 >= F.least(F.col("n_words") * threshold, F.lit(LONG_WORDS))).select("row", "entry")
-    pairs = materialise(enough.join(found.select("row", "key"), "row").select("key", "entry").distinct(), "pairs")
-    texts = texts_of_keys(docs, pairs.select("key").distinct())
-    scored = score_pairs(pairs.join(texts, "key").join(entries, "entry"), threshold)
+    pairs = materialise(item_pairs(entries), "pairs")
+    seeds = materialise(rare_seeds(pairs, pair_counts(docs, bitmap(pairs)), threshold), "seeds")
+    # At most one class per power of two of an item's words.
+    classes = sorted(r["class"] for r in seeds.select("class").distinct().collect())
+    found = materialise(seed_hits(docs, bitmap(seeds), classes or [0]), "hits")
+    hits = found.select("key", F.explode("hits").alias("hit")).select("key", "hit.class", "hit.passage", "hit.gram")
+    met = materialise(
+        hits.join(seeds, ["class", "gram"]).select("key", "class", "passage", "entry").distinct(), "met"
+    )
+    words = passage_words(docs, met, classes or [0])
+    scored = score_passages(met.join(words, ["key", "class", "passage"]).join(entries, "entry"), threshold)
     named = scored.join(entries, "entry").join(items, "item")
     # Of equal scores the one that ends first.
     best = named.groupBy("key", "item_id").agg(F.max(F.struct("score", (-F.col("end_word")).alias("back"))).alias("best"))
+    best = materialise(best, "best")
+    release(pairs, seeds, met)
+    return found, best
+
+
+def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, score and end_word: every document with every item it holds.
+
+    score: the best alignment as a share of the item's own; end_word: where it first ends.
+    """
+    found, best = _found(docs, items, threshold)
     return found.select("doc_id", "key").join(best, "key").select(
         "doc_id", "item_id", "best.score", (-F.col("best.back")).alias("end_word")
     )
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns."""
-    hit = materialise(contamination(docs, items, threshold).select("doc_id").distinct(), "hit")
-    rows = docs.select(F.struct("*").alias("doc"))
-    return rows.join(hit, F.col("doc.doc_id").eqNullSafe(F.col("doc_id")), "left_anti").select("doc.*")
+    """The documents whose texts hold no benchmark item, with all their columns."""
+    hit = _found(docs, items, threshold)[1].select("key").distinct()
+    rows = docs.select(F.struct("*").alias("doc"), _key().alias("key"))
+    return rows.join(hit, "key", "left_anti").select("doc.*")
