@@ -278,7 +278,7 @@ def open_members(classes: DataFrame, roots: DataFrame, leaders: DataFrame) -> Da
 
 
 def open_sets(rows: DataFrame, k: int) -> DataFrame:
-    """rep, root, size and the shingle hashes of each text. `rows`: rep, root, text."""
+    """rep, root, size, set (a name) and the shingle hashes of each text. `rows`: rep, root, text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
@@ -288,18 +288,21 @@ def open_sets(rows: DataFrame, k: int) -> DataFrame:
                     batch.column("rep"),
                     batch.column("root"),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([int(mix(s.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
                     pa.array(sets, pa.list_(pa.int64())),
                 ],
-                names=["rep", "root", "size", "shingles"],
+                names=["rep", "root", "size", "set", "shingles"],
             )
 
-    return rows.select("rep", "root", "text").mapInArrow(read, "rep long, root long, size long, shingles array<long>")
+    return rows.select("rep", "root", "text").mapInArrow(
+        read, "rep long, root long, size long, set long, shingles array<long>"
+    )
 
 
 def meeting(sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of different components whose rarest shingles allow a link (step 7)."""
     of_set = ["rep", "root", "size", "set"]
-    shingles = sets.select("rep", "root", "size", F.xxhash64("shingles").alias("set"), F.explode("shingles").alias("h"))
+    shingles = sets.select("rep", "root", "size", "set", F.explode("shingles").alias("h"))
     crossing = shingles.groupBy("h").agg(
         F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high")
     ).filter("low < high").select("h", "often")
