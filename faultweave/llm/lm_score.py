@@ -1,25 +1,28 @@
 """Log10 probabilities of texts under a hashed maximum-entropy model.
 
-Outcomes. The HEAD most frequent training tokens, the end of a text among them, are words of
-the model. All others fall into TAIL classes by the hash of their last two characters. The
-softmax is factored: first one of the classes (groups of GROUP head words in order of
-frequency, or a tail class), then the word in its group. A word of a tail class has its
-smoothed share of the class, (c + 0.5) over the class's sum, which includes 0.5 for one
+Outcomes. The most frequent training tokens, fewer than KNOWN, the end of a text among them,
+and one leaf for all rarer words are the leaves of a tree, in order of their endings, so that
+classes hold words of one kind. Its depth and width follow their number: the fewest levels whose width is at most WIDTH. The softmax is
+factored along the tree: the first class, the class below it, the word. A rarer word has its
+smoothed share of its leaf, (c + 0.5) over the leaf's sum, which includes 0.5 for one
 unknown word; so all probabilities add up to one.
 
-Features of a position: the previous word, the word before it (a skip), and both together,
-hashed to ROWS rows of weights each for the first factor and, together with the class, for
-the second. Rare context words stand for their tail class.
+Features of a position at each level: the previous word, the word before it (a skip), each in
+place of itself its class if it is met seldom, and both words' top classes together; each with
+the class reached so far, hashed to a number of rows that follows the
+training tokens, up to MODEL_BYTES. A row counts which child came next. The weight of a
+feature for a child is the log of the child's smoothed share of the row over its share without
+context, times a factor; factors belong to the level, the template and the binary
+magnitude of the row's count.
 
-Training. Weights start as the unigram model. In each of ROUNDS rounds the training
-documents of that round are read in their partitions; every partition takes AdaGrad steps
-from the shared weights, and the steps of all partitions, weighted by tokens, are averaged
-by block of weights in two aggregations. What is gathered grows with the partitions, what
-is shared has a fixed size. The rounds part the training documents by hash, so each is
-learnt from once.
+Training. The rows are counted by aggregation over all training text; only rows that are
+touched are sent. The factors are learnt in ROUNDS rounds, which part the training documents by
+hash: each task adds up the gradient and the curvature of the log-likelihood over its
+documents, in which a token's own count is left out of its row; their sum over all tasks
+makes one Newton step. Counts and sums don't depend on how the input is cut.
 
-Counts are exact and cover all training documents. The most frequent words, fewer than KNOWN,
-go to every executor (a bounded table); the rarer words of a document are joined with their counts.
+Word counts are exact and cover all training documents. The known words and the rows go to
+every executor (of bounded size); the rarer words of a document are joined with their counts.
 
 Defined results: a null or empty text is the end alone; texts are read whole; without
 training documents all counts are 0 and the base gives every token probability 1, as the
@@ -29,46 +32,43 @@ each; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import REMEMBERED, chunks, fold_of
-from faultweave.sources.workspace import materialise
+from faultweave.llm.common import chunks, fold_of
+from faultweave.sources.workspace import materialise, release
 
 FOLDS, HELD_OUT = 5, 1
-HEAD, GROUP, TAIL = 1024, 64, 48
-GROUPS = HEAD // GROUP
-CLASSES = GROUPS + TAIL
 KNOWN = 1 << 18
-ROWS = 1 << 12
+# Children of a class at most.
+WIDTH = 64
+# Bytes of all rows at most, and training tokens per row of a template.
+MODEL_BYTES, ROW_TOKENS = 1 << 26, 4
+TEMPLATES = 3
 ROUNDS = 2
 BATCH = 4096
-RATE = 0.3
-# What a row's squared slopes start from: rows with few tokens move little.
-CAUTION = 1.0
+# Counts that the share without context is worth in a row.
+PRIOR = 8.0
+# Occurrences from which a word is a context of its own.
+OFTEN = 16
+# Binary magnitudes of a row's count, factors to begin with, and the curvature that holds them there.
+MAGNITUDES, START, HOLD = 20, 0.5, 10.0
 # Partial word counts are passed on when a task holds so many words.
 FLUSH = 300_000
-# Rows of weights per block that is averaged.
-BLOCK_ROWS = 256
+# Tasks per core in which rows are counted: each sends the rows that it touched.
+TASKS = 4
 # The end of a text; no word can hold a line feed.
 END = b"\n"
-TEMPLATES = 3
-
-
-def tail_class(word: bytes) -> int:
-    return zlib.crc32(word.rstrip(b".,;:!?")[-2:]) % TAIL
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, tail and c of all words of the documents; ends are not among them."""
+    """word and c of all words of the documents; ends are not among them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -78,10 +78,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.record_batch(
                 [
                     pa.array(words, pa.binary()),
-                    pa.array(list(map(tail_class, words)), pa.int32()),
                     pa.array(list(counts.values()), pa.int64()),
                 ],
-                names=["word", "tail", "n"],
+                names=["word", "n"],
             )
 
         for _, texts in chunks(batches):
@@ -92,105 +91,117 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 counts.clear()
         yield rows()
 
-    partial = docs.select("text").mapInArrow(count, "word binary, tail int, n long")
-    return partial.groupBy("word", "tail").agg(F.sum("n").alias("c"))
+    partial = docs.select("text").mapInArrow(count, "word binary, n long")
+    return partial.groupBy("word").agg(F.sum("n").alias("c"))
+
+
+class Codes(dict):
+    """Leaf of each known word; every other word is the last leaf."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words))))
+        self.rare = len(words)
+
+    def __missing__(self, word: bytes) -> int:
+        return self.rare
 
 
 @dataclass
 class Vocabulary:
-    """Known words with their counts, most frequent first; the end is at `end`."""
+    """Known words with their counts, in order of endings, and what the rarer ones add up to."""
 
     words: list[bytes]
     counts: np.ndarray
-    tails: np.ndarray
     tokens: int
     distinct: int
-    tail_sums: np.ndarray
-    end: int
+    rare_sum: float
 
     def __post_init__(self) -> None:
-        # Codes of words met so far: the place of a known word, or -1 - tail class.
-        self.codes: dict[bytes, int] = {}
+        self.codes: Codes | None = None
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "codes"}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.codes = {}
+        return self.__dict__ | {"codes": None}
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        if not self.codes or len(self.codes) > KNOWN + REMEMBERED:
-            self.codes = dict(zip(self.words, range(len(self.words))))
-        codes = self.codes
-        for word in words:
-            if word not in codes:
-                codes[word] = -1 - tail_class(word)
-        return np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+        if self.codes is None:
+            self.codes = Codes(self.words)
+        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+
+    @property
+    def leaves(self) -> int:
+        return len(self.words) + 1
+
+    @property
+    def levels(self) -> int:
+        levels = 1
+        while WIDTH**levels < self.leaves:
+            levels += 1
+        return levels
 
     @property
-    def head(self) -> int:
-        return min(HEAD, len(self.words))
+    def width(self) -> int:
+        width = 1
+        while width**self.levels < self.leaves:
+            width += 1
+        return width
 
-    def context(self, codes: np.ndarray) -> np.ndarray:
-        """Head words as themselves, all others as HEAD plus their tail class."""
-        known = np.maximum(codes, 0)
-        tails = np.where(codes < 0, -1 - codes, self.tails[known] if len(self.tails) else 0)
-        return np.where((codes >= 0) & (codes < self.head), codes, HEAD + tails)
+
+def ending(word: bytes) -> tuple[bytes, bytes]:
+    """Brings words of one ending together, whatever stands behind their letters."""
+    letters = word.rstrip(b".,;:!?")
+    return letters[::-1], word
 
 
 def vocabulary(counts: DataFrame, n_docs: int) -> Vocabulary:
     """The bounded part of the counts, and the sums over all of them."""
-    # The lowest count of which all words, with those of higher counts, are at most KNOWN.
-    at_least, found = 1, 0
-    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.col("c").desc()).collect():
-        if found + r["n"] >= KNOWN:
-            at_least = r["c"] + 1
-            break
-        found += r["n"]
-    top = sorted(counts.filter(F.col("c") >= at_least).collect(), key=lambda r: (-r["c"], r["word"]))
-    words, c, tails = [bytes(r["word"]) for r in top], [r["c"] for r in top], [r["tail"] for r in top]
-    end = int(np.searchsorted(-np.array(c, float), -n_docs)) if n_docs else len(words)
-    words.insert(end, END)
-    c.insert(end, n_docs)
-    tails.insert(end, 0)
+    top = counts.orderBy(F.col("c").desc(), "word").limit(KNOWN - 2).toArrow()
+    words, c = top.column("word").to_pylist(), top.column("c").to_pylist()
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    sums = np.full(TAIL, 0.5)
-    for r in counts.groupBy("tail").agg((F.sum("c") + 0.5 * F.count("*")).alias("s")).collect():
-        sums[r["tail"]] += float(r["s"])
-    vocab = Vocabulary(
-        words, np.array(c, np.int64), np.array(tails, np.int64),
-        int(totals[0]) + n_docs, int(totals[1]) + (n_docs > 0), sums, end,
-    )
-    # Words of the model leave their tail class.
-    for i in range(vocab.head):
-        if i != end:
-            sums[tails[i]] -= c[i] + 0.5
-    np.maximum(sums, 0.5, out=sums)
-    return vocab
+    rare_sum = int(totals[0]) - sum(c) + 0.5 * (int(totals[1]) - len(c)) + 0.5
+    ordered = sorted(zip([*words, END], [*c, n_docs]), key=lambda word: ending(word[0]))
+    words, c = [list(column) for column in zip(*ordered)]
+    return Vocabulary(words, np.array(c, np.int64), int(totals[0]) + n_docs, int(totals[1]) + (n_docs > 0), rare_sum)
 
 
 @dataclass
 class Model:
-    """Weights of both factors and their unigram starts."""
-
-    first: np.ndarray  # TEMPLATES * ROWS, CLASSES
-    second: np.ndarray  # TEMPLATES * ROWS, GROUP
-    first_start: np.ndarray
-    second_start: np.ndarray  # GROUPS, GROUP
-
-    @staticmethod
-    def unigram(vocab: Vocabulary) -> Model:
-        mass = np.zeros(HEAD)
-        mass[: vocab.head] = vocab.counts[: vocab.head] + 0.5
-        groups = mass.reshape(GROUPS, GROUP)
-        first = np.concatenate([groups.sum(1), vocab.tail_sums])
-        tiny = 1e-30
-        return Model(
-            np.zeros((TEMPLATES * ROWS, CLASSES), np.float32), np.zeros((TEMPLATES * ROWS, GROUP), np.float32),
-            np.log(first / first.sum() + tiny).astype(np.float32),
-            np.log(groups / np.maximum(groups.sum(1, keepdims=True), tiny) + tiny).astype(np.float32),
-        )
+    """Counts of the rows by level, their sums, the shares without context, and the factors."""
+
+    rows: int
+    counts: np.ndarray  # levels, TEMPLATES * rows, width
+    sums: np.ndarray  # levels, TEMPLATES * rows
+    shares: list[np.ndarray]  # per level: classes, width
+    factors: np.ndarray  # levels, TEMPLATES, MAGNITUDES
+
+    @property
+    def width(self) -> int:
+        return self.counts.shape[2]
+
+    @property
+    def levels(self) -> int:
+        return self.counts.shape[0]
+
+
+def rows_for(vocab: Vocabulary) -> int:
+    """Rows per template and level, a power of two."""
+    most = MODEL_BYTES // (4 * TEMPLATES * vocab.levels * vocab.width)
+    wanted = min(max(vocab.tokens // ROW_TOKENS, 1 << 10), most)
+    return 1 << (wanted.bit_length() - 1)
+
+
+def without_context(vocab: Vocabulary) -> list[np.ndarray]:
+    """Shares of the children of every class, by level."""
+    width, levels = vocab.width, vocab.levels
+    mass = np.zeros(width**levels)
+    mass[: vocab.leaves - 1] = vocab.counts + 0.5
+    mass[vocab.leaves - 1] = vocab.rare_sum
+    # A child without words is as good as impossible.
+    mass = np.maximum(mass, 1e-20)
+    shares = []
+    for level in range(levels):
+        sums = mass.reshape(width ** (level + 1), -1).sum(1).reshape(-1, width)
+        shares.append(np.maximum(sums / sums.sum(1, keepdims=True), 1e-25).astype(np.float32))
+    return shares
 
 
 def _hash(*parts: np.ndarray | int) -> np.ndarray:
@@ -202,87 +213,32 @@ def _hash(*parts: np.ndarray | int) -> np.ndarray:
     return value
 
 
-def positions(vocab: Vocabulary, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Class, place in the group, and hashed contexts of every token; texts end to end."""
-    context = vocab.context(codes)
+def contexts_of(vocab: Vocabulary, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the three contexts of every token; texts end to end."""
     starts = np.cumsum(lengths) - lengths
     inside = np.arange(len(codes)) - np.repeat(starts, lengths)
-    begin = HEAD + TAIL
-    one = np.where(inside > 0, np.concatenate([[begin], context[:-1]]), begin)
-    two = np.where(inside > 1, np.concatenate([[begin, begin], context[:-2]])[: len(codes)], begin)
-    in_head = context < HEAD
-    group = np.where(in_head, context // GROUP, GROUPS + context - HEAD)
-    contexts = np.stack([_hash(1, one), _hash(2, two), _hash(3, one, two)])
-    return group, np.where(in_head, context % GROUP, -1), contexts
-
-
-def _rows(contexts: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
-    hashed = contexts if group is None else _hash(contexts, group[None, :] + 1)
-    offsets = np.arange(TEMPLATES)[:, None] * ROWS
-    return (hashed >> np.uint64(40)).astype(np.int64) % ROWS + offsets
-
-
-def _logits(start: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    total = np.take(weights, rows[0], axis=0)
-    for template in range(1, TEMPLATES):
-        total += np.take(weights, rows[template], axis=0)
-    total += start
-    return total
-
-
-def _chosen(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log of the softmax at the targets. Overwrites the logits."""
-    top = logits.max(1)
-    picked = logits[np.arange(len(target)), target] - top
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    return picked - np.log(logits.sum(1))
-
-
-def log_probabilities(model: Model, group: np.ndarray, place: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """Natural log of P(class) * P(word | class); the share inside a tail class is left out."""
-    out = np.empty(len(group))
-    for a in range(0, len(group), BATCH):
-        g, p, c = group[a : a + BATCH], place[a : a + BATCH], contexts[:, a : a + BATCH]
-        part = _chosen(_logits(model.first_start, model.first, _rows(c)), g).astype(float)
-        h = np.flatnonzero(p >= 0)
-        if len(h):
-            part[h] += _chosen(_logits(model.second_start[g[h]], model.second, _rows(c[:, h], g[h])), p[h])
-        out[a : a + BATCH] = part
-    return out
+    # A word met often speaks for itself, another one for its neighbours in the tree.
+    often = np.append(vocab.counts >= OFTEN, False)[codes]
+    group = codes // vocab.width
+    word = np.where(often, codes, vocab.leaves + group)
+    top = codes // vocab.width ** (vocab.levels - 1)
+    begin = 2 * vocab.leaves
 
+    def before(values: np.ndarray, back: int) -> np.ndarray:
+        return np.where(inside >= back, np.concatenate([np.full(back, begin), values])[: len(codes)], begin)
 
-def _step(weights: np.ndarray, squares: np.ndarray, start: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-    """One AdaGrad step of a softmax factor; every row of weights has one step size."""
-    slope = _logits(start, weights, rows)
-    slope -= slope.max(1, keepdims=True)
-    np.exp(slope, out=slope)
-    slope /= slope.sum(1, keepdims=True)
-    slope[np.arange(len(target)), target] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat.astype(np.uint16), kind="stable")
-    ordered = flat[order]
-    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(np.take(slope, order % len(target), axis=0), firsts, axis=0)
-    touched = ordered[firsts]
-    squares[touched] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
-    weights[touched] -= sums * (RATE / np.sqrt(squares[touched] + CAUTION))[:, None]
-
-
-def learn(model: Model, batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[Model, int]:
-    """Local steps from the shared weights; the moved weights and the tokens seen."""
-    first, second = model.first.copy(), model.second.copy()
-    first_squares, second_squares = np.zeros(len(first), np.float32), np.zeros(len(second), np.float32)
-    tokens = 0
-    for group, place, contexts in batches:
-        tokens += len(group)
-        for a in range(0, len(group), BATCH):
-            g, p, c = group[a : a + BATCH], place[a : a + BATCH], contexts[:, a : a + BATCH]
-            _step(first, first_squares, model.first_start, _rows(c), g)
-            h = np.flatnonzero(p >= 0)
-            if len(h):
-                _step(second, second_squares, model.second_start[g[h]], _rows(c[:, h], g[h]), p[h])
-    return Model(first, second, model.first_start, model.second_start), tokens
+    return np.stack([_hash(1, before(word, 1)), _hash(2, before(word, 2)), _hash(3, before(top, 1), before(top, 2))])
+
+
+def _at(codes: np.ndarray, width: int, levels: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class that each leaf lies under at a level, and the child that leads to it."""
+    child = codes // width ** (levels - 1 - level)
+    return child // width, child % width
+
+
+def _rows(contexts: np.ndarray, classes: np.ndarray, rows: int) -> np.ndarray:
+    hashed = _hash(contexts, classes[None, :] + 1)
+    return (hashed >> np.uint64(36)).astype(np.int64) % rows + np.arange(TEMPLATES)[:, None] * rows
 
 
 def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -292,76 +248,169 @@ def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return codes, lengths, split
 
 
-def train_round(docs: DataFrame, vocab, shared_model) -> list:
-    """(block, weights) rows: averaged moves of all partitions."""
-    columns = {0: CLASSES, 1: GROUP}
-
-    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words = shared_model.value, vocab.value
+def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
+    """The model with the rows counted over all training documents and the factors' start."""
+    width, levels, rows = vocab.width, vocab.levels, rows_for(vocab)
+    size = levels * TEMPLATES * rows * width
 
-        def stream():
-            for _, texts in chunks(batches):
-                codes, lengths, _ = _tokens(words, texts)
-                yield positions(words, codes, lengths)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, total = shared.value, np.zeros((levels, size // levels), np.int32)
+        for _, texts in chunks(batches):
+            codes, lengths, _ = _tokens(words, texts)
+            contexts = contexts_of(words, codes, lengths)
+            for level in range(levels):
+                classes, child = _at(codes, width, levels, level)
+                cells = _rows(contexts, classes, rows) * width + child[None, :]
+                total[level] += np.bincount(cells.ravel(), minlength=size // levels).astype(np.int32)
+        touched, total = np.flatnonzero(total), total.ravel()
+        for start in range(0, len(touched), 1 << 16):
+            part = touched[start : start + (1 << 16)]
+            n = pa.array(total[part].astype(np.int64))
+            yield pa.record_batch([pa.array(part.astype(np.int32)), n], names=["cell", "n"])
+
+    # Every task holds one table of fixed size; a few tasks a core keep all cores busy.
+    tasks = TASKS * training.sparkSession.sparkContext.defaultParallelism
+    partial = training.select("text").coalesce(tasks).mapInArrow(count, "cell int, n long")
+    found = partial.groupBy("cell").agg(F.sum("n").cast("float").alias("n")).toArrow()
+    counts = np.zeros(size, np.float32)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    counts = counts.reshape(levels, TEMPLATES * rows, width)
+    factors = np.full((levels, TEMPLATES, MAGNITUDES), START)
+    return Model(rows, counts, counts.sum(2, dtype=np.float64).astype(np.float32), without_context(vocab), factors)
+
+
+def _weights(
+    model: Model, level: int, classes: np.ndarray, rows: np.ndarray, own: np.ndarray | None = None
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Logits without context, log ratios per template and their magnitudes.
+
+    With `own`, the children of the tokens themselves, each token's count is left out.
+    """
+    share = np.take(model.shares[level], classes, axis=0)
+    start = np.log(share)
+    smooth = share * np.float32(PRIOR)
+    ratios, magnitudes = [], np.empty(rows.shape, np.int64)
+    at = np.arange(len(classes))
+    for template in range(TEMPLATES):
+        counts = np.take(model.counts[level], rows[template], axis=0)
+        sums = model.sums[level][rows[template]]
+        if own is not None:
+            counts[at, own] -= 1
+            sums = sums - 1
+        counts += smooth
+        np.log(counts, out=counts)
+        counts -= start
+        # The share of a child that the row never saw falls with the row's count.
+        counts -= np.log(sums + np.float32(PRIOR))[:, None]
+        ratios.append(counts)
+        magnitudes[template] = np.minimum(np.log2(np.maximum(sums, 0) + 1).astype(np.int64), MAGNITUDES - 1)
+    return start, ratios, magnitudes
+
+
+def _logits(model: Model, level: int, start: np.ndarray, ratios: list[np.ndarray], magnitudes: np.ndarray) -> np.ndarray:
+    logits = start.copy()
+    for template in range(TEMPLATES):
+        logits += ratios[template] * model.factors[level, template, magnitudes[template]].astype(np.float32)[:, None]
+    return logits
+
+
+def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each leaf; the share inside the last leaf is left out."""
+    out = np.zeros(len(codes))
+    for a in range(0, len(codes), BATCH):
+        part = codes[a : a + BATCH]
+        for level in range(model.levels):
+            classes, child = _at(part, model.width, model.levels, level)
+            rows = _rows(contexts[:, a : a + BATCH], classes, model.rows)
+            logits = _logits(model, level, *_weights(model, level, classes, rows))
+            logits -= logits.max(1, keepdims=True)
+            picked = logits[np.arange(len(part)), child].astype(float)
+            np.exp(logits, out=logits)
+            out[a : a + BATCH] += picked - np.log(logits.sum(1, dtype=np.float64))
+    return out
 
-        moved, tokens = learn(model, stream())
-        if not tokens:
-            return
-        part = TaskContext.get().partitionId() % 64
-        for factor, (new, old) in enumerate(((moved.first, model.first), (moved.second, model.second))):
-            delta = (new - old) * np.float32(tokens)
-            blocks = [delta[i : i + BLOCK_ROWS] for i in range(0, len(delta), BLOCK_ROWS)]
-            yield pa.record_batch(
-                [
-                    pa.array([factor * 1000 + i for i in range(len(blocks))], pa.int32()),
-                    pa.array([part] * len(blocks), pa.int32()),
-                    pa.array([float(tokens)] * len(blocks), pa.float64()),
-                    pa.array([b.astype("<f4").tobytes() for b in blocks], pa.binary()),
-                ],
-                names=["block", "part", "tokens", "delta"],
-            )
 
-    def add(keys: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, tokens = None, 0.0
-        for batch in batches:
-            for raw, n in zip(batch.column("delta").to_pylist(), batch.column("tokens").to_pylist()):
-                values = np.frombuffer(raw, "<f4").astype(np.float64)
-                total = values if total is None else total + values
-                tokens += n
-        part = keys[1].as_py() if len(keys) > 1 else 0
-        yield pa.record_batch(
-            [
-                pa.array([keys[0].as_py()], pa.int32()), pa.array([part], pa.int32()),
-                pa.array([tokens], pa.float64()), pa.array([total.astype("<f4").tobytes()], pa.binary()),
-            ],
-            names=["block", "part", "tokens", "delta"],
-        )
-
-    schema = "block int, part int, tokens double, delta binary"
-    # Sums of at most 64 parts per block, each of a share of the partitions, read as a stream.
-    partial = docs.select("text").mapInArrow(moves, schema).groupBy("block", "part").applyInArrow(add, schema)
-    rows = partial.groupBy("block").applyInArrow(add, schema).collect()
-    out = []
-    for factor, width in columns.items():
-        found = {r["block"] - factor * 1000: r for r in rows if r["block"] // 1000 == factor}
-        blocks = [
-            np.frombuffer(found[i]["delta"], "<f4").reshape(-1, width) / np.float32(found[i]["tokens"])
-            for i in range(len(found))
-        ]
-        out.append(np.concatenate(blocks) if blocks else None)
-    return out
+def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the log-likelihood of the tokens in the factors, summed.
+
+    A token touches one factor per template: its gradient is the distance of the token's own
+    ratio from the expected one, the curvature the covariance of the templates' ratios.
+    """
+    size = TEMPLATES * MAGNITUDES
+    gradient = np.zeros((model.levels, size))
+    curvature = np.zeros((model.levels, size * size))
+    for a in range(0, len(codes), BATCH):
+        part = codes[a : a + BATCH]
+        at = np.arange(len(part))
+        for level in range(model.levels):
+            classes, child = _at(part, model.width, model.levels, level)
+            rows = _rows(contexts[:, a : a + BATCH], classes, model.rows)
+            start, ratios, magnitudes = _weights(model, level, classes, rows, child)
+            p = _logits(model, level, start, ratios, magnitudes)
+            p -= p.max(1, keepdims=True)
+            np.exp(p, out=p)
+            p /= p.sum(1, keepdims=True)
+            factor = magnitudes + np.arange(TEMPLATES)[:, None] * MAGNITUDES
+            expected = [np.einsum("ij,ij->i", p, r) for r in ratios]
+            for t in range(TEMPLATES):
+                own = (ratios[t][at, child] - expected[t]).astype(float)
+                gradient[level] += np.bincount(factor[t], own, size)
+                weighted = p * ratios[t]
+                for u in range(t, TEMPLATES):
+                    both = np.einsum("ij,ij->i", weighted, ratios[u]).astype(float) - expected[t].astype(float) * expected[u]
+                    curvature[level] += np.bincount(factor[t] * size + factor[u], both, size * size)
+                    if u > t:
+                        curvature[level] += np.bincount(factor[u] * size + factor[t], both, size * size)
+    return gradient, curvature
+
+
+def _step(model: Model, gradient: np.ndarray, curvature: np.ndarray) -> Model:
+    """One Newton step, held near the start where few tokens speak."""
+    size = TEMPLATES * MAGNITUDES
+    factors = model.factors.copy()
+    for level in range(model.levels):
+        now = factors[level].ravel()
+        pull = gradient[level] - HOLD * (now - START)
+        bend = curvature[level].reshape(size, size) + HOLD * np.eye(size)
+        factors[level] = np.clip(now + np.linalg.solve(bend, pull), 0.0, 1.5).reshape(TEMPLATES, MAGNITUDES)
+    return Model(model.rows, model.counts, model.sums, model.shares, factors)
+
+
+def learn_round(docs: DataFrame, shared_vocab, shared_model) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature summed over all tokens of the documents: a row per task reaches the
+    aggregation, a number per entry the driver."""
+    size = TEMPLATES * MAGNITUDES
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, model = shared_vocab.value, shared_model.value
+        gradient, curvature = np.zeros((model.levels, size)), np.zeros((model.levels, size * size))
+        for _, texts in chunks(batches):
+            codes, lengths, _ = _tokens(words, texts)
+            g, c = slopes(model, codes, contexts_of(words, codes, lengths))
+            gradient += g
+            curvature += c
+        flat = np.concatenate([gradient, curvature], axis=1).ravel()
+        entries = np.flatnonzero(flat)
+        yield pa.record_batch([pa.array(entries.astype(np.int32)), pa.array(flat[entries])], names=["entry", "value"])
+
+    partial = docs.select("text").mapInArrow(add, "entry int, value double")
+    found = partial.groupBy("entry").agg(F.sum("value").alias("value")).toArrow()
+    levels = shared_model.value.levels
+    flat = np.zeros(levels * (size + size * size))
+    flat[found.column("entry").to_numpy()] = found.column("value").to_numpy()
+    flat = flat.reshape(levels, -1)
+    return flat[:, :size], flat[:, size:]
 
 
 def train(training: DataFrame, vocab: Vocabulary) -> Model:
-    spark = training.sparkSession
-    model = Model.unigram(vocab)
-    shared_vocab = spark.sparkContext.broadcast(vocab)
+    context = training.sparkSession.sparkContext
+    shared_vocab = context.broadcast(vocab)
+    model = count_rows(training, vocab, shared_vocab)
     for number in range(ROUNDS):
         turn = F.pmod(F.xxhash64(F.lit(99), "doc_id", "text"), F.lit(ROUNDS)) == number
-        shared = spark.sparkContext.broadcast(model)
-        first, second = train_round(training.filter(turn), shared_vocab, shared)
-        if first is not None:
-            model = Model(model.first + first, model.second + second, model.first_start, model.second_start)
+        shared = context.broadcast(model)
+        model = _step(model, *learn_round(training.filter(turn), shared_vocab, shared))
+        shared.unpersist()
     return model
 
 
@@ -378,24 +427,21 @@ def score_documents(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFra
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = shared_vocab.value, shared_model.value
-        logs = np.log10(words.counts + 0.5)
-        ln10 = np.log(10)
-        tail_logs = np.log10(words.tail_sums)
+        # Of the last leaf the word's share of it: its count is added when it is known.
+        base_logs = np.append(np.log10(words.counts + 0.5), 0.0)
+        counted = np.append(words.counts > 0, False)
+        last = words.leaves - 1
+        ln10, log_rare = np.log(10), np.log10(words.rare_sum)
         for batch, texts in chunks(batches):
             codes, lengths, split = _tokens(words, texts)
-            group, place, contexts = positions(words, codes, lengths)
             starts = np.cumsum(lengths) - lengths
-            known = codes >= 0
-            base = np.where(known, logs[np.maximum(codes, 0)], 0.0)
-            share = np.where(place < 0, base - tail_logs[np.maximum(group - GROUPS, 0)], 0.0)
-            parts = log_probabilities(weights, group, place, contexts) / ln10 + share
-            counted = known & (words.counts[np.maximum(codes, 0)] > 0)
+            parts = log_probabilities(weights, codes, contexts_of(words, codes, lengths)) / ln10
+            parts -= np.where(codes == last, log_rare, 0.0)
             rare = []
             for ws, start, length in zip(split, starts.tolist(), lengths.tolist()):
-                flags = known[start : start + length - 1]
-                found = Counter(w for w, k in zip(ws, flags.tolist()) if not k) if not flags.all() else {}
-                rare.append([{"word": w, "n": n} for w, n in found.items()])
-            sums = [np.add.reduceat(x, starts) for x in (counted.astype(np.int64), base, parts)]
+                places = np.flatnonzero(codes[start : start + length - 1] == last).tolist()
+                rare.append([{"word": w, "n": n} for w, n in Counter(ws[i] for i in places).items()])
+            sums = [np.add.reduceat(x, starts) for x in (counted[codes].astype(np.int64), base_logs[codes], parts)]
             yield pa.record_batch(
                 [
                     batch.column("row"), batch.column("doc_id"), batch.column("held_out"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import math
 import random
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from faultweave.llm import (
-    decontamination, graph, line_dedup, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
+    decontamination, graph, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
 )
 from faultweave.llm.common import BYTE_BPE, WORD_BPE, vocabulary
 from faultweave.llm.wavelet import WaveletMatrix, build
@@ -49,6 +50,48 @@ def test_near_duplicates_against_all_pairs(spark, prose, k):
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(plain.shingles(t, k)) for i, t in texts.items()}
 
 
+def test_group_around_one_passage_meets_few_candidates(spark, prose, monkeypatch):
+    """Seven tenths alike everywhere: no pair is a link but those planted, and hardly any is compared."""
+    rng = random.Random(6)
+    passage = prose(160, 50)
+    texts = {i: f"{prose(34, 9000 + i)} {passage}" for i in range(700)}
+    for i in range(700, 730):
+        texts[i] = edited(texts[i - 700], 0.01, rng)
+    candidates = []
+    real = near_dedup.meeting
+
+    def counted(*args):
+        candidates.append(real(*args).count())
+        return real(*args)
+
+    monkeypatch.setattr(near_dedup, "meeting", counted)
+    docs = spark.createDataFrame([(i, t, "a") for i, t in texts.items()], DOC)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, 2).collect()}
+    assert got == plain.components(texts, 2) and len(set(got.values())) < 730
+    assert len(candidates) == 1 and candidates[0] < 20 * len(texts)
+
+
+def test_rarest_shingles_lose_no_link(spark):
+    """Sets around the threshold, of many sizes: all pairs of different components that are links meet."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 400)
+    sets, rows = {}, []
+    for i in range(220):
+        size = int(rng.integers(20, 300))
+        kept = base[rng.permutation(300)[: int(size * rng.uniform(0.7, 1))]]
+        sets[i] = set(np.concatenate([kept, rng.integers(0, 1 << 62, int(size * rng.uniform(0, 0.3)))]).tolist())
+        if i % 3 and i > 5:  # a variant of an earlier one
+            sets[i] = set(list(sets[i - 1 - i % 3])[int(rng.integers(0, 12)) :]) | {int(x) for x in rng.integers(0, 1 << 62, 4)}
+        rows.append((i, i // 2, len(sets[i]), i, [int(x) for x in sets[i]]))
+    frame = spark.createDataFrame(rows, "rep long, root long, size long, set long, shingles array<long>")
+    met = {(r["a"], r["b"]) for r in near_dedup.meeting(frame, 80).collect()}
+    links = {
+        (a, b) for a in sets for b in sets
+        if a < b and a // 2 != b // 2 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert links <= met and len(links) > 20
+
+
 def test_large_group_of_copies(spark, prose):
     rng = random.Random(5)
     base = prose(150, 9)
@@ -172,23 +215,80 @@ def test_base_scores_and_normalisation(spark, prose):
         )
 
 
-def test_probabilities_add_up_to_one(spark, prose):
+@pytest.mark.parametrize("known", [1 << 18, 40])
+def test_probabilities_add_up_to_one(spark, prose, monkeypatch, known):
+    monkeypatch.setattr(lm_score, "KNOWN", known)
     docs = spark.createDataFrame([(i, prose(200, i), "a") for i in range(30)], DOC)
     counts = lm_score.word_counts(docs)
     vocab = lm_score.vocabulary(counts, 30)
     model = lm_score.train(docs, vocab)
-    contexts = np.repeat(lm_score._hash(np.arange(3))[:, None], lm_score.HEAD + lm_score.TAIL, axis=1)
-    outcome = np.arange(lm_score.HEAD + lm_score.TAIL)
-    group = np.where(outcome < lm_score.HEAD, outcome // lm_score.GROUP, lm_score.GROUPS + outcome - lm_score.HEAD)
-    place = np.where(outcome < lm_score.HEAD, outcome % lm_score.GROUP, -1)
-    assert np.exp(lm_score.log_probabilities(model, group, place, contexts)).sum() == pytest.approx(1, abs=1e-4)
-    # Inside the tail classes the words and one unknown word share everything.
-    sums = np.full(lm_score.TAIL, 0.5)
-    for r in counts.collect():
-        place = vocab.words.index(bytes(r["word"])) if bytes(r["word"]) in vocab.words else vocab.head
-        if place >= vocab.head:
-            sums[r["tail"]] += r["c"] + 0.5
-    assert np.allclose(sums, vocab.tail_sums)
+    assert vocab.levels > 1 or known == 40
+    for context in lm_score._hash(np.arange(3)), lm_score._hash(np.arange(7, 10)):
+        contexts = np.repeat(context[:, None], vocab.leaves, axis=1)
+        sums = np.exp(lm_score.log_probabilities(model, np.arange(vocab.leaves), contexts)).sum()
+        assert sums == pytest.approx(1, abs=1e-4)
+    # Inside the last leaf the rarer words and one unknown word share everything.
+    rarer = sum(r["c"] + 0.5 for r in counts.collect() if bytes(r["word"]) not in vocab.words)
+    assert vocab.rare_sum == pytest.approx(rarer + 0.5)
+    assert (vocab.tokens, vocab.distinct) == (30 * 201, counts.count() + 1)
+
+
+def test_rows_count_what_follows_their_contexts(spark, prose):
+    texts = [prose(120, i, vocabulary=60) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], DOC)
+    vocab = lm_score.vocabulary(lm_score.word_counts(docs), 20)
+    shared = spark.sparkContext.broadcast(vocab)
+    model = lm_score.count_rows(docs, vocab, shared)
+    want = Counter()
+    for text in texts:
+        codes, lengths, _ = lm_score._tokens(vocab, [text.encode()])
+        contexts = lm_score.contexts_of(vocab, codes, lengths)
+        for level in range(vocab.levels):
+            classes, child = lm_score._at(codes, vocab.width, vocab.levels, level)
+            for template, rows in enumerate(lm_score._rows(contexts, classes, model.rows)):
+                want.update((level, row, c) for row, c in zip(rows.tolist(), child.tolist()))
+    got = {tuple(map(int, cell)): int(model.counts[tuple(cell)]) for cell in np.argwhere(model.counts)}
+    assert got == want and sum(want.values()) == 20 * 121 * 3 * vocab.levels
+
+
+def test_slopes_are_those_of_the_likelihood(spark, prose):
+    docs = spark.createDataFrame([(i, prose(150, i, vocabulary=80), "a") for i in range(20)], DOC)
+    vocab = lm_score.vocabulary(lm_score.word_counts(docs), 20)
+    model = lm_score.count_rows(docs, vocab, spark.sparkContext.broadcast(vocab))
+    codes, lengths, _ = lm_score._tokens(vocab, [r["text"].encode() for r in docs.collect()])
+    contexts = lm_score.contexts_of(vocab, codes, lengths)
+
+    def likelihood(factors) -> float:
+        """Each token without its own count."""
+        moved, total = dataclasses.replace(model, factors=factors), 0.0
+        for level in range(model.levels):
+            classes, child = lm_score._at(codes, model.width, model.levels, level)
+            rows = lm_score._rows(contexts, classes, model.rows)
+            logits = lm_score._logits(moved, level, *lm_score._weights(moved, level, classes, rows, child)).astype(float)
+            total += (logits[np.arange(len(codes)), child] - np.log(np.exp(logits).sum(1))).sum()
+        return total
+
+    gradient, curvature = lm_score.slopes(model, codes, contexts)
+    step = 1e-2
+    for level, template, magnitude in np.argwhere(np.abs(gradient).reshape(model.factors.shape) > 20)[:6]:
+        up, down = model.factors.copy(), model.factors.copy()
+        up[level, template, magnitude] += step
+        down[level, template, magnitude] -= step
+        at = template * lm_score.MAGNITUDES + magnitude
+        high, low, now = likelihood(up), likelihood(down), likelihood(model.factors)
+        assert (high - low) / (2 * step) == pytest.approx(gradient[level, at], rel=0.02, abs=0.5)
+        bend = curvature[level].reshape(len(gradient[level]), -1)[at, at]
+        assert (2 * now - high - low) / step**2 == pytest.approx(bend, rel=0.1, abs=20)
+
+
+def test_scores_do_not_depend_on_partitions(spark, prose):
+    rows = [(i, prose(60 + i, i, vocabulary=300), "a") for i in range(90)]
+    scores = []
+    for parts in (1, 2, 41):
+        docs = spark.createDataFrame(rows, DOC).repartition(parts)
+        scores.append({r["doc_id"]: r["score"] for r in lm_score.lm_scores(docs).collect()})
+    for other in scores[1:]:
+        assert all(other[i] == pytest.approx(s, rel=1e-6) for i, s in scores[0].items())
 
 
 def test_held_out_text_is_better_than_unigram(spark):
@@ -229,6 +329,26 @@ def test_toxicity_on_held_out_rows(spark, prose):
     assert right / len(held) > 0.97
 
 
+# ---- line quality ----------------------------------------------------------
+
+
+def test_a_lines_fate_does_not_depend_on_the_size_of_its_host(spark, prose):
+    common = "accept all cookies to go on reading this page"
+    rows = []
+    for host, others in (("small", 5), ("large", 400)):
+        rows += [(len(rows) + i, f"{prose(20, i)}\n" + "\n".join([common] * 8), host) for i in range(30)]
+        rows += [(len(rows) + i, prose(60, 1000 + i), host) for i in range(others)]
+    # Thirty rows of one document are one document.
+    rows += [(9000, f"{prose(20, 7)}\n" + "\n".join(["one page only"] * 30), "small")] * 30
+    found = line_quality.quality(spark.createDataFrame(rows, DOC)).collect()
+    removed = {h: [r["n_removed_words"] for r, (_, t, host) in zip(
+        sorted(found, key=lambda r: r["doc_id"]), sorted(rows)) if host == h and common in t] for h in ("small", "large")}
+    assert set(removed["small"]) == set(removed["large"]) == {8 * 9}
+    assert all(r["n_removed_words"] == 0 for r in found if r["doc_id"] == 9000)
+    # Seventy-two of ninety-two words go: a fifth stays, which is too little.
+    assert all(not r["kept"] for r in found if r["n_removed_words"])
+
+
 # ---- personal data ---------------------------------------------------------
 
 RULES = (
@@ -427,3 +547,35 @@ def test_long_items_in_parts(spark, prose):
     bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
     got = {r["doc_id"]: r["score"] for r in decontamination.contamination(docs, bench).collect()}
     assert got.keys() == {1, 2} and got[1] == pytest.approx(0.8, abs=0.02) and got[2] == pytest.approx(0.2, abs=0.02)
+
+
+def test_clean_rows_with_the_id_of_a_contaminated_one_stay(spark, prose):
+    item = prose(30, 1)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"{prose(40, 2)} {item}", "a"), (None, prose(50, 3), "a"), (2, item, "a"), (2, prose(60, 4), "a"), (3, "", "a")]
+    kept = decontamination.remove_contaminated(spark.createDataFrame(rows, DOC), bench).collect()
+    assert sorted(r["text"] for r in kept) == sorted([rows[1][1], rows[3][1], ""])
+
+
+def test_a_very_long_text_meets_only_items_it_may_hold(spark, prose, monkeypatch):
+    """A text that holds all words of all items, far apart, is not aligned with any but the planted one."""
+    items = [(i, prose(30, 500 + i)) for i in range(60)]
+    words = [w for _, t in items for w in t.split()]
+    random.Random(1).shuffle(words)
+    filler = prose(40_000, 9, vocabulary=100_000).split()
+    for at, word in zip(range(0, 40_000, 20), words * 2):
+        filler[at] = word
+    text = " ".join(filler[:20_000] + items[7][1].split()[:25] + filler[20_000:])
+    aligned = []
+    real = decontamination.score_passages
+
+    def counted(met, threshold):
+        aligned.append(met.count())
+        return real(met, threshold)
+
+    monkeypatch.setattr(decontamination, "score_passages", counted)
+    docs = spark.createDataFrame([(1, text, "a"), (2, prose(50, 3), "a")], DOC)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    (row,) = decontamination.contamination(docs, bench).collect()
+    assert (row["doc_id"], row["item_id"], row["end_word"]) == (1, 7, 20_025) and row["score"] == pytest.approx(25 / 30)
+    assert aligned[0] <= 20
