@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,13 @@ from faultweave.functions import numbers
 from faultweave.operators import positions
 
 
-# Tasks that share the pairs of one minute.
-PAIR_SHARES = 16
+# Services whose pairs with all others of a minute are one share of it.
+SHARE_SERVICES = 128
+# Services per block of the co-moments, and minutes per group.
+BLOCK_SERVICES = 256
+BLOCK_MINUTES = 1024
+# A variance below this part of the squared distance from the mean is rounding.
+ROUNDING = 1e-12
 
 
 def call_edges(df: DataFrame) -> DataFrame:
@@ -61,6 +68,11 @@ def service_dependency_graph(df: DataFrame) -> DataFrame:
     )
 
 
+def slice_seconds(window_sec: int) -> int:
+    """Length of the time slices that traces are cut into."""
+    return max(4 * window_sec, 60)
+
+
 def propagation_chains(df: DataFrame, window_sec: int = 60) -> DataFrame:
     """Consecutive failures of one trace, in different services, at most `window_sec` apart.
 
@@ -70,7 +82,7 @@ def propagation_chains(df: DataFrame, window_sec: int = 60) -> DataFrame:
     after it: the successor of a failure is then always in its own slice, and a
     trace with very many failures is spread over tasks instead of sorted in one.
     """
-    width = max(4 * window_sec, 60)
+    width = slice_seconds(window_sec)
     second = F.unix_timestamp("start_time_ts")
     home = F.floor(second / width)
     copies = F.when(
@@ -119,24 +131,26 @@ def service_minute_error_rate(df: DataFrame) -> DataFrame:
     )
 
 
-def paired_series(rates: DataFrame, shares: int = PAIR_SHARES) -> DataFrame:
+def paired_series(rates: DataFrame, share_services: int = SHARE_SERVICES) -> DataFrame:
     """Two services' error rates side by side, for each minute in which both were called.
 
     The input holds one row per service and minute, whatever the traffic, so a
     minute contributes at most one row per pair of services. The pairs of a minute are
-    dealt into `shares` by their first service, and the second side is repeated for each
-    share, so a minute with very many services doesn't meet in one task. Aggregations over
-    the result run in the join's own stage, before any shuffle.
+    dealt into shares by their first service, as many as the minute's services need, and the
+    second side is repeated for each share: a minute with very many services doesn't meet in
+    one task, and one with few is not repeated.
     """
-    first = rates.select(
+    in_minute = F.count("*").over(Window.partitionBy("minute_ts"))
+    counted = rates.withColumn("_shares", F.ceil(in_minute / share_services))
+    first = counted.select(
         "minute_ts",
-        F.pmod(F.xxhash64("service_name"), F.lit(shares)).alias("_share"),
+        F.pmod(F.xxhash64("service_name"), F.col("_shares")).alias("_share"),
         F.col("service_name").alias("service_a"),
         F.col("error_rate").alias("error_rate_a"),
     )
-    second = rates.select(
+    second = counted.select(
         "minute_ts",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))).alias("_share"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_shares") - 1)).alias("_share"),
         F.col("service_name").alias("service_b"),
         F.col("error_rate").alias("error_rate_b"),
     )
@@ -144,31 +158,105 @@ def paired_series(rates: DataFrame, shares: int = PAIR_SHARES) -> DataFrame:
     return paired.drop("_share")
 
 
+def co_moments(
+    rates: DataFrame, block_services: int = BLOCK_SERVICES, block_minutes: int = BLOCK_MINUTES
+) -> DataFrame:
+    """Per pair of services the number of common minutes and, over these, the sums of both
+    rates' distances from their services' means, of the squares and of the products.
+
+    Minutes and services form a matrix, cut into blocks of services and of minutes. A pair of
+    blocks is a group, multiplied as matrices; sums are taken about the mean, so they don't
+    cancel, and add up over the groups. A row is repeated once per block of services: not at
+    all up to `block_services` of them.
+    """
+    # A minute has a service once.
+    means = rates.groupBy("service_name").agg(F.avg("error_rate").alias("_mean"))
+    blocks = means.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_services)).alias("n")).scalar()
+    home = F.pmod(F.xxhash64("service_name"), F.col("_blocks"))
+    minute = F.unix_timestamp("minute_ts") / 60
+    dealt = (
+        rates.filter(F.col("error_rate").isNotNull() & F.col("service_name").isNotNull())
+        .join(means.withColumnRenamed("service_name", "_service"), F.col("service_name") == F.col("_service"))
+        .withColumn("_blocks", blocks)
+        .select(
+            "service_name", home.alias("home"), F.floor(minute).alias("minute"),
+            (F.col("error_rate") - F.col("_mean")).alias("x"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_other"),
+        )
+        .select(
+            "service_name", "home", "minute", "x", F.least("home", "_other").alias("low"),
+            F.greatest("home", "_other").alias("high"), F.floor(F.col("minute") / block_minutes).alias("part"),
+        )
+    )
+    partial = dealt.groupBy("part", "low", "high").applyInArrow(_block_moments, MOMENTS)
+    sums = [name for name, _ in (field.split() for field in MOMENTS.split(", ")[2:])]
+    return partial.groupBy("service_a", "service_b").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+MOMENTS = "service_a string, service_b string, n long, a double, b double, aa double, bb double, ab double"
+
+
+def _block_moments(keys: tuple, group: pa.Table) -> pa.Table:
+    """Sums of one pair of blocks: of all pairs inside a block, or of all pairs across two."""
+    low, high = keys[1].as_py(), keys[2].as_py()
+    names = group.column("service_name").combine_chunks().dictionary_encode()
+    services, code = names.dictionary.to_pylist(), names.indices.to_numpy()
+    _, minute = np.unique(group.column("minute").to_numpy(), return_inverse=True)
+    there = np.zeros((minute.max() + 1, len(services)))
+    x = np.zeros_like(there)
+    there[minute, code], x[minute, code] = 1.0, group.column("x").to_numpy()
+    home = np.zeros(len(services), np.int64)
+    home[code] = group.column("home").to_numpy()
+    left = np.flatnonzero(home == low)
+    right = np.flatnonzero(home == high)
+    met_a, met_b, x_a, x_b = there[:, left], there[:, right], x[:, left], x[:, right]
+    n = met_a.T @ met_b
+    rank = np.argsort(np.argsort(np.array(services, object)))
+    earlier = rank[left][:, None] < rank[right][None, :]
+    later = rank[left][:, None] > rank[right][None, :]
+    # Inside a block every pair stands twice in the product, across blocks once.
+    kept = (n > 0) & (earlier if low == high else earlier | later)
+    i, j = np.nonzero(kept)
+    swap = later[i, j]
+    a, b = x_a.T @ met_b, met_a.T @ x_b
+    aa, bb, ab = (x_a**2).T @ met_b, met_a.T @ (x_b**2), x_a.T @ x_b
+    one, two = np.array(services, object)[left[i]], np.array(services, object)[right[j]]
+
+    def either(straight: np.ndarray, crossed: np.ndarray) -> np.ndarray:
+        return np.where(swap, crossed[i, j], straight[i, j])
+
+    columns = {
+        "service_a": np.where(swap, two, one), "service_b": np.where(swap, one, two),
+        "n": n[i, j].astype(np.int64), "a": either(a, b), "b": either(b, a),
+        "aa": either(aa, bb), "bb": either(bb, aa), "ab": ab[i, j],
+    }
+    kinds = [pa.string()] * 2 + [pa.int64()] + [pa.float64()] * 5
+    return pa.table([pa.array(c, k) for c, k in zip(columns.values(), kinds)], names=list(columns))
+
+
 def correlate_series(
     rates: DataFrame, min_correlation: float = 0.3, min_samples: int = 5
 ) -> DataFrame:
     """Pearson correlation per service pair over the minutes both have.
 
-    Built on central moments, which stay accurate over long series and are exactly
-    zero for a constant one; such a pair has no correlation and is left out.
+    A pair in which one is constant has no correlation and is left out.
     """
-    moments = (
-        paired_series(rates)
-        .groupBy("service_a", "service_b")
-        .agg(
-            F.count("*").alias("sample_size"),
-            F.covar_pop("error_rate_a", "error_rate_b").alias("_cov"),
-            F.var_pop("error_rate_a").alias("_var_a"),
-            F.var_pop("error_rate_b").alias("_var_b"),
-        )
-        .filter(F.col("sample_size") >= min_samples)
-    )
-    scale = F.sqrt(F.col("_var_a")) * F.sqrt(F.col("_var_b"))
+    n = F.col("n")
+
+    def spread(total: str, squares: str) -> Column:
+        """Sum of squares about the pair's own mean, zero where it is nothing but rounding."""
+        centred = F.col(squares) - F.col(total) * F.col(total) / n
+        return F.when(centred > F.col(squares) * ROUNDING, centred).otherwise(F.lit(0.0))
+
+    together = F.col("ab") - F.col("a") * F.col("b") / n
+    scale = F.sqrt(spread("a", "aa")) * F.sqrt(spread("b", "bb"))
     bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_r")))
     return (
-        moments.withColumn("_r", F.try_divide(F.col("_cov"), scale))
+        co_moments(rates)
+        .filter(n >= min_samples)
+        .withColumn("_r", F.try_divide(together, scale))
         .filter(F.col("_r").isNotNull())
-        .select("service_a", "service_b", bounded.alias("error_correlation"), "sample_size")
+        .select("service_a", "service_b", bounded.alias("error_correlation"), n.alias("sample_size"))
         .filter(F.abs("error_correlation") >= min_correlation)
     )
 

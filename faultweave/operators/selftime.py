@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultweave.functions import features
-from faultweave.operators.quantiles import exact_percentile, grouped_percentiles
+from faultweave.operators.quantiles import bucket_counts, exact_percentile, grouped_percentiles
+from faultweave.sources.workspace import materialise
 
 
 def child_time(traces: DataFrame) -> DataFrame:
@@ -43,21 +44,37 @@ def baseline_self_time(timed: DataFrame) -> DataFrame:
     )
 
 
-def latency_ceiling(traces: DataFrame, percentile: float = 0.99, min_samples: int = 30) -> DataFrame:
+def self_time_counts(traces: DataFrame, by_date: bool = False) -> DataFrame:
+    """Fault-free spans per endpoint and bucket of self time, from which ceilings are learned.
+
+    With `by_date` also per capture date: stored with `parts=["capture_date"]`, a new date
+    adds its own counts and the others stay as they are.
+    """
+    baseline = traces.filter(F.col("capture_root") == "baseline")
+    return bucket_counts(baseline, ["endpoint"], "self_time_ms", ["capture_date"] if by_date else [])
+
+
+def latency_ceiling(
+    traces: DataFrame, percentile: float = 0.99, min_samples: int = 30, counts: DataFrame | None = None
+) -> DataFrame:
     """Fault-free percentile of self time per endpoint.
 
     Exact at any size. Endpoints with fewer than `min_samples` baseline spans take the
-    percentile over all endpoints. Five passes over the baseline; where `traces` is costly,
-    hand in `baseline_self_time` as a written table.
+    percentile over all endpoints. Three passes over the baseline: the counts, which are
+    written to the shared folder unless stored ones are handed in, and the buckets that hold
+    the endpoints' ranks and the common one. Where `traces` is costly, hand in
+    `baseline_self_time` as a written table.
     """
     baseline = traces.filter(F.col("capture_root") == "baseline")
-    samples = baseline.groupBy("endpoint").agg(F.count("*").alias("baseline_samples"))
-    own = grouped_percentiles(baseline, ["endpoint"], "self_time_ms", {"own": percentile})
+    if counts is None:
+        counts = materialise(self_time_counts(traces), "self-time-counts")
+    samples = counts.groupBy("endpoint").agg(F.sum("n").alias("baseline_samples"))
+    own = grouped_percentiles(baseline, ["endpoint"], "self_time_ms", {"own": percentile}, counts)
     profile = samples.join(
         own.withColumnRenamed("endpoint", "_endpoint"), F.col("endpoint").eqNullSafe(F.col("_endpoint")), "left"
     )
     trusted = (F.col("baseline_samples") >= min_samples) & F.col("own").isNotNull()
-    overall = exact_percentile(baseline, "self_time_ms", percentile)
+    overall = exact_percentile(baseline, "self_time_ms", percentile, counts)
     return profile.select(
         "endpoint",
         F.when(trusted, F.col("own")).otherwise(overall).alias("baseline_p99_ms"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Collection, Iterable
+from functools import cache
 from importlib import resources
 
 from pyspark.errors import PySparkException
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from faultweave.config import DEFAULTS, Settings
 from faultweave.operators.faults import join_fault_window
-from faultweave.operators.quantiles import grouped_percentiles
+from faultweave.operators.quantiles import bucket_counts, grouped_percentiles
 from faultweave.sources.tables import TableStore
 
 MARKER = re.compile(r"^--\s*@name\s+(\w+)\s*$", re.MULTILINE)
@@ -37,19 +39,37 @@ def load_queries(path: str | None = None) -> dict[str, str]:
     return split_statements(text)
 
 
+def _views(
+    telemetry: DataFrame, ground_truth: DataFrame | None, settings: Settings
+) -> dict[str, Callable[[], DataFrame]]:
+    """How each view is made, once a statement names it."""
+    counts = cache(lambda: bucket_counts(telemetry, ["service_name", "endpoint"], "response_time_ms"))
+
+    def cuts(groups: list[str], shares: dict[str, float]) -> DataFrame:
+        return grouped_percentiles(telemetry, groups, "response_time_ms", shares, counts())
+
+    made = {
+        "telemetry": lambda: telemetry,
+        "service_cuts": lambda: cuts(["service_name"], {"p50": 0.5, "p95": 0.95, "p99": 0.99}),
+        "endpoint_cuts": lambda: cuts(["service_name", "endpoint"], {"p95": 0.95}),
+    }
+    if ground_truth is not None:
+        made["ground_truth"] = lambda: ground_truth
+        made["fault_windows"] = lambda: join_fault_window(telemetry, ground_truth, settings.fault_window_sec)
+    return made
+
+
 def register_views(
-    telemetry: DataFrame, ground_truth: DataFrame | None = None, settings: Settings = DEFAULTS
+    telemetry: DataFrame,
+    ground_truth: DataFrame | None = None,
+    settings: Settings = DEFAULTS,
+    statements: Iterable[str] | None = None,
 ) -> None:
-    telemetry.createOrReplaceTempView("telemetry")
-    by_service = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    cuts = grouped_percentiles(telemetry, ["service_name"], "response_time_ms", by_service)
-    cuts.createOrReplaceTempView("service_cuts")
-    cuts = grouped_percentiles(telemetry, ["service_name", "endpoint"], "response_time_ms", {"p95": 0.95})
-    cuts.createOrReplaceTempView("endpoint_cuts")
-    if ground_truth is not None:
-        ground_truth.createOrReplaceTempView("ground_truth")
-        windows = join_fault_window(telemetry, ground_truth, settings.fault_window_sec)
-        windows.createOrReplaceTempView("fault_windows")
+    """Temporary views for the reports; with `statements`, only those that they name."""
+    words = None if statements is None else set(re.findall(r"\w+", " ".join(statements)))
+    for name, make in _views(telemetry, ground_truth, settings).items():
+        if words is None or name in words:
+            make().createOrReplaceTempView(name)
 
 
 def run_queries(
@@ -82,9 +102,12 @@ def run_reports(
     telemetry: DataFrame,
     ground_truth: DataFrame | None = None,
     settings: Settings = DEFAULTS,
+    only: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    register_views(telemetry, ground_truth, settings)
-    return run_queries(spark, load_queries(), ground_truth is not None, settings)
+    """All reports, or `only` the named ones, over the views that they need."""
+    queries = {name: text for name, text in load_queries().items() if only is None or name in only}
+    register_views(telemetry, ground_truth, settings, queries.values())
+    return run_queries(spark, queries, ground_truth is not None, settings)
 
 
 def run_sql_reports(

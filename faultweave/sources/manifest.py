@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from faultweave.config import BASELINE_ROOT, DEFAULTS, ROOTS
 from faultweave.schemas import SOURCE_COLUMNS
+from faultweave.sources import listing
 
 KINDS = ("trace", "metric", "log")
 
@@ -17,8 +18,12 @@ KINDS = ("trace", "metric", "log")
 METRIC_SUFFIX = "_metric.csv"
 
 
-def _below(path: Column, base: str) -> Column:
-    """Part of a file path below `base`: both are cut to what follows any URI scheme."""
+def below(path: Column, base: str) -> Column:
+    """Part of a file path below `base`: both are cut to what follows any URI scheme.
+
+    Spark gives paths with escapes; a plus sign in them is one.
+    """
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     tail = base.rstrip("/").split("://")[-1].split(":", 1)[-1].lstrip("/")
     return F.substring_index(path, f"/{tail}/", -1) if tail else path
 
@@ -57,31 +62,68 @@ def file_manifest(
     roots: Sequence[str] = ROOTS,
     metric_suffix: str = METRIC_SUFFIX,
 ) -> DataFrame:
-    """Wanted files with size, root, kind and capture date. File contents are not read.
+    """Wanted files with size, root, kind and capture date."""
+    files = _listed(spark, path, kinds, roots, metric_suffix)
+    return files.select("relative_path", "root", "capture_date", "kind", "size_bytes")
+
+
+def _listed(
+    spark: SparkSession, path: str, kinds: Sequence[str], roots: Sequence[str], metric_suffix: str
+) -> DataFrame:
+    """Wanted files with size, parts of the path, first line and second line.
+
+    Listed in tasks wherever they can open the path; elsewhere by Spark's own index.
+    """
+    if listing.can_list(path):
+        files = listing.capture_files(spark, path, roots)
+        return files.filter(_wanted(kinds, roots, metric_suffix))
+    return _indexed(spark, path, kinds, roots, metric_suffix)
+
+
+def _indexed(
+    spark: SparkSession, path: str, kinds: Sequence[str], roots: Sequence[str], metric_suffix: str
+) -> DataFrame:
+    """The same for a file system that only Spark reads.
 
     A scan skips empty files, so the names come from the file index Spark keeps on
-    the driver anyway and the sizes from the scan.
+    the driver anyway, and the sizes and lines from scans.
     """
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     names = spark.createDataFrame([(name,) for name in scan.inputFiles()], "file_path string")
-    names = names.select(_below(F.col("file_path"), path).alias("relative_path"))
+    names = names.select(below(F.col("file_path"), path).alias("relative_path"))
     sizes = scan.select(
-        _below(F.col("_metadata.file_path"), path).alias("relative_path"),
+        below(F.col("_metadata.file_path"), path).alias("relative_path"),
         F.col("_metadata.file_size").alias("_size"),
     )
+    opening = _lines(spark, path).filter("block = 0")
+    head = opening.groupBy("relative_path").agg(
+        F.min("position").alias("_first"), F.min_by("value", "position").alias("header")
+    )
+    # The line after the header: the smallest position but one.
+    second = (
+        opening.join(head.select("relative_path", "_first"), "relative_path")
+        .filter("position > _first")
+        .groupBy("relative_path")
+        .agg(F.min_by("value", "position").alias("first_row"))
+    )
     return (
         _with_parts(names)
         .filter(_wanted(kinds, roots, metric_suffix))
         .join(sizes, "relative_path", "left")
+        .join(head.drop("_first"), "relative_path", "left")
+        .join(second, "relative_path", "left")
         .select(
             "relative_path", "root", "capture_date", "kind",
-            F.coalesce(F.col("_size"), F.lit(0)).alias("size_bytes"),
+            F.coalesce(F.col("_size"), F.lit(0)).alias("size_bytes"), "header", "first_row",
         )
     )
 
 
 def dataset_is_present(spark: SparkSession, path: str, root: str = BASELINE_ROOT) -> bool:
     """Whether any trace file of the fault-free capture is there."""
+    if listing.can_list(path):
+        files = listing.capture_files(spark, path, [root])
+        return not files.filter((F.col("kind") == "trace") & F.col("relative_path").endswith(".csv")).isEmpty()
     files = spark.read.format("binaryFile")
     try:
         return bool(files.load(f"{path.rstrip('/')}/{root}/*/trace/*.csv").inputFiles())
@@ -99,12 +141,20 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     return text.text(path).select(
         "value",
-        _below(F.col("_metadata.file_path"), path).alias("relative_path"),
+        below(F.col("_metadata.file_path"), path).alias("relative_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
 
 
+def columns_of(header: Column) -> Column:
+    """Column names of a CSV header line, without quotes, blanks and byte-order mark."""
+    return F.transform(
+        F.split(F.regexp_replace(header, r"^\uFEFF", ""), ","),
+        lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""),
+    )
+
+
 def _expected_columns(kind: Column, expected: Mapping[str, Sequence[str]]) -> Column:
     table = F.create_map(
         *[x for k, v in expected.items() for x in (F.lit(k), F.array(*[F.lit(c) for c in v]))]
@@ -122,42 +172,18 @@ def validate_columns(
 ) -> DataFrame:
     """Per file: missing and extra columns, row count, a sample row, and validity.
 
-    A file is valid when no expected column is missing. Large files stay split: the
-    header is the earliest line of the block at offset 0, found by an aggregate,
-    and rows are the physical lines after it.
+    A file is valid when no expected column is missing. Header and sample come with the
+    listing; the text is scanned once, for the rows, which are the physical lines after the
+    header. Large files stay split.
     """
-    lines = _lines(spark, path)
-    opening = F.struct("block", "position")
-    first = F.min_by(F.struct("value"), opening)
-    per_file = lines.groupBy("relative_path").agg(
-        first.alias("_head"),
-        (F.count("*") - 1).alias("row_count"),
-    )
-    # The sample is the line after the header: the smallest position but one.
-    second = (
-        lines.filter(F.col("block") == 0)
-        .join(
-            lines.filter(F.col("block") == 0)
-            .groupBy("relative_path")
-            .agg(F.min("position").alias("_first")),
-            "relative_path",
-        )
-        .filter(F.col("position") > F.col("_first"))
-        .groupBy("relative_path")
-        .agg(F.min_by("value", "position").alias("sample_row"))
-    )
-    header = F.transform(
-        F.split(F.regexp_replace(F.col("_head.value"), r"^\uFEFF", ""), ","),
-        lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""),
-    )
-    wanted = file_manifest(spark, path, kinds, roots, metric_suffix)
+    counts = _lines(spark, path).groupBy("relative_path").agg((F.count("*") - 1).alias("row_count"))
     checked = (
-        wanted.join(per_file, "relative_path", "left")
-        .join(second, "relative_path", "left")
-        .withColumn("_columns", header)
+        _listed(spark, path, kinds, roots, metric_suffix)
+        .join(counts, "relative_path", "left")
+        .withColumn("_columns", columns_of(F.col("header")))
         .withColumn("_expected", _expected_columns(F.col("kind"), expected))
     )
-    empty = F.col("_head").isNull()
+    empty = F.col("header").isNull()
     missing = F.array_except("_expected", "_columns")
     extra = F.array_except("_columns", "_expected")
     return checked.select(
@@ -165,7 +191,7 @@ def validate_columns(
         F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
         missing.alias("missing_columns"),
         extra.alias("extra_columns"),
-        "sample_row",
+        F.col("first_row").alias("sample_row"),
         (~empty & (F.size(missing) == 0)).alias("valid"),
         F.when(empty, "Empty file (no header row)").alias("error"),
     )

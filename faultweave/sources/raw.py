@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,20 @@ from pyspark.sql import functions as F
 
 from faultweave.config import FAULT_ROOT, ROOTS
 from faultweave.functions import names, numbers
+from faultweave.sources import listing, manifest
+from faultweave.sources.workspace import materialise
 
 TRACE_FILES = "*/trace/*.csv"
 METRIC_FILES = "*/metric/*_metric.csv"
 
+# The columns that are read of each kind.
+TRACE_COLUMNS = (
+    "TraceID", "SpanID", "ParentID", "PodName", "OperationName", "StartTimeUnixNano", "EndTimeUnixNano", "Duration",
+)
+METRIC_COLUMNS = (
+    "PodName", "TimeStamp", "CpuUsage(m)", "MemoryUsage(Mi)", "NetworkReceiveBytes", "NetworkTransmitBytes",
+)
+
 
 def source_globs(path: str, roots: Sequence[str], pattern: str) -> list[str]:
     """Paths for Spark to expand, on any file system.
@@ -24,22 +35,64 @@ def source_globs(path: str, roots: Sequence[str], pattern: str) -> list[str]:
     return [f"{path.rstrip('/')}/{head}/{pattern}"]
 
 
-def _read_text_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every column a string, named by the header, plus the path of the file.
+def _read_text_csv(
+    spark: SparkSession, path: str, roots: Sequence[str], pattern: str, columns: Sequence[str]
+) -> DataFrame:
+    """The wanted columns as strings, named by each file's own header, plus the path of the file.
 
-    All files must have the columns of the first in the same order: a file that differs is
-    an error when it is read, never a column taken for another.
+    Files whose headers agree are read as they are. Where headers differ, every file's rows
+    are read by position and named by its header, which the listing of the files gives. A
+    file without a wanted column is an error, never a column taken for another; where the
+    files can't be listed in tasks, so is a file with another order of columns.
     """
+    paths = source_globs(path, roots, pattern)
     reader = spark.read.option("header", True).option("inferSchema", False)
-    rows = reader.schema(reader.csv(paths).schema).option("enforceSchema", False).csv(paths)
+    schema = reader.csv(paths).schema
+    layouts = _layouts(spark, path, roots, pattern)
+    if layouts is not None and layouts.select("header").distinct().limit(2).count() > 1:
+        return _by_header(spark, path, paths, layouts, columns)
+    rows = reader.schema(schema).option("enforceSchema", False).csv(paths)
     return rows.withColumn("source_path", F.col("_metadata.file_path"))
 
 
+def _layouts(spark: SparkSession, path: str, roots: Sequence[str], pattern: str) -> DataFrame | None:
+    """relative_path, header and its columns of the files of a pattern, where tasks can list them."""
+    if not listing.can_list(path) or re.search(r"[\[\]{}\\?]", pattern):
+        return None
+    below = "[^/]*".join(map(re.escape, pattern.split("*")))
+    files = listing.capture_files(spark, path, roots)
+    # An empty file has no header and no rows.
+    wanted = files.filter(F.col("relative_path").rlike(f"^[^/]+/{below}$") & F.col("header").isNotNull())
+    return wanted.select("relative_path", "header", manifest.columns_of(F.col("header")).alias("columns"))
+
+
+def _by_header(
+    spark: SparkSession, path: str, paths: list[str], layouts: DataFrame, columns: Sequence[str]
+) -> DataFrame:
+    layouts = materialise(layouts, "layouts")
+    wanted = F.array(*map(F.lit, columns))
+    lacking = layouts.filter(F.size(F.array_except(wanted, "columns")) > 0).first()
+    if lacking:
+        raise ValueError(f"{lacking['relative_path']} lacks a column of {list(columns)}: {lacking['header']!r}")
+    width = layouts.agg(F.max(F.size("columns"))).first()[0]
+    places = [f"c{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in places)
+    rows = spark.read.option("header", True).schema(schema).csv(paths)
+    rows = rows.select(
+        F.array(*places).alias("values"), F.col("_metadata.file_path").alias("source_path"),
+        manifest.below(F.col("_metadata.file_path"), path).alias("relative_path"),
+    )
+    # One row per file on the other side, so adaptive execution can split a large file's rows.
+    named = rows.join(layouts.select("relative_path", "columns"), "relative_path")
+    place = {c: F.array_position("columns", c).cast("int") - 1 for c in columns}
+    return named.select(*[F.get("values", at).alias(c) for c, at in place.items()], "source_path")
+
+
 def read_traces(
     spark: SparkSession, path: str, roots: Sequence[str] = ROOTS, fault_root: str = FAULT_ROOT
 ) -> DataFrame:
     """Typed spans; rows without a span id or a non-negative duration are dropped."""
-    rows = _read_text_csv(spark, source_globs(path, roots, TRACE_FILES))
+    rows = _read_text_csv(spark, path, roots, TRACE_FILES, TRACE_COLUMNS)
     micros = numbers.to_double(F.col("Duration"))
     return rows.select(
         F.col("TraceID").alias("trace_id"),
@@ -63,7 +116,7 @@ def read_metrics(
     pattern: str = METRIC_FILES,
 ) -> DataFrame:
     """Typed pod samples; rows without pod, time or a non-negative cpu are dropped."""
-    rows = _read_text_csv(spark, source_globs(path, roots, pattern))
+    rows = _read_text_csv(spark, path, roots, pattern, METRIC_COLUMNS)
     return rows.select(
         F.col("PodName").alias("pod_id"),
         numbers.to_bigint(F.col("TimeStamp")).alias("epoch_sec"),
@@ -80,7 +133,7 @@ def read_metrics(
 
 def file_lineage(spark: SparkSession, path: str, roots: Sequence[str] = ROOTS) -> DataFrame:
     """Trace rows per capture date and root, both taken from the path of each row's file."""
-    rows = _read_text_csv(spark, source_globs(path, roots, TRACE_FILES))
+    rows = _read_text_csv(spark, path, roots, TRACE_FILES, TRACE_COLUMNS)
     return rows.groupBy(
         names.capture_date(F.col("source_path")).alias("capture_date"),
         names.capture_root(F.col("source_path"), FAULT_ROOT).alias("capture_root"),

@@ -129,7 +129,7 @@ def cleaned(s: SparkSession, sf: str) -> dict[str, DataFrame]:
 def report(name: str, truth: bool = False) -> Query:
     def run(s: SparkSession, sf: str) -> DataFrame:
         labelled = b.ground_truth(s, sf) if truth else None
-        return reports.run_reports(s, b.telemetry_table(s, sf), labelled)[name]
+        return reports.run_reports(s, b.telemetry_table(s, sf), labelled, only=[name])[name]
 
     return run
 

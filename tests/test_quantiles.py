@@ -5,7 +5,9 @@ import random
 
 import pytest
 
-from faultweave.operators.quantiles import exact_percentile, grouped_percentiles
+from faultweave.operators import selftime
+from faultweave.operators.quantiles import bucket_counts, exact_percentile, grouped_percentiles
+from faultweave.sources.tables import TableStore
 
 
 def percentile_of(spark, values, p):
@@ -50,3 +52,31 @@ def test_percentiles_gather_no_rows(spark):
     df = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS double) AS x")
     plan = grouped_percentiles(df, ["g"], "x", {"p": 0.9})._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan.lower() and "collect" not in plan.lower()
+
+
+def test_stored_counts_serve_coarser_groups(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.choice("xyz"), rng.expovariate(0.01)) for _ in range(5000)] + [("a", None, None)]
+    df = spark.createDataFrame(rows, "g string, h string, x double")
+    counts = bucket_counts(df, ["g", "h"], "x")
+    assert counts.count() < 5000 and counts.agg({"n": "sum"}).first()[0] == 5001
+    for groups in (["g", "h"], ["g"], []):
+        fresh = grouped_percentiles(df, groups, "x", {"p50": 0.5, "p99": 0.99}).collect()
+        stored = grouped_percentiles(df, groups, "x", {"p50": 0.5, "p99": 0.99}, counts).collect()
+        assert sorted(map(str, fresh)) == sorted(map(str, stored)) and fresh
+
+
+def test_learning_date_by_date_equals_learning_at_once(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [
+        (f"/e{i % 7}", "fault" if i % 11 == 0 else "baseline", f"2022-08-{10 + i % 3}", rng.expovariate(0.01) if i % 50 else None)
+        for i in range(4000)
+    ] + [("/rare", "baseline", "2022-08-12", 3.0)]
+    spans = spark.createDataFrame(rows, "endpoint string, capture_root string, capture_date string, self_time_ms double")
+    store = TableStore(spark, str(tmp_path))
+    for date in ("2022-08-10", "2022-08-12", "2022-08-11", "2022-08-12"):  # one date comes twice
+        counts = selftime.self_time_counts(spans.filter(spans.capture_date == date), by_date=True)
+        store.write(counts, "self_time_counts", parts=["capture_date"])
+    once = selftime.latency_ceiling(spans).collect()
+    by_date = selftime.latency_ceiling(spans, counts=store.read("self_time_counts")).collect()
+    assert sorted(map(tuple, by_date)) == sorted(map(tuple, once)) and len(once) == 8

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import io
 import json
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from faultweave.config import ROOTS
 from faultweave.operators.logs import parse_log
 from faultweave.plans import normalise
-from faultweave.sources import canonical, labels, manifest, raw, tables, workspace
+from faultweave.sources import canonical, labels, listing, manifest, raw, tables, workspace
 
 TRACE = "TraceID,SpanID,ParentID,PodName,OperationName,StartTimeUnixNano,EndTimeUnixNano,Duration"
 METRIC = ("Time,TimeStamp,PodName,CpuUsage(m),CpuUsageRate(%),MemoryUsage(Mi),MemoryUsageRate(%),"
@@ -148,6 +149,68 @@ def test_row_counts(spark, captures):
                    "rca_data/trace": 1}
 
 
+def test_listing_matches_sparks_own_index(spark, captures, tmp_path):
+    odd = tmp_path / "rca_data" / "2023-05-05" / "trace" / "a b+c%.csv"
+    odd.write_text(TRACE + "\r\n")
+    args = (spark, captures, manifest.KINDS, ROOTS, manifest.METRIC_SUFFIX)
+    columns = ["relative_path", "root", "capture_date", "kind", "size_bytes", "header", "first_row"]
+    mine = sorted(map(tuple, manifest._listed(*args).select(columns).collect()))
+    bom = "\ufeff"
+    theirs = sorted(
+        (*r[:5], r[5] and r[5].removeprefix(bom), r[6])
+        for r in manifest._indexed(*args).select(columns).collect()
+    )
+    assert mine == theirs and any("a b+c%" in r[0] for r in mine)
+
+
+def test_first_lines():
+    def lines(data):
+        return listing.first_lines(io.BytesIO(data))
+
+    assert lines(b"") == [] and lines(b"\n") == [""] and lines(b"a") == ["a"]
+    assert lines(b"a\r\nb\rc") == ["a", "b"] and lines(b"\xef\xbb\xbfa\n") == ["a"]
+    long = b"x" * (listing.HEAD - 1)
+    assert lines(long + b"\r\nsecond\n") == [long.decode(), "second"]
+    assert lines(b"x" * (3 * listing.HEAD))[0] == "x" * (3 * listing.HEAD)
+
+
+def test_many_small_files_are_listed_in_tasks(spark, tmp_path):
+    for date in range(5):
+        folder = tmp_path / "construct_data" / f"2022-08-{date + 10}" / "trace"
+        folder.mkdir(parents=True)
+        for i in range(10_000):
+            (folder / f"{i}.csv").write_text("" if i % 1000 == 0 else "a,b\n1,2\n" if i % 2 else "a,b")
+    files = manifest.file_manifest(spark, str(tmp_path))
+    plan = files._jdf.queryExecution().toString()
+    assert "BatchScan capture_listing" in plan and "LocalRelation" not in plan
+    assert files.rdd.getNumPartitions() == 5
+    got = files.groupBy("capture_date").agg(
+        F.count("*").alias("n"), F.count_if(F.col("size_bytes") == 0).alias("empty")
+    ).collect()
+    assert {(r.n, r.empty) for r in got} == {(10_000, 10)} and len(got) == 5
+    checked = manifest.validate_columns(spark, str(tmp_path), expected={"trace": ["a", "b"]})
+    sums = checked.agg(F.count("*"), F.sum("row_count"), F.count_if(F.col("valid")), F.count("sample_row")).first()
+    assert tuple(sums) == (50_000, 25_000, 49_950, 25_000)
+
+
+def test_columns_in_another_order(spark, captures, tmp_path):
+    folder = tmp_path / "rca_data" / "2023-05-05" / "trace"
+    names = TRACE.split(",")
+    values = dict(zip(names, ["t3", "s9", "s1", "web-abc-x1", '"get, all"', "7", "8", "2500"])) | {"Extra": "more"}
+    turned = [*names[::-1], "Extra"]
+    lines = [",".join(f'"{c}"' for c in turned), ",".join(values[c] for c in turned)]
+    (folder / "turned.csv").write_text("\n".join(lines) + "\n")
+    (folder / "empty.csv").write_text("")
+    got = {r.span_id: r for r in raw.read_traces(spark, captures).collect()}
+    assert set(got) == {"s1", "s5", "s9"} and got["s1"].duration_ms == 1.5
+    s9 = got["s9"]
+    assert (s9.trace_id, s9.parent_span_id, s9.service_name, s9.endpoint, s9.start_ns, s9.end_ns, s9.duration_ms) == (
+        "t3", "s1", "web", "get, all", 7, 8, 2.5)
+    (folder / "lacking.csv").write_text("TraceID,SpanID\na,b\n")
+    with pytest.raises(ValueError, match="lacking.csv"):
+        raw.read_traces(spark, captures)
+
+
 def test_header_is_found_in_a_split_file(spark, tmp_path):
     folder = tmp_path / "construct_data" / "2022-08-22" / "trace"
     folder.mkdir(parents=True)
@@ -198,6 +261,64 @@ def test_store(spark, tmp_path):
     assert tuple(total) == (2, 3)
 
 
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    store.write(spark.range(5), "five")
+    fails = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        store.write(fails, "five")
+    assert store.read("five").count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["five"]
+
+
+def test_a_table_may_be_rewritten_from_itself(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    store.write(spark.range(5), "numbers")
+    store.write(store.read("numbers").filter("id > 1").union(spark.range(100, 102)), "numbers")
+    assert sorted(r.id for r in store.read("numbers").collect()) == [2, 3, 4, 100, 101]
+    assert [p.name for p in tmp_path.iterdir()] == ["numbers"]
+
+
+def test_a_switch_cut_short_is_finished_by_the_reader(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    store.write(spark.range(5), "five")
+    (tmp_path / "five").rename(tmp_path / "_old-five-0")
+    assert store.read("five").count() == 5 and store.read("six") is None
+
+
+def test_only_the_dates_at_hand_are_replaced(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+
+    def day(date, *values):
+        return spark.createDataFrame([(v, date) for v in values], "v int, capture_date string")
+
+    def stored():
+        return sorted((r.capture_date, r.v) for r in store.read("days").collect())
+
+    store.write(day("d1", 1, 2).union(day("d2", 3)), "days", parts=["capture_date"])
+    store.write(day("d2", 4, 5), "days", parts=["capture_date"])
+    assert stored() == [("d1", 1), ("d1", 2), ("d2", 4), ("d2", 5)]
+    bad = day("d1", 9).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        store.write(bad, "days", parts=["capture_date"])
+    assert stored() == [("d1", 1), ("d1", 2), ("d2", 4), ("d2", 5)]
+    again = store.read("days").filter("capture_date = 'd1'").select(F.expr("v + 10").alias("v"), "capture_date")
+    store.write(again, "days", parts=["capture_date"])
+    assert stored() == [("d1", 11), ("d1", 12), ("d2", 4), ("d2", 5)]
+
+
+@pytest.mark.parametrize("low, high, parts", [(0, 99, 7), (-5, 5, 4), (3, 3, 8), (0, 2, 16), (0, 10**18, 32)])
+def test_ranges_part_a_database_table(spark, low, high, parts):
+    values = [None, low - 10, low, low + 1, (low + high) // 2, high - 1, high, high + 10]
+    rows = spark.createDataFrame([(v,) for v in values], "key long")
+    conditions = tables.ranges("key", low, high, parts)
+    assert 1 <= len(conditions) <= parts
+    hits = rows.select(*[F.coalesce(F.expr(c).cast("int"), F.lit(0)).alias(f"p{i}") for i, c in enumerate(conditions)])
+    assert all(sum(r) == 1 for r in hits.collect())
+    with pytest.raises(ValueError):
+        tables.ranges("key; drop", 0, 1, 2)
+
+
 def test_broken_table_is_an_error_not_an_absence(spark, tmp_path):
     store = tables.TableStore(spark, str(tmp_path))
     store.write(spark.range(3), "good")

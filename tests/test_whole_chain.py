@@ -126,5 +126,6 @@ def test_many_services_in_one_minute_are_shared_out(spark):
     )
     paired = callgraph.paired_series(rates)
     assert paired.count() == 2000 * 1999 // 2
-    shared = rates.selectExpr(f"pmod(xxhash64(service_name), {callgraph.PAIR_SHARES}) AS s").groupBy("s").count()
-    assert max(r["count"] for r in shared.collect()) < 2000 * 2 / callgraph.PAIR_SHARES
+    shares = -(-2000 // callgraph.SHARE_SERVICES)
+    shared = rates.selectExpr(f"pmod(xxhash64(service_name), {shares}) AS s").groupBy("s").count()
+    assert max(r["count"] for r in shared.collect()) < 2 * callgraph.SHARE_SERVICES
