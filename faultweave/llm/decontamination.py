@@ -13,10 +13,11 @@ most three times the item's words less twice the words it must be worth.
 1. The corpus is read with a bitmap of all items' pairs, made by aggregation and of fixed
    size, and the occurrences of each pair are counted.
 2. Seeds: an item's rarest pairs, taken until the pairs left, each counted as often as it
-   stands in the item, can't make up an accepted alignment. Absent pairs are the rarest.
+   stands in the item, are at most half of those that an accepted alignment needs. Absent pairs
+   are the rarest.
 3. The corpus is read for seeds. Texts are cut into passages of twice the longest accepted
    span of an item's size class, each half over the next, so that every alignment lies
-   wholly in one. Passage and item go on where they share a seed.
+   wholly in one. Passage and item go on where they share as many seeds as are then needed.
 4. Only these passages are read as words. Those with enough of the item's pairs are aligned.
    Equal texts are read once.
 
@@ -46,6 +47,8 @@ LEAST_WORDS = 3
 LOG_BITS = 27
 MATCH, MISMATCH, SKIP = 2, -1, -1
 THRESHOLD = 0.5
+# Pairs that are no seeds: at most this share of those that an alignment needs.
+REST = 0.5
 # An alignment worth so many words is enough by itself, however long the item.
 LONG_WORDS = 50
 
@@ -128,18 +131,21 @@ def pair_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def rare_seeds(pairs: DataFrame, often: DataFrame, threshold: float) -> DataFrame:
-    """entry, gram and class: of each item the rarest pairs without which no alignment is accepted."""
+    """entry, gram, times, class and least: of each item its rarest pairs, and how many of them,
+    each counted as often as it stands in the item, an accepted alignment has at least.
+
+    An alignment needs so many of all pairs; those left out here are too few to make up more
+    than the share REST of that.
+    """
     counted = pairs.join(often, "gram", "left")
-    rarest = Window.partitionBy("entry").orderBy(F.coalesce("often", F.lit(0)), "gram")
-    left = F.sum("times").over(Window.partitionBy("entry")) - F.coalesce(
-        F.sum("times").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    kept = counted.withColumn("left", left).filter(
-        F.col("left") + 1 >= wanted_words(F.col("n_words"), threshold)
-    )
+    item = Window.partitionBy("entry")
+    rarest = item.orderBy(F.coalesce("often", F.lit(0)), "gram").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    needed = wanted_words(F.col("n_words"), threshold) - 1
+    ranked = counted.withColumn("kept", F.sum("times").over(rarest) > needed * REST)
+    left_out = F.sum(F.when(F.col("kept"), 0).otherwise(F.col("times"))).over(item)
     # A pair that the corpus lacks is a seed that nothing meets.
-    kept = kept.filter(F.col("often").isNotNull())
-    return kept.select("entry", "gram", span_class(F.col("n_words"), threshold).alias("class"))
+    seeds = ranked.withColumn("least", needed - left_out).filter("kept AND often IS NOT NULL")
+    return seeds.select("entry", "gram", "times", span_class(F.col("n_words"), threshold).alias("class"), "least")
 
 
 def _key() -> Column:
@@ -302,9 +308,9 @@ def _found(docs: DataFrame, items: DataFrame, threshold: float) -> tuple[DataFra
     classes = sorted(r["class"] for r in seeds.select("class").distinct().collect())
     found = materialise(seed_hits(docs, bitmap(seeds), classes or [0]), "hits")
     hits = found.select("key", F.explode("hits").alias("hit")).select("key", "hit.class", "hit.passage", "hit.gram")
-    met = materialise(
-        hits.join(seeds, ["class", "gram"]).select("key", "class", "passage", "entry").distinct(), "met"
-    )
+    shared = hits.join(seeds, ["class", "gram"]).groupBy("key", "class", "passage", "entry", "least")
+    enough = shared.agg(F.sum("times").alias("n")).filter(F.col("n") >= F.col("least"))
+    met = materialise(enough.select("key", "class", "passage", "entry"), "met")
     words = passage_words(docs, met, classes or [0])
     scored = score_passages(met.join(words, ["key", "class", "passage"]).join(entries, "entry"), threshold)
     named = scored.join(entries, "entry").join(items, "item")
