@@ -2,6 +2,13 @@
 
 Every stage works on all documents that the stage before it kept. All but the last return
 the columns of `documents`.
+
+Defined results in all stages: further columns are carried along whatever their names, and an
+empty table gives none. Texts are read whole; a null or empty text is not toxic unless the
+model's bias says so, is no duplicate, holds no benchmark item, is taken 0 times by the mix and
+would be stored as its end alone. Rows without an id are duplicates of each other only where
+their texts are equal, are judged by their text in the other stages, and come first in the token
+files. Of repeated rows the second stage keeps one.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ the probability of the label.
 
 Fitting uses a bounded sample: at most about MAX_POSITIVE confirmed examples and
 MAX_UNLABELLED unlabelled documents, each kept by a hash of its id against a share that is
-computed from exact counts. The prior is the share of toxic among all labelled rows that
+computed from exact counts. Which features tell toxic text from other text is counted over all
+documents that may be learnt from. The prior is the share of toxic among all labelled rows that
 may be learnt from. The fit is a few numpy arrays on the driver; every document is scored
 in its own partition.
 
@@ -19,6 +20,7 @@ rows; further columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import fsum
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import REMEMBERED, chunks, fold_of, words_folded
+from faultweave.llm.common import REMEMBERED, Memory, chunks, fold_of, words_folded
 from faultweave.sources.workspace import materialise
 
 MAX_POSITIVE = 6_000
@@ -132,28 +134,60 @@ def _share(limit: int, count: int) -> float:
     return min(1.0, limit / count) if count else 0.0
 
 
-def choose(sample: DataFrame, n_p: int, n_u: int) -> DataFrame:
-    """feature, p, u: the features whose share among positives exceeds that in all text most,
-    in deviations. `sample`: positive (boolean) and text. Counted where the texts lie."""
+class _Held(Memory):
+    """Those of the given features that a word has."""
+
+    def __init__(self, wanted: frozenset[str]):
+        super().__init__(REMEMBERED)
+        self.wanted = wanted
+
+    def compute(self, word: bytes) -> tuple[str, ...]:
+        return tuple(f for f in features(word) if f in self.wanted)
+
+
+def documents_with(docs: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
+    """feature and n: in how many of the texts each feature stands, of those wanted only or of all."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
-            counts: dict[str, list[int]] = {}
-            for positive, text in zip(batch.column("positive").to_pylist(), texts):
-                for f in {f for w in set(words_folded(text)) for f in features(w)}:
-                    counts.setdefault(f, [0, 0])[not positive] += 1
-            yield pa.record_batch(
-                [pa.array(list(counts)), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))],
-                names=["feature", "p", "u"],
+        held = None if shared.value is None else _Held(shared.value)
+        counts: Counter[str] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["feature", "n"]
             )
 
-    counted = sample.select("positive", "text").mapInArrow(read, "feature string, p long, u long")
-    counted = counted.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    p, u = F.col("p") / n_p, (F.col("u") + 0.5) / (n_u + 1)
-    telling = (p - u) / F.sqrt(u / n_p)
-    supported = counted.filter((F.col("p") >= min(MIN_POSITIVE, n_p)) & (p > u))
+        for _, texts in chunks(batches):
+            for text in texts:
+                words = set(words_folded(text))
+                counts.update({f for w in words for f in (features(w) if held is None else held[w])})
+            if len(counts) > REMEMBERED:
+                yield rows()
+                counts.clear()
+        yield rows()
+
+    partial = docs.select("text").mapInArrow(read, "feature string, n long")
+    return partial.groupBy("feature").agg(F.sum("n").alias("n"))
+
+
+def choose(positive: DataFrame, unlabelled: DataFrame, n_p: int, n_u: int) -> list[tuple[str, int]]:
+    """(feature, p): the features whose share among positives exceeds that in all text most, in
+    deviations.
+
+    What the positives hold often enough comes from their bounded sample; how often the same
+    stands elsewhere is counted over all of `unlabelled`.
+    """
+    often = documents_with(positive).filter(F.col("n") >= min(MIN_POSITIVE, n_p)).collect()
+    p = {r["feature"]: r["n"] for r in often}
+    u = {r["feature"]: r["n"] for r in documents_with(unlabelled, frozenset(p)).collect()}
+    found = []
+    for feature, n in p.items():
+        here, there = n / n_p, (u.get(feature, 0) + 0.5) / (n_u + 1)
+        if here > there:
+            found.append((-(here - there) / (there / n_p) ** 0.5, feature, n))
     limit = min(MAX_FEATURES, max(MIN_FEATURES, n_p // 2))
-    return supported.orderBy(telling.desc(), "feature").limit(limit)
+    return [(feature, n) for _, feature, n in sorted(found)[:limit]]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -182,8 +216,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
         return NOTHING
-    rows = choose(sample, n_p, n_u).collect()
-    index = {r["feature"]: i for i, r in enumerate(rows)}
+    rows = choose(sample.filter("positive"), usable, n_p, n_docs)
+    index = {feature: i for i, (feature, _) in enumerate(rows)}
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
@@ -196,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     examples = sample.mapInArrow(hold, "positive boolean, held array<int>").collect()
     parts = [sorted(list(e["held"]) for e in examples if e["positive"] == side) for side in (True, False)]
-    return fit(list(index), [r["p"] / n_p for r in rows], *parts, n_toxic / n_known)
+    return fit(list(index), [n / n_p for _, n in rows], *parts, n_toxic / n_known)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -579,3 +579,39 @@ def test_a_very_long_text_meets_only_items_it_may_hold(spark, prose, monkeypatch
     (row,) = decontamination.contamination(docs, bench).collect()
     assert (row["doc_id"], row["item_id"], row["end_word"]) == (1, 7, 20_025) and row["score"] == pytest.approx(25 / 30)
     assert aligned[0] <= 20
+
+
+def test_feature_counts_cover_all_text(spark, prose):
+    texts = [prose(40 + i, i, vocabulary=200) for i in range(50)] + ["", None]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], DOC).repartition(5)
+    want = Counter()
+    for text in texts:
+        words = set((text or "").lower().replace(".", " ").replace(",", " ").split())
+        want.update({f for w in words for f in toxicity.features(w.encode())})
+    some = frozenset(list(want)[::3])
+    assert {r["feature"]: r["n"] for r in toxicity.documents_with(docs).collect()} == want
+    assert {r["feature"]: r["n"] for r in toxicity.documents_with(docs, some).collect()} == {f: want[f] for f in some}
+
+
+def test_the_estimated_risk_stays_above_zero():
+    """Against the risk written out: the fit ends below its start, and its negative part is not driven below zero."""
+    rng = np.random.default_rng(3)
+    prior, size = 0.2, 30
+    tells = rng.random(size) < 0.3
+    positive = [np.flatnonzero(rng.random(size) < np.where(tells, 0.5, 0.1)).tolist() for _ in range(60)]
+    mixed = [np.flatnonzero(rng.random(size) < np.where(tells & (rng.random() < prior), 0.5, 0.1)).tolist() for _ in range(400)]
+    supports = [sum(i in h for h in positive) / len(positive) for i in range(size)]
+    model = toxicity.fit([str(i) for i in range(size)], supports, positive, mixed, prior)
+    weights = np.array([model.weights[str(i)] for i in range(size)])
+
+    def parts(w, bias):
+        z = lambda held: np.array([w[h].sum() + bias for h in held])
+        towards = prior * np.logaddexp(0, -z(positive)).mean()
+        away = np.logaddexp(0, z(mixed)).mean() - prior * np.logaddexp(0, z(positive)).mean()
+        return towards, away
+
+    start = parts(np.zeros(size), np.log(prior / (1 - prior)))
+    end = parts(weights, model.bias)
+    assert end[0] + max(end[1], 0) < start[0] + max(start[1], 0)
+    assert end[1] > -0.02
+    assert weights[tells].mean() > weights[~tells].mean() + 0.3
