@@ -549,7 +549,8 @@ add(
 
 
 def _signals(s: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    ts = series(s, sf)
+    # Written: three detectors and their baselines read it.
+    ts = workspace.materialise(series(s, sf), "series")
     return (
         anomalies.detect_error_rate_anomalies(ts),
         anomalies.detect_latency_anomalies(ts),
