@@ -77,13 +77,19 @@ def test_capture_without_faults(spark, tmp_path):
     assert "ground_truth_evaluation" not in run_sql_reports(spark, telemetry, store)
 
 
-def test_columns_in_another_order_are_an_error(spark, tmp_path):
+def test_columns_in_another_order_are_read_by_their_header(spark, tmp_path):
     path = capture(tmp_path / "in")
     other = tmp_path / "in" / "construct_data" / "2022-08-22" / "metric" / "other_metric.csv"
     head = METRIC.replace("CpuUsage(m)", "?").replace("MemoryUsage(Mi)", "CpuUsage(m)").replace("?", "MemoryUsage(Mi)")
     other.write_text(f"{head}\nx,{START},p-x-1,1,0,2,0,1,1\n")
-    with pytest.raises(Exception, match="header"):
-        raw.read_metrics(spark, path).collect()
+    rows = {r.pod_id: r for r in raw.read_metrics(spark, path).collect()}
+    assert (rows["p-x-1"].cpu_usage_mcores, rows["p-x-1"].memory_usage_mb) == (2.0, 1.0)
+    assert len(rows) > 1
+    # Where tasks can't list the files, such a file is still never read for another.
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(raw.listing, "can_list", lambda path: False)
+        with pytest.raises(Exception, match="header"):
+            raw.read_metrics(spark, path).collect()
 
 
 def test_injection_windows(spark):
