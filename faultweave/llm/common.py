@@ -20,8 +20,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Words remembered per Python worker; beyond it the memory is emptied, results don't change.
-REMEMBERED = 400_000
+# Words remembered per Python worker.
+REMEMBERED = 160_000
 # Characters of text handled at once inside a batch; single longer texts are handled alone.
 CHUNK_CHARS = 1 << 21
 
@@ -107,17 +107,14 @@ class Memory(dict):
         return value
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered per worker."""
+class WordHashes(Memory):
+    """64-bit hash of each word."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    def compute(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
 
 
-_hashes = WordHashes()
+_hashes = WordHashes(REMEMBERED)
 
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

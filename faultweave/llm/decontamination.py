@@ -11,15 +11,15 @@ pair, else two at least; and since every word beyond the matches costs a point,
 most three times the item's words less twice the words it must be worth.
 
 1. The corpus is read with a bitmap of all items' pairs, made by aggregation and of fixed
-   size, and the occurrences of each pair are counted.
+   size; the distinct pairs of each document are kept, and counted over all documents.
 2. Seeds: an item's rarest pairs, taken until the pairs left, each counted as often as it
    stands in the item, are at most half of those that an accepted alignment needs. Absent pairs
-   are the rarest.
-3. The corpus is read for seeds. Texts are cut into passages of twice the longest accepted
-   span of an item's size class, each half over the next, so that every alignment lies
-   wholly in one. Passage and item go on where they share as many seeds as are then needed.
-4. Only these passages are read as words. Those with enough of the item's pairs are aligned.
-   Equal texts are read once.
+   are the rarest. A document goes on if it shares as many seeds with an item as are then needed.
+3. Only these documents are read again. Their texts are cut into passages of twice the longest
+   accepted span of an item's size class, each half over the next, so that every alignment
+   lies wholly in one. Passage and item go on where they share the seeds that are still needed.
+4. The passages that go on are read as words; those with enough of the item's pairs are aligned.
+   Equal texts count once.
 
 No step loses an alignment, and a long text meets only the items of which a passage holds rare
 pairs.
@@ -115,19 +115,32 @@ def wanted_words(n_words: Column, threshold: float) -> Column:
     return F.least(n_words * threshold, F.lit(LONG_WORDS))
 
 
-def pair_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """gram and often: occurrences in the corpus of every pair that the bitmap lets through."""
+def pair_hits(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """row, doc_id, key, grams: the distinct pairs of each document that the bitmap lets through.
+
+    key: the digest of the text. Documents without such pairs give no row.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for _, texts in chunks(batches):
-            _, pairs = pairs_of([words_folded(t) for t in texts])
-            grams, often = np.unique(pairs[_known(bits, pairs)], return_counts=True)
-            yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(often)], names=["gram", "n"])
+        for batch, texts in chunks(batches):
+            of, pairs = pairs_of([words_folded(t) for t in texts])
+            hit = _known(bits, pairs)
+            of, pairs = of[hit], pairs[hit]
+            order = np.lexsort((pairs, of))
+            of, pairs = of[order], pairs[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (pairs[1:] != pairs[:-1])
+            of, pairs = of[new], pairs[new]
+            texts_hit, starts = np.unique(of, return_index=True)
+            taken = batch.select(["row", "doc_id", "key"]).take(pa.array(texts_hit))
+            offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
+            grams = pa.ListArray.from_arrays(offsets, pa.array(pairs.view(np.int64)))
+            yield pa.record_batch([*taken.columns, grams], names=["row", "doc_id", "key", "grams"])
 
-    partial = docs.select("text").mapInArrow(read, "gram long, n long")
-    return partial.groupBy("gram").agg(F.sum("n").alias("often"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _key().alias("key"), "text")
+    return rows.mapInArrow(read, "row long, doc_id long, key string, grams array<long>")
 
 
 def rare_seeds(pairs: DataFrame, often: DataFrame, threshold: float) -> DataFrame:
@@ -152,19 +165,20 @@ def _key() -> Column:
     return F.md5(text_of().cast("binary"))
 
 
-def seed_hits(docs: DataFrame, bits: np.ndarray, classes: list[int]) -> DataFrame:
-    """row, doc_id, key, hits: for each document its distinct (class, passage, gram) of the pairs
-    that the bitmap lets through.
+def passage_hits(docs: DataFrame, keys: np.ndarray, bits: np.ndarray, classes: list[int]) -> DataFrame:
+    """key, hits: for each text of the first bitmap its distinct (class, passage, gram) of the pairs
+    that the second one lets through.
 
-    key: the digest of the text. Passage p of class c holds the words from p * 2 ** c up to
-    (p + 2) * 2 ** c. Documents without such pairs give no row.
+    Passage p of class c holds the words from p * 2 ** c up to (p + 2) * 2 ** c.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    context = docs.sparkSession.sparkContext
+    shared_keys, shared = context.broadcast(keys), context.broadcast(bits)
     kind = pa.struct([("class", pa.int32()), ("passage", pa.int32()), ("gram", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch, texts in chunks(batches):
+        keys, bits = shared_keys.value, shared.value
+        asked = (b.filter(pa.array(_known(keys, b.column("k").to_numpy(zero_copy_only=False).view(np.uint64)))) for b in batches)
+        for batch, texts in chunks(asked):
             of, pairs, place = pairs_of([words_folded(t) for t in texts], places=True)
             hit = _known(bits, pairs)
             of, pairs, place = of[hit], pairs[hit], place[hit]
@@ -183,16 +197,14 @@ def seed_hits(docs: DataFrame, bits: np.ndarray, classes: list[int]) -> DataFram
             new[1:] = ~new[1:]
             of, c, passage, pairs = of[new], c[new], passage[new], pairs[new]
             texts_hit, starts = np.unique(of, return_index=True)
-            taken = batch.select(["row", "doc_id", "key"]).take(pa.array(texts_hit))
+            taken = batch.select(["key"]).take(pa.array(texts_hit))
             offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
             columns = [pa.array(c, pa.int32()), pa.array(passage, pa.int32()), pa.array(pairs.view(np.int64))]
             hits = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=list(kind)))
-            yield pa.record_batch([*taken.columns, hits], names=["row", "doc_id", "key", "hits"])
+            yield pa.record_batch([*taken.columns, hits], names=["key", "hits"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _key().alias("key"), "text")
-    return rows.mapInArrow(
-        read, "row long, doc_id long, key string, hits array<struct<class:int,passage:int,gram:long>>"
-    )
+    rows = docs.select(_key().alias("key"), F.xxhash64(_key()).alias("k"), "text")
+    return rows.mapInArrow(read, "key string, hits array<struct<class:int,passage:int,gram:long>>")
 
 
 def _passage_hash(key: np.ndarray, c: np.ndarray | int, passage: np.ndarray) -> np.ndarray:
@@ -303,12 +315,18 @@ def _found(docs: DataFrame, items: DataFrame, threshold: float) -> tuple[DataFra
         items.select("item").distinct().withColumn("entry", F.monotonically_increasing_id()), "items"
     )
     pairs = materialise(item_pairs(entries), "pairs")
-    seeds = materialise(rare_seeds(pairs, pair_counts(docs, bitmap(pairs)), threshold), "seeds")
+    found = materialise(pair_hits(docs, bitmap(pairs)), "hits")
+    often = found.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("often"))
+    seeds = materialise(rare_seeds(pairs, often, threshold), "seeds")
     # At most one class per power of two of an item's words.
     classes = sorted(r["class"] for r in seeds.select("class").distinct().collect())
-    found = materialise(seed_hits(docs, bitmap(seeds), classes or [0]), "hits")
-    hits = found.select("key", F.explode("hits").alias("hit")).select("key", "hit.class", "hit.passage", "hit.gram")
-    shared = hits.join(seeds, ["class", "gram"]).groupBy("key", "class", "passage", "entry", "least")
+    seeded = found.select("row", "key", F.explode("grams").alias("gram")).join(seeds, "gram")
+    seeded = seeded.groupBy("row", "key", "entry", "least").agg(F.sum("times").alias("n")).filter("n >= least")
+    keys = bitmap(seeded.select(F.xxhash64("key").alias("gram")).distinct())
+    passages = passage_hits(docs, keys, bitmap(seeds), classes or [0])
+    hits = passages.select("key", F.explode("hits").alias("hit")).select("key", "hit.class", "hit.passage", "hit.gram")
+    # Copies of a text have the same passages.
+    shared = hits.distinct().join(seeds, ["class", "gram"]).groupBy("key", "class", "passage", "entry", "least")
     enough = shared.agg(F.sum("times").alias("n")).filter(F.col("n") >= F.col("least"))
     met = materialise(enough.select("key", "class", "passage", "entry"), "met")
     words = passage_words(docs, met, classes or [0])

@@ -71,7 +71,7 @@ class Model:
         found: set[str] = set()
         for word in set(words_folded(text)):
             if word not in self.met:
-                if len(self.met) >= REMEMBERED:
+                if len(self.met) >= REMEMBERED:  # few words make up most of a text: they are soon back
                     self.met.clear()
                 self.met[word] = [f for f in features(word) if f in self.weights]
             found.update(self.met[word])
