@@ -8,9 +8,9 @@ smoothed share of its leaf, (c + 0.5) over the leaf's sum, which includes 0.5 fo
 unknown word; so all probabilities add up to one.
 
 Features of a position at each level: the previous word, the word before it (a skip), each in
-place of itself its class if it is met seldom, and both words' top classes together; each with
-the class reached so far, hashed to a number of rows that follows the
-training tokens, up to MODEL_BYTES. A row counts which child came next. The weight of a
+place of itself its class if it is met seldom, and both words' top classes together; hashed to
+the rows of the class reached so far, of which a class has as many as its share of the training
+tokens, all within MODEL_BYTES. A row counts which child came next. The weight of a
 feature for a child is the log of the child's smoothed share of the row over its share without
 context, times a factor; factors belong to the level, the template and the binary
 magnitude of the row's count.
@@ -32,9 +32,10 @@ each; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -47,22 +48,22 @@ from faultweave.sources.workspace import materialise, release
 FOLDS, HELD_OUT = 5, 1
 KNOWN = 1 << 18
 # Children of a class at most.
-WIDTH = 64
+WIDTH = 24
 # Bytes of all rows at most, and training tokens per row of a template.
 MODEL_BYTES, ROW_TOKENS = 1 << 26, 4
 TEMPLATES = 3
 ROUNDS = 2
-BATCH = 4096
+BATCH = 1 << 14
 # Counts that the share without context is worth in a row.
-PRIOR = 8.0
+PRIOR = 16.0
 # Occurrences from which a word is a context of its own.
 OFTEN = 16
 # Binary magnitudes of a row's count, factors to begin with, and the curvature that holds them there.
 MAGNITUDES, START, HOLD = 20, 0.5, 10.0
 # Partial word counts are passed on when a task holds so many words.
 FLUSH = 300_000
-# Tasks per core in which rows are counted: each sends the rows that it touched.
-TASKS = 4
+# Cells of rows that are sent and added together.
+BLOCK = 1 << 16
 # The end of a text; no word can hold a line feed.
 END = b"\n"
 
@@ -165,28 +166,48 @@ def vocabulary(counts: DataFrame, n_docs: int) -> Vocabulary:
 
 @dataclass
 class Model:
-    """Counts of the rows by level, their sums, the shares without context, and the factors."""
+    """Counts of the rows by level, the log ratios that follow from them, and the factors.
 
-    rows: int
-    counts: np.ndarray  # levels, TEMPLATES * rows, width
-    sums: np.ndarray  # levels, TEMPLATES * rows
+    The rows of a template and level are dealt to the classes by their share of the tokens, so
+    that a row belongs to one class.
+    """
+
+    first: list[np.ndarray]  # per level: first row of every class
+    rows: list[np.ndarray]  # per level: number of rows of every class
     shares: list[np.ndarray]  # per level: classes, width
+    counts: list[np.ndarray]  # per level: TEMPLATES, rows, width
+    sums: list[np.ndarray]  # per level: TEMPLATES, rows
+    ratios: list[np.ndarray]  # per level: TEMPLATES, rows, width
     factors: np.ndarray  # levels, TEMPLATES, MAGNITUDES
 
     @property
     def width(self) -> int:
-        return self.counts.shape[2]
+        return self.shares[0].shape[1]
 
     @property
     def levels(self) -> int:
-        return self.counts.shape[0]
+        return len(self.shares)
 
 
 def rows_for(vocab: Vocabulary) -> int:
-    """Rows per template and level, a power of two."""
-    most = MODEL_BYTES // (4 * TEMPLATES * vocab.levels * vocab.width)
-    wanted = min(max(vocab.tokens // ROW_TOKENS, 1 << 10), most)
-    return 1 << (wanted.bit_length() - 1)
+    """Rows per template and level that are dealt to the classes."""
+    # Counts and ratios are four bytes each.
+    most = MODEL_BYTES // (8 * TEMPLATES * vocab.levels * vocab.width)
+    return min(max(vocab.tokens // ROW_TOKENS, 1 << 10), most)
+
+
+def deal_rows(vocab: Vocabulary) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """First row and number of rows of every class, by level; one row at least for each."""
+    width, levels, total = vocab.width, vocab.levels, rows_for(vocab)
+    mass = np.zeros(width**levels)
+    mass[: vocab.leaves - 1] = vocab.counts + 0.5
+    mass[vocab.leaves - 1] = vocab.rare_sum
+    first, rows = [], []
+    for level in range(levels):
+        share = mass.reshape(width**level, -1).sum(1) / mass.sum()
+        rows.append(np.maximum(1, np.floor(share * total)).astype(np.int64))
+        first.append(np.cumsum(rows[-1]) - rows[-1])
+    return first, rows
 
 
 def without_context(vocab: Vocabulary) -> list[np.ndarray]:
@@ -236,9 +257,9 @@ def _at(codes: np.ndarray, width: int, levels: int, level: int) -> tuple[np.ndar
     return child // width, child % width
 
 
-def _rows(contexts: np.ndarray, classes: np.ndarray, rows: int) -> np.ndarray:
-    hashed = _hash(contexts, classes[None, :] + 1)
-    return (hashed >> np.uint64(36)).astype(np.int64) % rows + np.arange(TEMPLATES)[:, None] * rows
+def _rows(contexts: np.ndarray, classes: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    hashed = _hash(contexts) >> np.uint64(20)
+    return first[classes] + (hashed % rows[classes].astype(np.uint64)).astype(np.int64)
 
 
 def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -248,72 +269,82 @@ def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return codes, lengths, split
 
 
+def log_ratios(counts: np.ndarray, sums: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log of the smoothed shares of a row's children over their shares without context."""
+    share = share.astype(np.float64)
+    return np.log((counts + PRIOR * share) / ((sums + PRIOR) * share))
+
+
 def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
     """The model with the rows counted over all training documents and the factors' start."""
-    width, levels, rows = vocab.width, vocab.levels, rows_for(vocab)
-    size = levels * TEMPLATES * rows * width
+    width, levels = vocab.width, vocab.levels
+    first, rows = deal_rows(vocab)
+    sizes = [int(r.sum()) * width for r in rows]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = shared.value, np.zeros((levels, size // levels), np.int32)
+        words, totals = shared.value, [np.zeros(TEMPLATES * size, np.int32) for size in sizes]
         for _, texts in chunks(batches):
             codes, lengths, _ = _tokens(words, texts)
             contexts = contexts_of(words, codes, lengths)
-            for level in range(levels):
+            for level, total in enumerate(totals):
                 classes, child = _at(codes, width, levels, level)
-                cells = _rows(contexts, classes, rows) * width + child[None, :]
-                total[level] += np.bincount(cells.ravel(), minlength=size // levels).astype(np.int32)
-        touched, total = np.flatnonzero(total), total.ravel()
-        for start in range(0, len(touched), 1 << 16):
-            part = touched[start : start + (1 << 16)]
-            n = pa.array(total[part].astype(np.int64))
-            yield pa.record_batch([pa.array(part.astype(np.int32)), n], names=["cell", "n"])
-
-    # Every task holds one table of fixed size; a few tasks a core keep all cores busy.
-    tasks = TASKS * training.sparkSession.sparkContext.defaultParallelism
-    partial = training.select("text").coalesce(tasks).mapInArrow(count, "cell int, n long")
-    found = partial.groupBy("cell").agg(F.sum("n").cast("float").alias("n")).toArrow()
-    counts = np.zeros(size, np.float32)
-    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    counts = counts.reshape(levels, TEMPLATES * rows, width)
-    factors = np.full((levels, TEMPLATES, MAGNITUDES), START)
-    return Model(rows, counts, counts.sum(2, dtype=np.float64).astype(np.float32), without_context(vocab), factors)
-
-
-def _weights(
-    model: Model, level: int, classes: np.ndarray, rows: np.ndarray, own: np.ndarray | None = None
-) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Logits without context, log ratios per template and their magnitudes.
-
-    With `own`, the children of the tokens themselves, each token's count is left out.
-    """
-    share = np.take(model.shares[level], classes, axis=0)
-    start = np.log(share)
-    smooth = share * np.float32(PRIOR)
-    ratios, magnitudes = [], np.empty(rows.shape, np.int64)
-    at = np.arange(len(classes))
-    for template in range(TEMPLATES):
-        counts = np.take(model.counts[level], rows[template], axis=0)
-        sums = model.sums[level][rows[template]]
-        if own is not None:
-            counts[at, own] -= 1
-            sums = sums - 1
-        counts += smooth
-        np.log(counts, out=counts)
-        counts -= start
-        # The share of a child that the row never saw falls with the row's count.
-        counts -= np.log(sums + np.float32(PRIOR))[:, None]
-        ratios.append(counts)
-        magnitudes[template] = np.minimum(np.log2(np.maximum(sums, 0) + 1).astype(np.int64), MAGNITUDES - 1)
-    return start, ratios, magnitudes
-
-
-def _logits(model: Model, level: int, start: np.ndarray, ratios: list[np.ndarray], magnitudes: np.ndarray) -> np.ndarray:
-    logits = start.copy()
+                cells = _rows(contexts, classes, first[level], rows[level]) * width + child[None, :]
+                for template in range(TEMPLATES):
+                    part = total[template * sizes[level] : (template + 1) * sizes[level]]
+                    part += np.bincount(cells[template], minlength=sizes[level]).astype(np.int32)
+        for level, total in enumerate(totals):
+            # Blocks of cells; what a task never touched is not sent.
+            for start in range(0, len(total), BLOCK):
+                block = total[start : start + BLOCK]
+                if block.any():
+                    packed = zlib.compress(block.astype("<i4").tobytes(), 1)
+                    kinds = (pa.int32(), pa.int32(), pa.binary())
+                    yield pa.record_batch(
+                        [pa.array([v], k) for v, k in zip((level, start // BLOCK, packed), kinds)],
+                        names=["level", "block", "counts"],
+                    )
+
+    def add(keys: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BLOCK)
+        for batch in batches:
+            for packed in batch.column("counts").to_pylist():
+                counts = np.frombuffer(zlib.decompress(packed), "<i4")
+                total[: len(counts)] += counts
+        packed = zlib.compress(total.astype("<f4").tobytes(), 1)
+        yield pa.record_batch(
+            [pa.array([keys[0].as_py()], pa.int32()), pa.array([keys[1].as_py()], pa.int32()), pa.array([packed])],
+            names=["level", "block", "counts"],
+        )
+
+    # Every task holds one table of fixed size; a task a core keeps all cores busy.
+    tasks = training.sparkSession.sparkContext.defaultParallelism
+    schema = "level int, block int, counts binary"
+    partial = training.select("text").coalesce(tasks).mapInArrow(count, schema)
+    flat = [np.zeros(-(-TEMPLATES * size // BLOCK) * BLOCK, np.float32) for size in sizes]
+    for row in partial.groupBy("level", "block").applyInArrow(add, schema).collect():
+        at = row["block"] * BLOCK
+        flat[row["level"]][at : at + BLOCK] = np.frombuffer(zlib.decompress(row["counts"]), "<f4")
+    shares = without_context(vocab)
+    counts = [f[: TEMPLATES * size].reshape(TEMPLATES, -1, width) for f, size in zip(flat, sizes)]
+    sums = [c.sum(2, dtype=np.float64) for c in counts]
+    ratios = [
+        log_ratios(c, n[:, :, None], np.repeat(share, r, axis=0)[None]).astype(np.float32)
+        for c, n, share, r in zip(counts, sums, shares, rows)
+    ]
+    return Model(first, rows, shares, counts, sums, ratios, np.full((levels, TEMPLATES, MAGNITUDES), START))
+
+
+def _logits(model: Model, level: int, classes: np.ndarray, ratios: list[np.ndarray], magnitudes: np.ndarray) -> np.ndarray:
+    logits = np.log(np.take(model.shares[level], classes, axis=0))
     for template in range(TEMPLATES):
         logits += ratios[template] * model.factors[level, template, magnitudes[template]].astype(np.float32)[:, None]
     return logits
 
 
+def _magnitudes(sums: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(sums, 0) + 1).astype(np.int64), MAGNITUDES - 1)
+
+
 def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each leaf; the share inside the last leaf is left out."""
     out = np.zeros(len(codes))
@@ -321,8 +352,10 @@ def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) ->
         part = codes[a : a + BATCH]
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
-            rows = _rows(contexts[:, a : a + BATCH], classes, model.rows)
-            logits = _logits(model, level, *_weights(model, level, classes, rows))
+            rows = _rows(contexts[:, a : a + BATCH], classes, model.first[level], model.rows[level])
+            ratios = [np.take(model.ratios[level][t], rows[t], axis=0) for t in range(TEMPLATES)]
+            sums = np.stack([model.sums[level][t][rows[t]] for t in range(TEMPLATES)])
+            logits = _logits(model, level, classes, ratios, _magnitudes(sums))
             logits -= logits.max(1, keepdims=True)
             picked = logits[np.arange(len(part)), child].astype(float)
             np.exp(logits, out=logits)
@@ -330,6 +363,25 @@ def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) ->
     return out
 
 
+def without_own(
+    model: Model, level: int, classes: np.ndarray, child: np.ndarray, rows: np.ndarray
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """Ratios of each token's rows with the token itself left out, and their magnitudes.
+
+    Leaving it out of the row's sum moves all children's ratios alike.
+    """
+    at, share = np.arange(len(child)), model.shares[level][classes, child].astype(np.float64)
+    ratios, magnitudes = [], np.empty(rows.shape, np.int64)
+    for t in range(TEMPLATES):
+        found = np.take(model.ratios[level][t], rows[t], axis=0)
+        sums = model.sums[level][t][rows[t]]
+        own = model.counts[level][t][rows[t], child] - 1.0
+        found[at, child] = log_ratios(own, sums, share)
+        ratios.append(found)
+        magnitudes[t] = _magnitudes(sums - 1)
+    return ratios, magnitudes
+
+
 def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and curvature of the log-likelihood of the tokens in the factors, summed.
 
@@ -344,9 +396,9 @@ def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.nd
         at = np.arange(len(part))
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
-            rows = _rows(contexts[:, a : a + BATCH], classes, model.rows)
-            start, ratios, magnitudes = _weights(model, level, classes, rows, child)
-            p = _logits(model, level, start, ratios, magnitudes)
+            rows = _rows(contexts[:, a : a + BATCH], classes, model.first[level], model.rows[level])
+            ratios, magnitudes = without_own(model, level, classes, child, rows)
+            p = _logits(model, level, classes, ratios, magnitudes)
             p -= p.max(1, keepdims=True)
             np.exp(p, out=p)
             p /= p.sum(1, keepdims=True)
@@ -373,7 +425,7 @@ def _step(model: Model, gradient: np.ndarray, curvature: np.ndarray) -> Model:
         pull = gradient[level] - HOLD * (now - START)
         bend = curvature[level].reshape(size, size) + HOLD * np.eye(size)
         factors[level] = np.clip(now + np.linalg.solve(bend, pull), 0.0, 1.5).reshape(TEMPLATES, MAGNITUDES)
-    return Model(model.rows, model.counts, model.sums, model.shares, factors)
+    return replace(model, factors=factors)
 
 
 def learn_round(docs: DataFrame, shared_vocab, shared_model) -> tuple[np.ndarray, np.ndarray]:

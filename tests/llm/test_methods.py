@@ -245,9 +245,12 @@ def test_rows_count_what_follows_their_contexts(spark, prose):
         contexts = lm_score.contexts_of(vocab, codes, lengths)
         for level in range(vocab.levels):
             classes, child = lm_score._at(codes, vocab.width, vocab.levels, level)
-            for template, rows in enumerate(lm_score._rows(contexts, classes, model.rows)):
-                want.update((level, row, c) for row, c in zip(rows.tolist(), child.tolist()))
-    got = {tuple(map(int, cell)): int(model.counts[tuple(cell)]) for cell in np.argwhere(model.counts)}
+            for template, rows in enumerate(lm_score._rows(contexts, classes, model.first[level], model.rows[level])):
+                want.update((level, template, row, c) for row, c in zip(rows.tolist(), child.tolist()))
+    got = {
+        (level, *map(int, cell)): int(counts[tuple(cell)])
+        for level, counts in enumerate(model.counts) for cell in np.argwhere(counts)
+    }
     assert got == want and sum(want.values()) == 20 * 121 * 3 * vocab.levels
 
 
@@ -263,8 +266,8 @@ def test_slopes_are_those_of_the_likelihood(spark, prose):
         moved, total = dataclasses.replace(model, factors=factors), 0.0
         for level in range(model.levels):
             classes, child = lm_score._at(codes, model.width, model.levels, level)
-            rows = lm_score._rows(contexts, classes, model.rows)
-            logits = lm_score._logits(moved, level, *lm_score._weights(moved, level, classes, rows, child)).astype(float)
+            rows = lm_score._rows(contexts, classes, model.first[level], model.rows[level])
+            logits = lm_score._logits(moved, level, classes, *lm_score.without_own(moved, level, classes, child, rows)).astype(float)
             total += (logits[np.arange(len(codes)), child] - np.log(np.exp(logits).sum(1))).sum()
         return total
 
