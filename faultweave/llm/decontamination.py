@@ -166,7 +166,7 @@ def _key() -> Column:
 
 
 def passage_hits(docs: DataFrame, keys: np.ndarray, bits: np.ndarray, classes: list[int]) -> DataFrame:
-    """key, hits: for each text of the first bitmap its distinct (class, passage, gram) of the pairs
+    """row, key, hits: for each text of the first bitmap its distinct (class, passage, gram) of the pairs
     that the second one lets through.
 
     Passage p of class c holds the words from p * 2 ** c up to (p + 2) * 2 ** c.
@@ -197,14 +197,16 @@ def passage_hits(docs: DataFrame, keys: np.ndarray, bits: np.ndarray, classes: l
             new[1:] = ~new[1:]
             of, c, passage, pairs = of[new], c[new], passage[new], pairs[new]
             texts_hit, starts = np.unique(of, return_index=True)
-            taken = batch.select(["key"]).take(pa.array(texts_hit))
+            taken = batch.select(["row", "key"]).take(pa.array(texts_hit))
             offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
             columns = [pa.array(c, pa.int32()), pa.array(passage, pa.int32()), pa.array(pairs.view(np.int64))]
             hits = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=list(kind)))
-            yield pa.record_batch([*taken.columns, hits], names=["key", "hits"])
+            yield pa.record_batch([*taken.columns, hits], names=["row", "key", "hits"])
 
-    rows = docs.select(_key().alias("key"), F.xxhash64(_key()).alias("k"), "text")
-    return rows.mapInArrow(read, "key string, hits array<struct<class:int,passage:int,gram:long>>")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), _key().alias("key"), F.xxhash64(_key()).alias("k"), "text"
+    )
+    return rows.mapInArrow(read, "row long, key string, hits array<struct<class:int,passage:int,gram:long>>")
 
 
 def _passage_hash(key: np.ndarray, c: np.ndarray | int, passage: np.ndarray) -> np.ndarray:
@@ -324,11 +326,12 @@ def _found(docs: DataFrame, items: DataFrame, threshold: float) -> tuple[DataFra
     seeded = seeded.groupBy("row", "key", "entry", "least").agg(F.sum("times").alias("n")).filter("n >= least")
     keys = bitmap(seeded.select(F.xxhash64("key").alias("gram")).distinct())
     passages = passage_hits(docs, keys, bitmap(seeds), classes or [0])
-    hits = passages.select("key", F.explode("hits").alias("hit")).select("key", "hit.class", "hit.passage", "hit.gram")
-    # Copies of a text have the same passages.
-    shared = hits.distinct().join(seeds, ["class", "gram"]).groupBy("key", "class", "passage", "entry", "least")
+    hits = passages.select("row", "key", F.explode("hits").alias("hit"))
+    hits = hits.select("row", "key", "hit.class", "hit.passage", "hit.gram")
+    shared = hits.join(seeds, ["class", "gram"]).groupBy("row", "key", "class", "passage", "entry", "least")
     enough = shared.agg(F.sum("times").alias("n")).filter(F.col("n") >= F.col("least"))
-    met = materialise(enough.select("key", "class", "passage", "entry"), "met")
+    # Copies of a text have the same passages.
+    met = materialise(enough.select("key", "class", "passage", "entry").distinct(), "met")
     words = passage_words(docs, met, classes or [0])
     scored = score_passages(met.join(words, ["key", "class", "passage"]).join(entries, "entry"), threshold)
     named = scored.join(entries, "entry").join(items, "item")
