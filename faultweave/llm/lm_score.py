@@ -50,7 +50,7 @@ KNOWN = 1 << 18
 # Children of a class at most.
 WIDTH = 24
 # Bytes of all rows at most, and training tokens per row of a template.
-MODEL_BYTES, ROW_TOKENS = 1 << 26, 4
+MODEL_BYTES, ROW_TOKENS = 1 << 25, 4
 TEMPLATES = 3
 ROUNDS = 2
 BATCH = 1 << 14
@@ -180,6 +180,16 @@ class Model:
     ratios: list[np.ndarray]  # per level: TEMPLATES, rows, width
     factors: np.ndarray  # levels, TEMPLATES, MAGNITUDES
 
+    def __getstate__(self) -> dict:
+        """Counts stay behind; ratios travel in half precision."""
+        ratios = [r.astype(np.float16) for r in self.ratios]
+        return self.__dict__ | {"counts": [], "ratios": ratios, "sums": [n.astype(np.int64) for n in self.sums]}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.ratios = [r.astype(np.float32) for r in self.ratios]
+        self.sums = [n.astype(np.float64) for n in self.sums]
+
     @property
     def width(self) -> int:
         return self.shares[0].shape[1]
@@ -191,8 +201,8 @@ class Model:
 
 def rows_for(vocab: Vocabulary) -> int:
     """Rows per template and level that are dealt to the classes."""
-    # Counts and ratios are four bytes each.
-    most = MODEL_BYTES // (8 * TEMPLATES * vocab.levels * vocab.width)
+    # A ratio takes four bytes in a worker, two on the way there.
+    most = MODEL_BYTES // (4 * TEMPLATES * vocab.levels * vocab.width)
     return min(max(vocab.tokens // ROW_TOKENS, 1 << 10), most)
 
 
@@ -375,8 +385,9 @@ def without_own(
     for t in range(TEMPLATES):
         found = np.take(model.ratios[level][t], rows[t], axis=0)
         sums = model.sums[level][t][rows[t]]
-        own = model.counts[level][t][rows[t], child] - 1.0
-        found[at, child] = log_ratios(own, sums, share)
+        # The count that the ratio came from, a whole number.
+        own = np.rint(np.exp(found[at, child].astype(np.float64)) * (sums + PRIOR) * share - PRIOR * share) - 1.0
+        found[at, child] = log_ratios(np.maximum(own, 0.0), sums, share)
         ratios.append(found)
         magnitudes[t] = _magnitudes(sums - 1)
     return ratios, magnitudes
@@ -462,7 +473,8 @@ def train(training: DataFrame, vocab: Vocabulary) -> Model:
         turn = F.pmod(F.xxhash64(F.lit(99), "doc_id", "text"), F.lit(ROUNDS)) == number
         shared = context.broadcast(model)
         model = _step(model, *learn_round(training.filter(turn), shared_vocab, shared))
-        shared.unpersist()
+        shared.destroy()
+    shared_vocab.destroy()
     return model
 
 
