@@ -105,3 +105,17 @@ def test_drop_sparse_columns(spark):
     assert cleaning.drop_sparse_columns(df).columns == ["a", "c", "d"]
     assert cleaning.drop_sparse_columns(df, 0.1).columns == ["a"]
     assert cleaning.drop_sparse_columns(df.limit(0)).columns == ["a", "b", "c", "d"]
+
+
+def test_parsed_times_stay_out_of_the_shuffle(spark):
+    requests = spark.createDataFrame(
+        [("s", "2024-01-01 00:00:01", "bad"), ("s", "2024-01-01 00:00:00", "2024-01-01 00:00:02"), ("s", "n/a", None)],
+        "span_id string, start_time string, end_time string",
+    )
+    cleaned = cleaning.clean_request_times(requests)
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[plan.index("Exchange") :]
+    assert "start_time" in dealt and "start_time_ts" not in dealt and "end_time_ts" not in dealt
+    row = cleaned.first()
+    assert str(row["start_time_ts"]) == "2024-01-01 00:00:00" and str(row["end_time_ts"]) == "2024-01-01 00:00:02"
+    assert cleaned.columns == [*requests.columns, "start_time_ts", "end_time_ts"]

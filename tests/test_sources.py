@@ -393,3 +393,20 @@ def test_shared_folder_comes_from_the_session(spark):
     assert workspace.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     kept = workspace.materialise(spark.range(4).toDF("n"), "numbers")
     assert kept.count() == 4 and "Range" not in kept._jdf.queryExecution().analyzed().toString()
+
+
+def test_compressed_canonical_files_give_the_same_rows(spark, tmp_path, monkeypatch):
+    from faultweave.schemas import CANONICAL
+
+    monkeypatch.setattr(canonical, "FILE_ROWS", 40)
+    rows = [(f"s{i}", 200, "slow, \"x\"" if i % 3 else "a\\b", i % 2) for i in range(100)]
+    tables = {name: spark.createDataFrame([], schema) for name, schema in CANONICAL.items()}
+    tables["status_codes"] = spark.createDataFrame(rows, CANONICAL["status_codes"]).coalesce(1)
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    assert canonical.write_canonical(tables, plain) == canonical.write_canonical(tables, packed, compression="lz4")
+    got, want = (
+        sorted(map(tuple, canonical.read_canonical(spark, p)["status_codes"].collect())) for p in (packed, plain)
+    )
+    assert got == want and len(got) == 100
+    files = list((tmp_path / "packed" / "status_codes.csv").glob("part-*"))
+    assert len(files) == 3 and all(f.suffix == ".lz4" for f in files)
