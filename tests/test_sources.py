@@ -410,3 +410,20 @@ def test_compressed_canonical_files_give_the_same_rows(spark, tmp_path, monkeypa
     assert got == want and len(got) == 100
     files = list((tmp_path / "packed" / "status_codes.csv").glob("part-*"))
     assert len(files) == 3 and all(f.suffix == ".lz4" for f in files)
+
+
+def test_normalise_reads_its_traces_once(spark, tmp_path):
+    row = ("t", "s", None, "svc-rs-p", "svc", "op", 1, 2, 1.0, "2022-08-22", "baseline")
+    traces = spark.createDataFrame(
+        [row], "trace_id string, span_id string, parent_span_id string, pod_id string, service_name string, "
+        "endpoint string, start_ns long, end_ns long, duration_ms double, capture_date string, capture_root string",
+    )
+    traces.write.parquet(str(tmp_path / "given"))
+    metrics = spark.createDataFrame(
+        [], "pod_id string, epoch_sec long, cpu_usage_mcores double, memory_usage_mb double, "
+        "network_rx_bytes double, network_tx_bytes double",
+    )
+    tables = normalise.normalise(spark.read.parquet(str(tmp_path / "given")), metrics)
+    for name, df in tables.items():
+        assert not any("/given/" in file for file in df.inputFiles()), name
+    assert tables["trace_service_name"].first()["span_id"] == "s"
