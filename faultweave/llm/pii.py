@@ -7,8 +7,7 @@ digits, phone numbers without "+". Boosted trees over format and context feature
 each proposal a probability; proposals above their kind's calibrated threshold that overlap
 no base span and no better proposal are added.
 
-Training is weak supervision on a bounded sample of documents (about SAMPLE_DOCS, kept by a
-hash of the text). Positives are base spans rewritten in place into the wider forms, and proposals that
+Training is weak supervision on every text. Positives are base spans rewritten in place into the wider forms, and proposals that
 equal a base span. Negatives are proposals beside base spans that fail their kind's check
 (check digit, parts over 255, number of digits, a date or four dotted parts as a phone number, a
 sentence's end inside an address);
@@ -31,24 +30,24 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.sources.workspace import materialise
+from faultweave.sources.workspace import materialise, release
 
 # Kinds in the order in which spans at the same start are listed.
 KINDS = ("email", "ip", "card", "phone")
 
-SAMPLE_DOCS = 20_000
-# Rows of one kind and label that enter the fit.
-MAX_CANDIDATES = 4_000
 TREES, DEPTH, RATE, BINS, LEAST = 40, 3, 0.3, 16, 8
+SHARES = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
+# Gradients are counted in parts of 1 / UNIT, scores of thresholds in parts of 1 / STEPS.
+UNIT = float(1 << 24)
+STEPS = 1 << 12
 PRECISION = 0.98
 SUPPORT = 30
 CONTEXT = 24
@@ -251,88 +250,162 @@ def _place(binned: np.ndarray, levels: list[tuple[int, int]]) -> np.ndarray:
     return at
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Trees:
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-    share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
-    model = Trees(edges, [], [], float(np.log(share / (1 - share))))
-    binned, z = model.bins(x), np.full(len(x), model.start)
+def tally(model: Trees, levels: list[tuple[int, int]], binned: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Gradient, curvature and number of rows per node and bin, the bins of all features side by side.
+
+    `n` says how often a row counts. Gradients are whole multiples of 1 / UNIT, so that sums don't
+    depend on their order.
+    """
+    z = np.full(len(binned), model.start)
+    for splits, leaf in zip(model.trees, model.leaves):
+        z += leaf[_place(binned, splits)]
+    p = 1 / (1 + np.exp(-z))
+    parts = (np.rint((y - p) * UNIT) * n, np.rint(np.maximum(p * (1 - p), 1e-6) * UNIT) * n, n)
+    at, nodes, blocks = _place(binned, levels), 1 << len(levels), []
+    for j, edges in enumerate(model.edges):
+        key, width = at * (len(edges) + 1) + binned[:, j], len(edges) + 1
+        blocks.append(np.stack([np.bincount(key, v, nodes * width).reshape(nodes, width) for v in parts]))
+    return np.concatenate(blocks, 2)
+
+
+def grow(model: Trees, sums: Callable[[list[tuple[int, int]]], np.ndarray]) -> Trees:
+    """Adds the trees, level by level; `sums` gives the `tally` of all rows for the levels so far."""
+    ends = np.cumsum([len(e) + 1 for e in model.edges])
     for _ in range(TREES):
-        p = 1 / (1 + np.exp(-z))
-        g, h = y - p, np.maximum(p * (1 - p), 1e-6)
         levels: list[tuple[int, int]] = []
-        at = np.zeros(len(x), np.int64)
-        for depth in range(DEPTH):
-            best = (0.0, 0, 0)
-            nodes = 1 << depth
-            for j in range(x.shape[1]):
-                width = len(edges[j]) + 1
-                key = at * width + binned[:, j]
-                sums = [np.bincount(key, v, nodes * width).reshape(nodes, width).cumsum(1) for v in (g, h)]
-                counts = np.bincount(key, minlength=nodes * width).reshape(nodes, width).cumsum(1)
-                (gl, hl), (gt, ht) = (s[:, :-1] for s in sums), (s[:, -1:] for s in sums)
+        leaf = np.zeros(1)
+        for _ in range(DEPTH):
+            best, halves = (0.0, 0, 0), None
+            for j, found in enumerate(np.split(sums(levels), ends[:-1], 2)):
+                g, h, counts = found.cumsum(2)
+                g, h = g / UNIT, h / UNIT
+                (gl, hl), (gt, ht) = (s[:, :-1] for s in (g, h)), (s[:, -1:] for s in (g, h))
                 ok = (counts[:, :-1] >= LEAST) & (counts[:, -1:] - counts[:, :-1] >= LEAST)
                 gain = np.where(ok, gl**2 / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) - gt**2 / (ht + 1), 0).sum(0)
                 if len(gain) and gain.max() > best[0]:
-                    best = (float(gain.max()), j, int(gain.argmax()))
-            if not best[0]:
+                    cut = int(gain.argmax())
+                    best = (float(gain.max()), j, cut)
+                    left, right = (gl[:, cut], hl[:, cut]), (gt[:, 0] - gl[:, cut], ht[:, 0] - hl[:, cut])
+                    halves = [RATE * g / (h + 1) for g, h in (left, right)]
+            if halves is None:
                 break
             levels.append(best[1:])
-            at = at * 2 + (binned[:, best[1]] > best[2])
+            leaf = np.stack(halves, 1).ravel()
         if not levels:
             break
-        size = 1 << len(levels)
-        leaf = RATE * np.bincount(at, g, size) / (np.bincount(at, h, size) + 1)
         model.trees.append(levels)
         model.leaves.append(leaf)
-        z += leaf[at]
     return model
 
 
+def _start(share: float) -> float:
+    share = float(np.clip(share, 1e-3, 1 - 1e-3))
+    return float(np.log(share / (1 - share)))
+
+
+def boost(x: np.ndarray, y: np.ndarray) -> Trees:
+    """Trees of rows at hand."""
+    edges = [np.unique(np.quantile(x[:, j], SHARES)) for j in range(x.shape[1])]
+    model = Trees(edges, [], [], _start(y.mean()))
+    binned, once = model.bins(x), np.ones(len(x))
+    return grow(model, lambda levels: tally(model, levels, binned, y, once))
+
+
+def boost_table(rows: DataFrame) -> Trees:
+    """The same of a table of label, features and n, how often a row counts; a job per level."""
+    width = len(rows.select("features").first()[0])
+    cuts = [F.percentile(F.get("features", F.lit(j)), list(SHARES), F.col("n")).alias(f"c{j}") for j in range(width)]
+    first = rows.agg((F.sum(F.col("label") * F.col("n")) / F.sum("n")).alias("share"), *cuts).first()
+    model = Trees([np.unique(first[f"c{j}"]) for j in range(width)], [], [], _start(first["share"]))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            binned = model.bins(_matrix(batch)).astype(np.uint8)
+            bins = pa.array([row.tobytes() for row in binned], pa.binary())
+            yield pa.record_batch([batch.column("label"), bins, batch.column("n")], names=["label", "bins", "n"])
+
+    packed = rows.select("label", "features", "n").mapInArrow(pack, "label int, bins binary, n long")
+    table = materialise(packed.groupBy("label", "bins").agg(F.sum("n").alias("n")), "pii-bins")
+    total = sum(len(e) + 1 for e in model.edges)
+
+    def sums(levels: list[tuple[int, int]]) -> np.ndarray:
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.zeros((3, 1 << len(levels), total), np.int64)
+            for batch in batches:
+                binned = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width)
+                y, n = (batch.column(c).to_numpy().astype(float) for c in ("label", "n"))
+                held += tally(model, levels, binned.astype(np.int64), y, n).astype(np.int64)
+            cells = np.flatnonzero(held[2])
+            columns = [cells, *(part.ravel()[cells] for part in held)]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["cell", "g", "h", "n"])
+
+        added = table.mapInArrow(read, "cell long, g long, h long, n long").groupBy("cell")
+        out = np.zeros((3, (1 << len(levels)) * total))
+        for r in added.agg(*[F.sum(c).alias(c) for c in "ghn"]).collect():
+            out[:, r["cell"]] = r["g"], r["h"], r["n"]
+        return out.reshape(3, 1 << len(levels), total)
+
+    grow(model, sums)
+    release(table)
+    return model
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column("features")
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def thresholds(model: Trees, rows: DataFrame) -> dict[int, float]:
+    """Per kind the lowest score, in steps of 1 / STEPS, above which enough of the rows are positives."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch)
+            step = np.floor(model.probability(x) * STEPS).astype(np.int64)
+            columns = [pa.array(x[:, 0].astype(np.int64)), pa.array(step), batch.column("label"), batch.column("n")]
+            yield pa.record_batch(columns, names=["kind", "step", "label", "n"])
+
+    scored = rows.select("label", "features", "n").mapInArrow(read, "kind long, step long, label int, n long")
+    counts = scored.groupBy("kind", "step").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("positives")
+    )
+    found: dict[int, float] = {}
+    seen = np.zeros((len(KINDS), 2))
+    for r in sorted(counts.collect(), key=lambda r: -r["step"]):
+        seen[r["kind"]] += r["n"], r["positives"]
+        n, positives = seen[r["kind"]]
+        if n >= SUPPORT and positives >= PRECISION * n:
+            found[r["kind"]] = max(0.5, r["step"] / STEPS)
+    return found
+
+
 def train(docs: DataFrame) -> Trees | None:
-    """Trees and thresholds from the bounded sample; None where it holds no base span."""
-    total = docs.count()
-    if not total:
-        return None
-    # Kept by a hash of the text, so that null ids are no matter.
-    draw = F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = docs.select("text").filter(F.col("text").isNotNull() & (draw < min(1.0, SAMPLE_DOCS / total)))
+    """Trees and thresholds learnt from every text; None where none has a base span to learn from.
+
+    Equal rows are one row with a count. The trees travel to the tasks, and sums per node and bin
+    come back: a few thousand numbers a level, whatever the number of rows.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[int, int, bool, bytes]] = []
+            rows: list[tuple[int, bool, list[float]]] = []
             for text in batch.column("text").to_pylist():
                 held = zlib.crc32(text.encode()) % 3 == 0
-                rows += [(label, kind, held, np.array(x).tobytes()) for label, kind, x in labelled(text)]
-            types = (pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+                rows += [(label, held, list(map(float, x))) for label, _, x in labelled(text)]
+            types = (pa.int32(), pa.bool_(), pa.list_(pa.float64()))
             yield pa.record_batch(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                names=["label", "kind", "held", "features"],
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["label", "held", "features"]
             )
 
-    found = materialise(sample.mapInArrow(read, "label int, kind int, held boolean, features binary"), "pii-sample")
-    # Reservoir by hash within each kind and label: both bounds are parameters.
-    parts = [
-        found.filter((F.col("label") == label) & (F.col("kind") == kind))
-        .orderBy(F.xxhash64("features"), "features", "held")
-        .limit(MAX_CANDIDATES)
-        for label in (0, 1)
-        for kind in range(len(KINDS))
-    ]
-    rows = reduce(DataFrame.union, parts).collect()
-    kept = np.array([not r["held"] for r in rows], bool)
-    if not any(r["label"] and not r["held"] for r in rows):
+    texts = docs.select("text").filter(F.col("text").isNotNull())
+    found = texts.mapInArrow(read, "label int, held boolean, features array<double>")
+    rows = materialise(found.groupBy("label", "held", "features").agg(F.count("*").alias("n")), "pii-rows")
+    kept = rows.filter(~F.col("held"))
+    if kept.filter(F.col("label") == 1).isEmpty():
         return None
-    x = np.array([np.frombuffer(r["features"]) for r in rows])
-    y = np.array([r["label"] for r in rows], float)
-    model = boost(x[kept], y[kept])
-    p, labels, kinds = model.probability(x[~kept]), y[~kept], x[~kept][:, 0]
-    for kind in range(len(KINDS)):
-        here = kinds == kind
-        by_score = np.argsort(-p[here], kind="stable")
-        precise = np.cumsum(labels[here][by_score]) / np.arange(1, here.sum() + 1)
-        good = np.flatnonzero((precise >= PRECISION) & (np.arange(1, here.sum() + 1) >= SUPPORT))
-        if len(good):
-            model.thresholds[kind] = max(0.5, float(p[here][by_score][good[-1]]))
+    model = boost_table(kept)
+    model.thresholds.update(thresholds(model, rows.filter("held")))
+    release(rows)
     return model
 
 

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -618,3 +619,11 @@ def test_the_estimated_risk_stays_above_zero():
     assert end[0] + max(end[1], 0) < start[0] + max(start[1], 0)
     assert end[1] > -0.02
     assert weights[tells].mean() > weights[~tells].mean() + 0.3
+
+
+def test_personal_data_learns_from_every_text(spark):
+    texts = [f"write to u{i}@h{i}.org today" for i in range(1500)] + [f"no {1000 + i} 2345 6789 0123 x" for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = [r for t in texts if zlib.crc32(t.encode()) % 3 for r in pii.labelled(t)]
+    share = sum(label for label, _, _ in rows) / len(rows)
+    assert pii.train(docs.repartition(3)).start == pytest.approx(np.log(share / (1 - share)))
