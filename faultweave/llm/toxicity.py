@@ -65,7 +65,7 @@ class Model:
     weights: dict[str, float]
     bias: float
     # Features of words met so far that the model knows; one memory per worker.
-    met: dict[bytes, list[str]] = field(default_factory=dict, repr=False)
+    met: dict[bytes, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def logit(self, text: bytes) -> float:
         found: set[str] = set()
@@ -73,7 +73,7 @@ class Model:
             if word not in self.met:
                 if len(self.met) >= REMEMBERED:  # few words make up most of a text: they are soon back
                     self.met.clear()
-                self.met[word] = [f for f in features(word) if f in self.weights]
+                self.met[word] = tuple(f for f in features(word) if f in self.weights)
             found.update(self.met[word])
         # fsum: the order of a set must not show in the score.
         return fsum(map(self.weights.__getitem__, found)) + self.bias

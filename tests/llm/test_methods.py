@@ -7,18 +7,21 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from faultweave.llm import (
-    decontamination, graph, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
+    common, decontamination, graph, line_dedup, line_quality, lm_score, mixing, near_dedup, pii, token_counts, token_store, toxicity,
 )
 from faultweave.llm.common import BYTE_BPE, WORD_BPE, vocabulary
 from faultweave.llm.wavelet import WaveletMatrix, build
@@ -627,3 +630,34 @@ def test_personal_data_learns_from_every_text(spark):
     rows = [r for t in texts if zlib.crc32(t.encode()) % 3 for r in pii.labelled(t)]
     share = sum(label for label, _, _ in rows) / len(rows)
     assert pii.train(docs.repartition(3)).start == pytest.approx(np.log(share / (1 - share)))
+
+
+# ---- memory of a worker ----------------------------------------------------
+
+
+def test_only_the_texts_of_a_slice_are_objects():
+    """Texts of a batch become Python objects slice by slice; every row comes once, in order."""
+    texts = ["é" * (1 << 18), None, "", "a" * 7] * 48 + ["ß" * (3 << 20)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    rows = []
+    for part, found in common.chunks(iter([batch, batch.slice(1, 9), batch.slice(0, 0)])):
+        assert [t.decode() for t in found] == [t or "" for t in part.column("text").to_pylist()]
+        rows += part.column("doc_id").to_pylist()
+    assert rows == [*range(len(texts)), *range(1, 10)]
+    tracemalloc.start()
+    met = sum(1 for _ in common.chunks(iter([batch.slice(0, 192)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert met > 10 and peak < 8e6  # the batch holds 25 MB
+
+
+@pytest.mark.skipif(not Path("/proc/self/statm").exists() or not common._trim, reason="needs glibc and /proc")
+def test_free_memory_goes_back():
+    def resident() -> float:
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 1e6
+
+    held = [bytes([i % 256]) * 20_000 for i in range(6_000)]
+    held = held[::200]  # a few remain between what is free
+    before = resident()
+    assert list(common.chunks(iter([]))) == []
+    assert len(held) == 30 and resident() < before - 60
