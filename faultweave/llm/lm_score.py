@@ -35,7 +35,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,7 @@ WIDTH = 24
 MODEL_BYTES, ROW_TOKENS = 1 << 25, 4
 TEMPLATES = 3
 ROUNDS = 2
-BATCH = 1 << 14
+BATCH = 1 << 12
 # Counts that the share without context is worth in a row.
 PRIOR = 16.0
 # Occurrences from which a word is a context of its own.
@@ -96,17 +97,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("c"))
 
 
-class Codes(dict):
-    """Leaf of each known word; every other word is the last leaf."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words))))
-        self.rare = len(words)
-
-    def __missing__(self, word: bytes) -> int:
-        return self.rare
-
-
 @dataclass
 class Vocabulary:
     """Known words with their counts, in order of endings, and what the rarer ones add up to."""
@@ -118,15 +108,23 @@ class Vocabulary:
     rare_sum: float
 
     def __post_init__(self) -> None:
-        self.codes: Codes | None = None
+        self.codes: dict[bytes, int] | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"codes": None}
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
+    def encode(self, split: list[list[bytes]]) -> np.ndarray:
+        """Leaf of each word and of each text's end; a word that is not known is the last leaf."""
         if self.codes is None:
-            self.codes = Codes(self.words)
-        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+            # Frequent words first: they lie together, and most lookups meet them.
+            self.codes = {self.words[i]: i for i in np.argsort(-self.counts, kind="stable").tolist()}
+        ends = np.cumsum([len(ws) + 1 for ws in split]) - 1
+        codes = np.full(sum(map(len, split)) + len(split), self.codes.get(END, len(self.words)))
+        inside = np.ones(len(codes), bool)
+        inside[ends.astype(np.int64)] = False
+        found = map(self.codes.get, chain.from_iterable(split), repeat(len(self.words)))
+        codes[inside] = np.fromiter(found, np.int64, len(codes) - len(split))
+        return codes
 
     @property
     def leaves(self) -> int:
@@ -179,11 +177,14 @@ class Model:
     sums: list[np.ndarray]  # per level: TEMPLATES, rows
     ratios: list[np.ndarray]  # per level: TEMPLATES, rows, width
     factors: np.ndarray  # levels, TEMPLATES, MAGNITUDES
+    # What tokens of one row share, by level, worked out where it is first asked for.
+    tables: dict = field(default_factory=dict, init=False, repr=False)
 
     def __getstate__(self) -> dict:
-        """Counts stay behind; ratios travel in half precision."""
+        """Counts and tables stay behind; ratios travel in half precision."""
         ratios = [r.astype(np.float16) for r in self.ratios]
-        return self.__dict__ | {"counts": [], "ratios": ratios, "sums": [n.astype(np.int64) for n in self.sums]}
+        sums = [n.astype(np.int64) for n in self.sums]
+        return self.__dict__ | {"counts": [], "ratios": ratios, "sums": sums, "tables": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -198,6 +199,41 @@ class Model:
     def levels(self) -> int:
         return len(self.shares)
 
+    def classes(self, level: int) -> np.ndarray:
+        """The class of each row."""
+        return np.repeat(np.arange(len(self.rows[level])), self.rows[level])
+
+    def log_shares(self, level: int) -> np.ndarray:
+        if ("shares", level) not in self.tables:
+            self.tables["shares", level] = np.log(self.shares[level])
+        return self.tables["shares", level]
+
+    def odds(self, level: int) -> np.ndarray:
+        """By template and row, what a row multiplies its children's odds with; the shares without
+        context are in the first template's."""
+        if ("odds", level) not in self.tables:
+            table = np.empty(self.ratios[level].shape, np.float32)
+            for t in range(TEMPLATES):
+                factor = self.factors[level, t, _magnitudes(self.sums[level][t])].astype(np.float32)
+                np.multiply(self.ratios[level][t], factor[:, None], out=table[t])
+            table[0] += self.log_shares(level)[self.classes(level)]
+            self.tables["odds", level] = np.exp(table, out=table)
+        return self.tables["odds", level]
+
+    def left_out(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """By template and row, each child's ratio with one token of its own left out, and the
+        magnitude of the row's count without that token."""
+        if ("left out", level) not in self.tables:
+            table = np.empty(self.ratios[level].shape, np.float32)
+            share = self.shares[level].astype(np.float64)[self.classes(level)]
+            for t in range(TEMPLATES):
+                sums = self.sums[level][t][:, None]
+                # The count that the ratio came from, a whole number.
+                own = np.rint(np.exp(self.ratios[level][t].astype(np.float64)) * (sums + PRIOR) * share - PRIOR * share) - 1.0
+                table[t] = log_ratios(np.maximum(own, 0.0), sums, share)
+            self.tables["left out", level] = table, _magnitudes(self.sums[level] - 1).astype(np.int8)
+        return self.tables["left out", level]
+
 
 def rows_for(vocab: Vocabulary) -> int:
     """Rows per template and level that are dealt to the classes."""
@@ -267,16 +303,22 @@ def _at(codes: np.ndarray, width: int, levels: int, level: int) -> tuple[np.ndar
     return child // width, child % width
 
 
-def _rows(contexts: np.ndarray, classes: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    hashed = _hash(contexts) >> np.uint64(20)
+def _hashed(contexts: np.ndarray) -> np.ndarray:
+    return _hash(contexts) >> np.uint64(20)
+
+
+def _places(hashed: np.ndarray, classes: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return first[classes] + (hashed % rows[classes].astype(np.uint64)).astype(np.int64)
 
 
+def _rows(contexts: np.ndarray, classes: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return _places(_hashed(contexts), classes, first, rows)
+
+
 def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     split = [t.lower().split() for t in texts]
     lengths = np.array([len(ws) + 1 for ws in split], np.int64)
-    codes = vocab.encode([w for ws in split for w in (*ws, END)])
-    return codes, lengths, split
+    return vocab.encode(split), lengths, split
 
 
 def log_ratios(counts: np.ndarray, sums: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -295,10 +337,10 @@ def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
         words, totals = shared.value, [np.zeros(TEMPLATES * size, np.int32) for size in sizes]
         for _, texts in chunks(batches):
             codes, lengths, _ = _tokens(words, texts)
-            contexts = contexts_of(words, codes, lengths)
+            hashed = _hashed(contexts_of(words, codes, lengths))
             for level, total in enumerate(totals):
                 classes, child = _at(codes, width, levels, level)
-                cells = _rows(contexts, classes, first[level], rows[level]) * width + child[None, :]
+                cells = _places(hashed, classes, first[level], rows[level]) * width + child[None, :]
                 for template in range(TEMPLATES):
                     part = total[template * sizes[level] : (template + 1) * sizes[level]]
                     part += np.bincount(cells[template], minlength=sizes[level]).astype(np.int32)
@@ -345,7 +387,7 @@ def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
 
 
 def _logits(model: Model, level: int, classes: np.ndarray, ratios: list[np.ndarray], magnitudes: np.ndarray) -> np.ndarray:
-    logits = np.log(np.take(model.shares[level], classes, axis=0))
+    logits = np.take(model.log_shares(level), classes, axis=0)
     for template in range(TEMPLATES):
         logits += ratios[template] * model.factors[level, template, magnitudes[template]].astype(np.float32)[:, None]
     return logits
@@ -356,20 +398,25 @@ def _magnitudes(sums: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each leaf; the share inside the last leaf is left out."""
+    """Natural log of the probability of each leaf; the share inside the last leaf is left out.
+
+    A factor is at most 1.5 and a ratio at most the log of a share's inverse, so that odds stay
+    below the share's inverse to the power 3.5, which single precision holds for 10^10 tokens.
+    """
     out = np.zeros(len(codes))
+    hashed, one = _hashed(contexts), np.ones(model.width, np.float32)
     for a in range(0, len(codes), BATCH):
         part = codes[a : a + BATCH]
+        at = np.arange(len(part))
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
-            rows = _rows(contexts[:, a : a + BATCH], classes, model.first[level], model.rows[level])
-            ratios = [np.take(model.ratios[level][t], rows[t], axis=0) for t in range(TEMPLATES)]
-            sums = np.stack([model.sums[level][t][rows[t]] for t in range(TEMPLATES)])
-            logits = _logits(model, level, classes, ratios, _magnitudes(sums))
-            logits -= logits.max(1, keepdims=True)
-            picked = logits[np.arange(len(part)), child].astype(float)
-            np.exp(logits, out=logits)
-            out[a : a + BATCH] += picked - np.log(logits.sum(1, dtype=np.float64))
+            rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
+            odds, picked = None, 1.0
+            for table, row in zip(model.odds(level), rows):
+                found = np.take(table, row, axis=0)
+                picked = picked * found[at, child].astype(np.float64)
+                odds = found if odds is None else np.multiply(odds, found, out=odds)
+            out[a : a + BATCH] += np.log(picked / (odds @ one))
     return out
 
 
@@ -380,17 +427,14 @@ def without_own(
 
     Leaving it out of the row's sum moves all children's ratios alike.
     """
-    at, share = np.arange(len(child)), model.shares[level][classes, child].astype(np.float64)
-    ratios, magnitudes = [], np.empty(rows.shape, np.int64)
+    at = np.arange(len(child))
+    own, magnitude = model.left_out(level)
+    ratios = []
     for t in range(TEMPLATES):
         found = np.take(model.ratios[level][t], rows[t], axis=0)
-        sums = model.sums[level][t][rows[t]]
-        # The count that the ratio came from, a whole number.
-        own = np.rint(np.exp(found[at, child].astype(np.float64)) * (sums + PRIOR) * share - PRIOR * share) - 1.0
-        found[at, child] = log_ratios(np.maximum(own, 0.0), sums, share)
+        found[at, child] = own[t][rows[t], child]
         ratios.append(found)
-        magnitudes[t] = _magnitudes(sums - 1)
-    return ratios, magnitudes
+    return ratios, np.stack([magnitude[t][rows[t]] for t in range(TEMPLATES)]).astype(np.int64)
 
 
 def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -401,30 +445,28 @@ def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.nd
     """
     size = TEMPLATES * MAGNITUDES
     gradient = np.zeros((model.levels, size))
-    curvature = np.zeros((model.levels, size * size))
+    curvature = np.zeros((model.levels, size, size))
+    hashed, one = _hashed(contexts), np.ones(model.width, np.float32)
     for a in range(0, len(codes), BATCH):
         part = codes[a : a + BATCH]
         at = np.arange(len(part))
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
-            rows = _rows(contexts[:, a : a + BATCH], classes, model.first[level], model.rows[level])
+            rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
             ratios, magnitudes = without_own(model, level, classes, child, rows)
             p = _logits(model, level, classes, ratios, magnitudes)
-            p -= p.max(1, keepdims=True)
-            np.exp(p, out=p)
-            p /= p.sum(1, keepdims=True)
+            np.exp(p, out=p)  # as in log_probabilities
+            total = p @ one
             factor = magnitudes + np.arange(TEMPLATES)[:, None] * MAGNITUDES
-            expected = [np.einsum("ij,ij->i", p, r) for r in ratios]
+            expected = [(np.einsum("ij,ij->i", p, r) / total).astype(float) for r in ratios]
             for t in range(TEMPLATES):
-                own = (ratios[t][at, child] - expected[t]).astype(float)
-                gradient[level] += np.bincount(factor[t], own, size)
+                gradient[level] += np.bincount(factor[t], ratios[t][at, child] - expected[t], size)
                 weighted = p * ratios[t]
                 for u in range(t, TEMPLATES):
-                    both = np.einsum("ij,ij->i", weighted, ratios[u]).astype(float) - expected[t].astype(float) * expected[u]
-                    curvature[level] += np.bincount(factor[t] * size + factor[u], both, size * size)
-                    if u > t:
-                        curvature[level] += np.bincount(factor[u] * size + factor[t], both, size * size)
-    return gradient, curvature
+                    both = np.einsum("ij,ij->i", weighted, ratios[u]) / total - expected[t] * expected[u]
+                    found = np.bincount(factor[t] * size + factor[u], both, size * size).reshape(size, size)
+                    curvature[level] += found if u == t else found + found.T
+    return gradient, curvature.reshape(model.levels, -1)
 
 
 def _step(model: Model, gradient: np.ndarray, curvature: np.ndarray) -> Model:

@@ -661,3 +661,28 @@ def test_free_memory_goes_back():
     before = resident()
     assert list(common.chunks(iter([]))) == []
     assert len(held) == 30 and resident() < before - 60
+
+
+def test_tokens_share_the_work_of_their_rows(spark, prose, monkeypatch):
+    """Logs of a row are taken once, not for every token; probabilities are those of a plain softmax."""
+    docs = spark.createDataFrame([(i, prose(120, 40 + i, 60)) for i in range(12)], "doc_id long, text string")
+    vocab = lm_score.vocabulary(lm_score.word_counts(docs), 12)
+    model = lm_score.count_rows(docs, vocab, spark.sparkContext.broadcast(vocab))
+    start = np.linspace(0.1, 1.4, model.factors.size).reshape(model.factors.shape)
+    model = dataclasses.replace(model, factors=start)
+    codes, lengths, _ = lm_score._tokens(vocab, [r["text"].encode() for r in docs.collect()])
+    contexts = lm_score.contexts_of(vocab, codes, lengths)
+    want = np.zeros(len(codes))
+    for level in range(model.levels):
+        classes, child = lm_score._at(codes, model.width, model.levels, level)
+        rows = lm_score._rows(contexts, classes, model.first[level], model.rows[level])
+        logits = np.log(model.shares[level].astype(float))[classes]
+        for t in range(lm_score.TEMPLATES):
+            n = np.minimum(np.log2(model.sums[level][t][rows[t]] + 1).astype(int), lm_score.MAGNITUDES - 1)
+            logits += model.factors[level, t, n][:, None] * model.ratios[level][t][rows[t]].astype(float)
+        want += logits[np.arange(len(codes)), child] - np.log(np.exp(logits).sum(1))
+    assert np.abs(lm_score.log_probabilities(model, codes, contexts) - want).max() < 1e-5
+    first = lm_score.slopes(model, codes, contexts)
+    monkeypatch.setattr(lm_score, "log_ratios", lambda *_: pytest.fail("a row's logs are taken again"))
+    again = lm_score.slopes(model, codes, contexts)
+    assert all(np.array_equal(a, b) for a, b in zip(first, again))
