@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import chunks, fold_of
+from faultweave.llm.common import chunks, fold_of, release_memory
 from faultweave.sources.workspace import materialise, release
 
 FOLDS, HELD_OUT = 5, 1
@@ -232,6 +232,7 @@ class Model:
                 own = np.rint(np.exp(self.ratios[level][t].astype(np.float64)) * (sums + PRIOR) * share - PRIOR * share) - 1.0
                 table[t] = log_ratios(np.maximum(own, 0.0), sums, share)
             self.tables["left out", level] = table, _magnitudes(self.sums[level] - 1).astype(np.int8)
+            release_memory()
         return self.tables["left out", level]
 
 
