@@ -36,14 +36,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import chunks, fold_of, release_memory
+from faultweave.llm.common import chunks, distinct_words, fold_of, objects, release_memory
 from faultweave.sources.workspace import materialise, release
 
 FOLDS, HELD_OUT = 5, 1
@@ -86,8 +86,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for _, texts in chunks(batches):
-            for text in texts:
-                counts.update(text.lower().split())
+            words, index, _ = distinct_words(texts)
+            for word, n in zip(objects(words), np.bincount(index, minlength=len(words)).tolist()):
+                counts[word] += n
             if len(counts) > FLUSH:
                 yield rows()
                 counts.clear()
@@ -113,18 +114,12 @@ class Vocabulary:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"codes": None}
 
-    def encode(self, split: list[list[bytes]]) -> np.ndarray:
-        """Leaf of each word and of each text's end; a word that is not known is the last leaf."""
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        """Leaf of each word; a word that is not known is the last leaf."""
         if self.codes is None:
             # Frequent words first: they lie together, and most lookups meet them.
             self.codes = {self.words[i]: i for i in np.argsort(-self.counts, kind="stable").tolist()}
-        ends = np.cumsum([len(ws) + 1 for ws in split]) - 1
-        codes = np.full(sum(map(len, split)) + len(split), self.codes.get(END, len(self.words)))
-        inside = np.ones(len(codes), bool)
-        inside[ends.astype(np.int64)] = False
-        found = map(self.codes.get, chain.from_iterable(split), repeat(len(self.words)))
-        codes[inside] = np.fromiter(found, np.int64, len(codes) - len(split))
-        return codes
+        return np.fromiter(map(self.codes.get, words, repeat(len(self.words))), np.int64, len(words))
 
     @property
     def leaves(self) -> int:
@@ -316,10 +311,23 @@ def _rows(contexts: np.ndarray, classes: np.ndarray, first: np.ndarray, rows: np
     return _places(_hashed(contexts), classes, first, rows)
 
 
-def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    split = [t.lower().split() for t in texts]
-    lengths = np.array([len(ws) + 1 for ws in split], np.int64)
-    return vocab.encode(split), lengths, split
+def _tokens(vocab: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, tuple[pa.BinaryArray, np.ndarray]]:
+    """Leaf of each word and of each text's end, tokens per text, and the words: the distinct ones
+    and the place among them of each."""
+    words, index, counts = distinct_words(texts)
+    leaves = vocab.encode([*objects(words), END])
+    codes = np.insert(leaves[index], np.cumsum(counts), leaves[-1])
+    return codes, counts + 1, (words, index)
+
+
+def _rare_words(codes: np.ndarray, lengths: np.ndarray, words: pa.BinaryArray, index: np.ndarray, last: int) -> pa.ListArray:
+    """Of each text its distinct words in the last leaf, and how often each stands there."""
+    is_rare = np.delete(codes, np.cumsum(lengths) - 1) == last
+    of = np.repeat(np.arange(len(lengths)), lengths - 1)[is_rare]
+    found, n = np.unique(of * (len(words) + 1) + index[is_rare], return_counts=True)
+    offsets = np.searchsorted(found, np.arange(len(lengths) + 1) * (len(words) + 1))
+    pairs = [words.take(pa.array(found % (len(words) + 1))), pa.array(n, pa.int32())]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "n"]))
 
 
 def log_ratios(counts: np.ndarray, sums: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -389,8 +397,10 @@ def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
 
 def _logits(model: Model, level: int, classes: np.ndarray, ratios: list[np.ndarray], magnitudes: np.ndarray) -> np.ndarray:
     logits = np.take(model.log_shares(level), classes, axis=0)
+    factors = model.factors[level].astype(np.float32)
+    part = np.empty_like(logits)
     for template in range(TEMPLATES):
-        logits += ratios[template] * model.factors[level, template, magnitudes[template]].astype(np.float32)[:, None]
+        logits += np.multiply(ratios[template], factors[template].take(magnitudes[template])[:, None], out=part)
     return logits
 
 
@@ -408,14 +418,14 @@ def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) ->
     hashed, one = _hashed(contexts), np.ones(model.width, np.float32)
     for a in range(0, len(codes), BATCH):
         part = codes[a : a + BATCH]
-        at = np.arange(len(part))
+        at = np.arange(len(part)) * model.width
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
             rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
-            odds, picked = None, 1.0
+            odds, picked, own = None, 1.0, at + child
             for table, row in zip(model.odds(level), rows):
                 found = np.take(table, row, axis=0)
-                picked = picked * found[at, child].astype(np.float64)
+                picked = picked * found.take(own).astype(np.float64)
                 odds = found if odds is None else np.multiply(odds, found, out=odds)
             out[a : a + BATCH] += np.log(picked / (odds @ one))
     return out
@@ -428,14 +438,14 @@ def without_own(
 
     Leaving it out of the row's sum moves all children's ratios alike.
     """
-    at = np.arange(len(child))
     own, magnitude = model.left_out(level)
+    at = np.arange(len(child)) * model.width + child
     ratios = []
     for t in range(TEMPLATES):
         found = np.take(model.ratios[level][t], rows[t], axis=0)
-        found[at, child] = own[t][rows[t], child]
+        found.reshape(-1)[at] = own[t].take(rows[t] * model.width + child)
         ratios.append(found)
-    return ratios, np.stack([magnitude[t][rows[t]] for t in range(TEMPLATES)]).astype(np.int64)
+    return ratios, np.stack([magnitude[t].take(rows[t]) for t in range(TEMPLATES)]).astype(np.int64)
 
 
 def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -444,13 +454,12 @@ def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.nd
     A token touches one factor per template: its gradient is the distance of the token's own
     ratio from the expected one, the curvature the covariance of the templates' ratios.
     """
-    size = TEMPLATES * MAGNITUDES
-    gradient = np.zeros((model.levels, size))
-    curvature = np.zeros((model.levels, size, size))
-    hashed, one = _hashed(contexts), np.ones(model.width, np.float32)
+    gradient = np.zeros((model.levels, TEMPLATES, MAGNITUDES))
+    curvature = np.zeros((model.levels, TEMPLATES, MAGNITUDES, TEMPLATES, MAGNITUDES))
+    hashed, one, diagonal = _hashed(contexts), np.ones(model.width, np.float32), np.arange(MAGNITUDES)
     for a in range(0, len(codes), BATCH):
         part = codes[a : a + BATCH]
-        at = np.arange(len(part))
+        at = np.arange(len(part)) * model.width
         for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
             rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
@@ -458,16 +467,21 @@ def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.nd
             p = _logits(model, level, classes, ratios, magnitudes)
             np.exp(p, out=p)  # as in log_probabilities
             total = p @ one
-            factor = magnitudes + np.arange(TEMPLATES)[:, None] * MAGNITUDES
             expected = [(np.einsum("ij,ij->i", p, r) / total).astype(float) for r in ratios]
+            own, weighted = at + child, np.empty_like(p)
             for t in range(TEMPLATES):
-                gradient[level] += np.bincount(factor[t], ratios[t][at, child] - expected[t], size)
-                weighted = p * ratios[t]
+                gradient[level, t] += np.bincount(magnitudes[t], ratios[t].take(own) - expected[t], MAGNITUDES)
+                np.multiply(p, ratios[t], out=weighted)
                 for u in range(t, TEMPLATES):
                     both = np.einsum("ij,ij->i", weighted, ratios[u]) / total - expected[t] * expected[u]
-                    found = np.bincount(factor[t] * size + factor[u], both, size * size).reshape(size, size)
-                    curvature[level] += found if u == t else found + found.T
-    return gradient, curvature.reshape(model.levels, -1)
+                    if u == t:
+                        curvature[level, t, diagonal, t, diagonal] += np.bincount(magnitudes[t], both, MAGNITUDES)
+                    else:
+                        pair = magnitudes[t] * MAGNITUDES + magnitudes[u]
+                        found = np.bincount(pair, both, MAGNITUDES**2).reshape(MAGNITUDES, MAGNITUDES)
+                        curvature[level, t, :, u] += found
+                        curvature[level, u, :, t] += found.T
+    return gradient.reshape(model.levels, -1), curvature.reshape(model.levels, -1)
 
 
 def _step(model: Model, gradient: np.ndarray, curvature: np.ndarray) -> Model:
@@ -540,20 +554,16 @@ def score_documents(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFra
         last = words.leaves - 1
         ln10, log_rare = np.log(10), np.log10(words.rare_sum)
         for batch, texts in chunks(batches):
-            codes, lengths, split = _tokens(words, texts)
+            codes, lengths, found = _tokens(words, texts)
             starts = np.cumsum(lengths) - lengths
             parts = log_probabilities(weights, codes, contexts_of(words, codes, lengths)) / ln10
             parts -= np.where(codes == last, log_rare, 0.0)
-            rare = []
-            for ws, start, length in zip(split, starts.tolist(), lengths.tolist()):
-                places = np.flatnonzero(codes[start : start + length - 1] == last).tolist()
-                rare.append([{"word": w, "n": n} for w, n in Counter(ws[i] for i in places).items()])
             sums = [np.add.reduceat(x, starts) for x in (counted[codes].astype(np.int64), base_logs[codes], parts)]
             yield pa.record_batch(
                 [
                     batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
                     pa.array(lengths, pa.int64()), pa.array(sums[0], pa.int64()), pa.array(sums[1]), pa.array(sums[2]),
-                    pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+                    _rare_words(codes, lengths, *found, last),
                 ],
                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"],
             )
