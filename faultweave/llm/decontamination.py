@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultweave.llm.common import chunks, hash_tokens, mix, text_of, words_folded
+from faultweave.llm.common import chunks, distinct_words, folded, hash_tokens, hashes_of, mix, text_of, words_folded
 from faultweave.sources.workspace import materialise, release
 
 LEAST_WORDS = 3
@@ -53,22 +53,49 @@ REST = 0.5
 LONG_WORDS = 50
 
 
-def pairs_of(split: list[list[bytes]], places: bool = False) -> tuple[np.ndarray, ...]:
-    """Text and hash of every pair of words with at most one word between them, and on demand
-    the place of its first word in the text."""
+# Words whose pairs are looked up at once.
+BLOCK_WORDS = 1 << 14
+
+
+def pairs_of(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every pair of words with at most one word between them."""
     flat, counts = hash_tokens(split)
     text = np.repeat(np.arange(len(split)), counts)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    of, pairs, at = [], [], []
+    of, pairs = [], []
     with np.errstate(over="ignore"):
         first = flat * np.uint64(0x9E3779B97F4A7C15)
         for apart in (1, 2):
             inside = text[:-apart] == text[apart:]
             of.append(text[:-apart][inside])
             pairs.append(mix((first[:-apart] + flat[apart:])[inside]))
-            at.append(place[:-apart][inside])
-    found = np.concatenate(of), np.concatenate(pairs)
-    return (*found, np.concatenate(at)) if places else found
+    return np.concatenate(of), np.concatenate(pairs)
+
+
+def known_pairs(texts: list[bytes], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs of all texts those that the bitmap lets through: text, hash, and the place of
+    the first word in the text.
+
+    A word is hashed once however often it stands in the texts; where a pair stands is asked only
+    of the pairs let through.
+    """
+    words, index, counts = distinct_words(texts, folded)
+    hashes = hashes_of(words)
+    with np.errstate(over="ignore"):
+        flat, first = hashes[index], (hashes * np.uint64(0x9E3779B97F4A7C15))[index]
+        pairs = []
+        for start in range(0, len(flat), BLOCK_WORDS):
+            for apart in (1, 2):
+                second = flat[start + apart : start + BLOCK_WORDS + apart]
+                found = mix(first[start : start + len(second)] + second)
+                hit = np.flatnonzero(_known(bits, found))
+                pairs.append(np.stack([found[hit], hit.astype(np.uint64) + np.uint64(start), np.full(len(hit), apart, np.uint64)]))
+    pair, at, apart = np.concatenate(pairs, axis=1) if pairs else np.empty((3, 0), np.uint64)
+    at, apart = at.astype(np.int64), apart.astype(np.int64)
+    ends = np.cumsum(counts)
+    of = np.searchsorted(ends, at, side="right")
+    inside = at + apart < ends[of]
+    of, at = of[inside], at[inside]
+    return of, pair[inside], at - (ends - counts)[of]
 
 
 def item_pairs(entries: DataFrame) -> DataFrame:
@@ -125,9 +152,7 @@ def pair_hits(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch, texts in chunks(batches):
-            of, pairs = pairs_of([words_folded(t) for t in texts])
-            hit = _known(bits, pairs)
-            of, pairs = of[hit], pairs[hit]
+            of, pairs, _ = known_pairs(texts, bits)
             order = np.lexsort((pairs, of))
             of, pairs = of[order], pairs[order]
             new = np.ones(len(of), bool)
@@ -179,9 +204,7 @@ def passage_hits(docs: DataFrame, keys: np.ndarray, bits: np.ndarray, classes: l
         keys, bits = shared_keys.value, shared.value
         asked = (b.filter(pa.array(_known(keys, b.column("k").to_numpy(zero_copy_only=False).view(np.uint64)))) for b in batches)
         for batch, texts in chunks(asked):
-            of, pairs, place = pairs_of([words_folded(t) for t in texts], places=True)
-            hit = _known(bits, pairs)
-            of, pairs, place = of[hit], pairs[hit], place[hit]
+            of, pairs, place = known_pairs(texts, bits)
             parts = []
             for c in classes:
                 for back in (0, 1):
@@ -228,17 +251,23 @@ def passage_words(docs: DataFrame, wanted_passages: DataFrame, classes: list[int
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch, texts in chunks(batches):
-            keys, numbers = batch.column("key").to_pylist(), batch.column("k").to_numpy(zero_copy_only=False)
+            keys, numbers = batch.column("key"), batch.column("k").to_numpy(zero_copy_only=False)
+            # A word takes two bytes at least, the white space after it among them.
+            most = np.fromiter(map(len, texts), np.int64, len(texts)) // 2
+            wanted_here: dict[int, list[tuple[int, int]]] = {}
+            for c in classes:
+                n = (most >> c) + 1
+                of = np.repeat(np.arange(len(texts)), n)
+                passages = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                hit = np.flatnonzero(_known(bits, _passage_hash(numbers[of], c, passages)))
+                for i, p in zip(of[hit].tolist(), passages[hit].tolist()):
+                    wanted_here.setdefault(i, []).append((c, p))
             rows = []
-            for i, text in enumerate(texts):
-                words = None
-                for c in classes:
-                    # A word takes two bytes at least, the white space after it among them.
-                    passages = np.arange((len(text) // 2 >> c) + 1)
-                    for p in passages[_known(bits, _passage_hash(numbers[i : i + 1], c, passages))].tolist():
-                        words = words_folded(text) if words is None else words
-                        if words[p << c :]:
-                            rows.append((keys[i], c, p, b" ".join(words[p << c : (p + 2) << c])))
+            for i, asked_here in wanted_here.items():
+                words = words_folded(texts[i])
+                for c, p in asked_here:
+                    if words[p << c :]:
+                        rows.append((keys[i].as_py(), c, p, b" ".join(words[p << c : (p + 2) << c])))
             columns = zip(*rows) if rows else [[]] * 4
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
             yield pa.record_batch(
