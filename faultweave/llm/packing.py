@@ -84,18 +84,25 @@ def encoder(vocabulary: str) -> WordIds:
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """Documents with their ids, two bytes each, and `inside`: the tokens of the same source
     that the same task wrote before. Written."""
-    end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, so_far = encoder(vocabulary), TaskContext.get().partitionId(), {}
         for batch, texts in chunks(batches):
-            rows = []
-            for queue, doc_id, text in zip(batch.column("queue").to_pylist(), batch.column("doc_id").to_pylist(), texts):
-                ids = words.encode(text) + end
-                inside = so_far.get(queue, 0)
-                so_far[queue] = inside + len(ids) // 2
-                rows.append((part, queue, inside, doc_id, len(ids) // 2, ids))
-            yield _batch(rows, ENCODED)
+            ids, lengths = words.encode_all(texts, end_id)
+            inside = []
+            for queue, n in zip(batch.column("queue").to_pylist(), lengths.tolist()):
+                inside.append(so_far.get(queue, 0))
+                so_far[queue] = inside[-1] + n
+            offsets = np.append(0, 2 * np.cumsum(lengths)).astype(np.int32)
+            data = [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(len(texts), part, np.int32)), batch.column("queue"), pa.array(inside, pa.int64()),
+                    batch.column("doc_id"), pa.array(lengths, pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(texts), data),
+                ],
+                names=[field.split()[0] for field in ENCODED.split(", ")],
+            )
 
     # A name no source has, so that a null source is a queue like others.
     queue = F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("")).alias("queue")

@@ -21,6 +21,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from faultweave.llm.common import Memory, chunks
+from faultweave.llm.common import Memory, chunks, distinct_words, objects
 from faultweave.llm.wavelet import BITS, WaveletMatrix, build
 
 SHARD_TOKENS = 1 << 20
@@ -66,14 +67,19 @@ class WordIds(Memory):
 
     def compute(self, word: bytes) -> bytes:
         lowered = word.decode().lower()
-        if not PLAIN.fullmatch(lowered):
+        # Letters of ASCII alone are one run.
+        if word.isalpha():
+            pieces = [lowered]
+        elif PLAIN.fullmatch(lowered):
+            pieces = PIECES.findall(lowered)
+        else:
             return self._library(word)
         ids = []
-        for piece in PIECES.findall(lowered):
+        for piece in pieces:
             if not piece.isascii():
                 piece = piece.encode().decode("latin-1").translate(self.characters)
             ids += [t.id for t in self.model.tokenize(piece)]
-        return np.array(ids, "<u2").tobytes()
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def encode(self, text: bytes) -> bytes:
         # Only a special string is sensitive to case; the library finds it before lower-casing.
@@ -81,6 +87,29 @@ class WordIds(Memory):
             return b"".join(map(self._library, text.split()))
         return b"".join(map(self.__getitem__, text.lower().split()))
 
+    def encode_all(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the id `end` after it, and the number of each text's.
+
+        What `encode` gives, but a word is looked up once, however often it stands in the texts.
+        """
+        special = np.array([b"<|" in t for t in texts], bool)
+        words, index, counts = distinct_words([b"" if s else t for t, s in zip(texts, special)])
+        found = list(map(self.__getitem__, objects(words)))
+        # A text with special strings is a word of its own, and so is the end.
+        found += [self.encode(t) for t, s in zip(texts, special) if s]
+        found.append(struct.pack("<H", end))
+        of = np.repeat(np.arange(len(texts)), 1 + special)
+        added = np.full(len(of), len(found) - 1)
+        added[np.flatnonzero(of[:-1] == of[1:])] = np.arange(len(words), len(found) - 1)
+        index = np.insert(index.astype(np.int64), np.cumsum(counts)[of], added)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        n = sizes[index]
+        # From each word's place in the result to its place among the ids of all words.
+        shift = np.cumsum(sizes)[index] - np.cumsum(n)
+        ids = np.frombuffer(b"".join(found), "<u2")[np.arange(n.sum()) + np.repeat(shift, n)]
+        entries = counts + 1 + special
+        return ids, np.add.reduceat(n, np.cumsum(entries) - entries)
+
 
 @lru_cache(maxsize=2)
 def _ids(path: str) -> WordIds:
@@ -93,7 +122,6 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1) ->
     `vocabulary`: a lower-casing tokenizer file with word-end BPE that drops white space,
     opened by every executor under this path.
     """
-    end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _ids(vocabulary)
@@ -115,8 +143,10 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1) ->
             )
 
         for batch, texts in chunks(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
-                one = words.encode(text) + end
+            flat, lengths = words.encode_all(texts, end_id)
+            data, upto = flat.tobytes(), 2 * np.cumsum(lengths)
+            places = zip((upto - 2 * lengths).tolist(), upto.tolist())
+            for doc_id, one in zip(batch.column("doc_id").to_pylist(), (data[a:b] for a, b in places)):
                 if size and size + len(one) // 2 > SHARD_TOKENS:
                     yield shard()
                     piece += 1

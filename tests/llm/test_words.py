@@ -8,7 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from faultweave.llm import common, lm_score
+from faultweave.llm import common, lm_score, token_store
 
 SPACED = st.text(st.sampled_from("aAbÉé.\x1c\x85\xa0　 \t\n\v\f\r"), max_size=12)
 
@@ -55,3 +55,31 @@ def test_rare_words_of_each_text():
     assert [len(row) for row in rare] == [2, 0, 0, 2]
     no_texts = lm_score._tokens(vocab, [b""])
     assert lm_score._rare_words(no_texts[0], no_texts[1], *no_texts[2], 2).to_pylist() == [[]]
+
+
+MIXED = st.lists(
+    st.sampled_from([" ", "\n", "a", "B", "é", "ÀB", "'s", "1", "漢", "İ", "<|endoftext|>", "<|x", "ab,c", "Ab"]), max_size=8
+).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(MIXED, min_size=1, max_size=6))
+def test_texts_encoded_together_equal_the_library(texts):
+    ids = token_store._ids(common.vocabulary(common.WORD_BPE))
+    want = [ids.tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    flat, lengths = ids.encode_all([t.encode() for t in texts], 1)
+    assert lengths.tolist() == list(map(len, want)) and flat.tolist() == [i for one in want for i in one]
+
+
+def test_words_are_encoded_once_per_slice():
+    path, asked = common.vocabulary(common.WORD_BPE), Counter()
+
+    class Ids(token_store.WordIds):
+        def __getitem__(self, word):
+            asked[word] += 1
+            return super().__getitem__(word)
+
+    ids = Ids(token_store._ids(path).tokenizer)
+    flat, lengths = ids.encode_all([b"one two One two", b"", b"two\nthree"], 1)
+    assert max(asked.values()) == 1 and len(asked) == 3
+    assert lengths.sum() == len(flat) and (flat == 1).sum() == 3
