@@ -345,11 +345,11 @@ def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
             codes, lengths, _ = _tokens(words, texts)
             hashed = _hashed(contexts_of(words, codes, lengths))
             for level, total in enumerate(totals):
-                classes, child = _at(codes, width, levels, level)
-                cells = _places(hashed, classes, first[level], rows[level]) * width + child[None, :]
-                for template in range(TEMPLATES):
-                    part = total[template * sizes[level] : (template + 1) * sizes[level]]
-                    part += np.bincount(cells[template], minlength=sizes[level]).astype(np.int32)
+                tables = np.arange(TEMPLATES)[:, None] * sizes[level]
+                for start in range(0, len(codes), BATCH):
+                    classes, child = _at(codes[start : start + BATCH], width, levels, level)
+                    places = _places(hashed[:, start : start + BATCH], classes, first[level], rows[level])
+                    np.add.at(total, (places * width + (child + tables)).ravel(), np.int32(1))
         for level, total in enumerate(totals):
             # Blocks of cells; what a task never touched is not sent.
             for start in range(0, len(total), BLOCK):
