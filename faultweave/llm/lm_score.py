@@ -33,6 +33,7 @@ each; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from itertools import repeat
@@ -60,8 +61,8 @@ PRIOR = 16.0
 OFTEN = 16
 # Binary magnitudes of a row's count, factors to begin with, and the curvature that holds them there.
 MAGNITUDES, START, HOLD = 20, 0.5, 10.0
-# Partial word counts are passed on when a task holds so many, a word once per slice of texts.
-FLUSH = 1_000_000
+# Partial word counts are passed on when a task holds so many words.
+FLUSH = 300_000
 # Cells of rows that are sent and added together.
 BLOCK = 1 << 16
 # The end of a text; no word can hold a line feed.
@@ -72,23 +73,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """word and c of all words of the documents; ends are not among them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, held = [], [], 0
+        counts: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
-            found = pa.concat_arrays(words).dictionary_encode()
-            n = np.bincount(found.indices.to_numpy(), np.concatenate(counts), len(found.dictionary))
-            return pa.record_batch([found.dictionary, pa.array(n.astype(np.int64))], names=["word", "n"])
+            words = list(counts)
+            return pa.record_batch(
+                [
+                    pa.array(words, pa.binary()),
+                    pa.array(list(counts.values()), pa.int64()),
+                ],
+                names=["word", "n"],
+            )
 
         for _, texts in chunks(batches):
-            distinct, index, _ = distinct_words(texts)
-            words.append(distinct)
-            counts.append(np.bincount(index, minlength=len(distinct)))
-            held += len(distinct)
-            if held > FLUSH:
+            words, index, _ = distinct_words(texts)
+            for word, n in zip(objects(words), np.bincount(index, minlength=len(words)).tolist()):
+                counts[word] += n
+            if len(counts) > FLUSH:
                 yield rows()
-                words, counts, held = [], [], 0
-        if held:
-            yield rows()
+                counts.clear()
+        yield rows()
 
     partial = docs.select("text").mapInArrow(count, "word binary, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("c"))
@@ -292,8 +296,7 @@ def contexts_of(vocab: Vocabulary, codes: np.ndarray, lengths: np.ndarray) -> np
 def _at(codes: np.ndarray, width: int, levels: int, level: int) -> tuple[np.ndarray, np.ndarray]:
     """The class that each leaf lies under at a level, and the child that leads to it."""
     child = codes // width ** (levels - 1 - level)
-    classes = child // width
-    return classes, child - classes * width
+    return child // width, child % width
 
 
 def _hashed(contexts: np.ndarray) -> np.ndarray:
@@ -345,11 +348,11 @@ def count_rows(training: DataFrame, vocab: Vocabulary, shared) -> Model:
             codes, lengths, _ = _tokens(words, texts)
             hashed = _hashed(contexts_of(words, codes, lengths))
             for level, total in enumerate(totals):
-                tables = np.arange(TEMPLATES)[:, None] * sizes[level]
-                for start in range(0, len(codes), BATCH):
-                    classes, child = _at(codes[start : start + BATCH], width, levels, level)
-                    places = _places(hashed[:, start : start + BATCH], classes, first[level], rows[level])
-                    np.add.at(total, (places * width + (child + tables)).ravel(), np.int32(1))
+                classes, child = _at(codes, width, levels, level)
+                cells = _places(hashed, classes, first[level], rows[level]) * width + child[None, :]
+                for template in range(TEMPLATES):
+                    part = total[template * sizes[level] : (template + 1) * sizes[level]]
+                    part += np.bincount(cells[template], minlength=sizes[level]).astype(np.int32)
         for level, total in enumerate(totals):
             # Blocks of cells; what a task never touched is not sent.
             for start in range(0, len(total), BLOCK):
@@ -413,11 +416,10 @@ def log_probabilities(model: Model, codes: np.ndarray, contexts: np.ndarray) ->
     """
     out = np.zeros(len(codes))
     hashed, one = _hashed(contexts), np.ones(model.width, np.float32)
-    # A level after the other, so that its rows stay in the cache.
-    for level in range(model.levels):
-        for a in range(0, len(codes), BATCH):
-            part = codes[a : a + BATCH]
-            at = np.arange(len(part)) * model.width
+    for a in range(0, len(codes), BATCH):
+        part = codes[a : a + BATCH]
+        at = np.arange(len(part)) * model.width
+        for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
             rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
             odds, picked, own = None, 1.0, at + child
@@ -455,10 +457,10 @@ def slopes(model: Model, codes: np.ndarray, contexts: np.ndarray) -> tuple[np.nd
     gradient = np.zeros((model.levels, TEMPLATES, MAGNITUDES))
     curvature = np.zeros((model.levels, TEMPLATES, MAGNITUDES, TEMPLATES, MAGNITUDES))
     hashed, one, diagonal = _hashed(contexts), np.ones(model.width, np.float32), np.arange(MAGNITUDES)
-    for level in range(model.levels):
-        for a in range(0, len(codes), BATCH):
-            part = codes[a : a + BATCH]
-            at = np.arange(len(part)) * model.width
+    for a in range(0, len(codes), BATCH):
+        part = codes[a : a + BATCH]
+        at = np.arange(len(part)) * model.width
+        for level in range(model.levels):
             classes, child = _at(part, model.width, model.levels, level)
             rows = _places(hashed[:, a : a + BATCH], classes, model.first[level], model.rows[level])
             ratios, magnitudes = without_own(model, level, classes, child, rows)
