@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +45,38 @@ LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 PLAIN = re.compile(f"[!-&(-~{LATIN}]+")
 PIECES = re.compile(f"[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
 
+# Bytes of words: 1 in letters of PLAIN, 2 in its other characters, 3 where a word may not be parted.
+# Letters beyond ASCII have two bytes, the first from C3 to C8; of these ×, ÷ are none, and İ
+# lower-cases to two characters.
+_KINDS = np.full(256, 3, np.uint8)
+_KINDS[0x21:0x7F] = 2
+_KINDS[ord("'")] = 3
+_KINDS[ord("a") : ord("z") + 1] = _KINDS[0x80:0xC0] = _KINDS[0xC3:0xC9] = 1
+_KINDS[list(b"\t\n\v\f\r ")] = 0
+_WHOLE = [c.encode() for c in "×÷İ"]
+# Every id as its two bytes.
+_PAIRS = [struct.pack("<H", i) for i in range(1 << BITS)]
+
+
+def runs(data: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Parts lower-cased words into runs of letters and of other characters, for `distinct_words`.
+
+    The vocabulary parts them there as well. Words with apostrophes, or with characters that may be
+    composed with others, stay whole.
+    """
+    kinds = _KINDS[data]
+    odd = kinds == 3
+    for first, second in _WHOLE:
+        odd[1:] |= (data[:-1] == first) & (data[1:] == second)
+    if odd.any():
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        whole = np.logical_or.reduceat(odd, edges)[0::2]
+        step = np.zeros(len(data), np.int8)
+        step[edges[0::2][whole]], step[edges[1::2][whole]] = 1, -1
+        kinds[np.cumsum(step, dtype=np.int8) > 0] = 3
+    return kinds
+
+
 STORE = "part int, piece int, n_docs long, n_tokens long, doc_ids binary, null_ids binary, block binary"
 
 
@@ -59,7 +92,7 @@ class WordIds(Memory):
         # A byte's character in the vocabulary: itself where it is printable, else one from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
-        self.characters = {b: 256 + i for i, b in enumerate(hidden)}
+        self.characters = "".join(chr(256 + hidden.index(b) if b in hidden else b) for b in range(256))
 
     def _library(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
@@ -77,9 +110,9 @@ class WordIds(Memory):
         ids = []
         for piece in pieces:
             if not piece.isascii():
-                piece = piece.encode().decode("latin-1").translate(self.characters)
-            ids += [t.id for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}H", *ids)
+                piece = charmap_decode(piece.encode(), "strict", self.characters)[0]
+            ids += [_PAIRS[t.id] for t in self.model.tokenize(piece)]
+        return b"".join(ids)
 
     def encode(self, text: bytes) -> bytes:
         # Only a special string is sensitive to case; the library finds it before lower-casing.
@@ -90,25 +123,26 @@ class WordIds(Memory):
     def encode_all(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the id `end` after it, and the number of each text's.
 
-        What `encode` gives, but a word is looked up once, however often it stands in the texts.
+        What `encode` gives, but a word is looked up once, however often it stands in the texts, and
+        so are its letters where other characters stand around them.
         """
         special = np.array([b"<|" in t for t in texts], bool)
-        words, index, counts = distinct_words([b"" if s else t for t, s in zip(texts, special)])
+        words, index, counts = distinct_words([b"" if s else t for t, s in zip(texts, special)], cut=runs)
         found = list(map(self.__getitem__, objects(words)))
         # A text with special strings is a word of its own, and so is the end.
         found += [self.encode(t) for t, s in zip(texts, special) if s]
         found.append(struct.pack("<H", end))
-        of = np.repeat(np.arange(len(texts)), 1 + special)
-        added = np.full(len(of), len(found) - 1)
-        added[np.flatnonzero(of[:-1] == of[1:])] = np.arange(len(words), len(found) - 1)
-        index = np.insert(index.astype(np.int64), np.cumsum(counts)[of], added)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        n = sizes[index]
-        # From each word's place in the result to its place among the ids of all words.
-        shift = np.cumsum(sizes)[index] - np.cumsum(n)
-        ids = np.frombuffer(b"".join(found), "<u2")[np.arange(n.sum()) + np.repeat(shift, n)]
         entries = counts + 1 + special
-        return ids, np.add.reduceat(n, np.cumsum(entries) - entries)
+        upto = np.cumsum(entries)
+        order = np.full(upto[-1], len(found) - 1)
+        order[(upto - 2)[special]] = np.arange(len(words), len(found) - 1)
+        own = np.ones(len(order), bool)
+        own[upto - 1] = own[(upto - 2)[special]] = False
+        order[own] = index
+        taken = pa.array(found, pa.large_binary()).take(pa.array(order))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[upto]
+        ids = np.frombuffer(taken.buffers()[2], "<u2", ends[-1] // 2)
+        return ids, np.diff(ends // 2, prepend=0)
 
 
 @lru_cache(maxsize=2)

@@ -11,6 +11,7 @@ question that needs one plane unpacks no other.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
@@ -19,9 +20,17 @@ import zstandard
 MAGIC = b"FWWM1\0\0\0"
 BITS = 16
 WORD = 512  # bits per entry of the rank directory
+DEALT = 1 << 15  # ids dealt at once, so that their places stay in the cache
 _HEAD = struct.Struct("<8sQQ")
 
 
+def _dealt(ones: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Slices of a level, and the places of its zeros and of its ones inside each."""
+    for start in range(0, len(ones), DEALT):
+        part = ones[start : start + DEALT]
+        yield slice(start, start + len(part)), np.flatnonzero(~part), np.flatnonzero(part)
+
+
 def build(ids: np.ndarray, lengths: np.ndarray, level: int = 1) -> bytes:
     """Block of the ids of consecutive documents with the given numbers of ids."""
     if len(ids) and int(ids.max()) >> BITS:
@@ -32,7 +41,8 @@ def build(ids: np.ndarray, lengths: np.ndarray, level: int = 1) -> bytes:
     for bit in range(BITS - 1, -1, -1):
         ones = (rest & np.uint16(1 << bit)).astype(bool)
         sections.append(press(np.packbits(ones, bitorder="little").tobytes()))
-        rest = np.concatenate([rest[~ones], rest[ones]])
+        halves = [(rest[here].take(zeros), rest[here].take(ones_)) for here, zeros, ones_ in _dealt(ones)]
+        rest = np.concatenate([rest[:0], *(z for z, _ in halves), *(o for _, o in halves)])
     sizes = np.array([len(s) for s in sections], "<u8").tobytes()
     return b"".join([_HEAD.pack(MAGIC, len(ids), len(lengths)), sizes, *sections])
 
@@ -147,9 +157,13 @@ class WaveletMatrix:
         values = np.zeros(self.n, np.uint16)
         for level in range(BITS - 1, -1, -1):
             plane = self.plane(level)
-            ones = plane.ones()
+            values[plane.zeros :] |= np.uint16(1 << (BITS - 1 - level))
             merged = np.empty(self.n, np.uint16)
-            merged[~ones] = values[: plane.zeros]
-            merged[ones] = values[plane.zeros :] | np.uint16(1 << (BITS - 1 - level))
+            low, high = 0, plane.zeros
+            for here, zeros, ones in _dealt(plane.ones()):
+                part = merged[here]
+                part[zeros] = values[low : low + len(zeros)]
+                part[ones] = values[high : high + len(ones)]
+                low, high = low + len(zeros), high + len(ones)
             values = merged
         return values
